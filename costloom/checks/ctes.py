@@ -51,8 +51,8 @@ _MEASURES = """
 
 TABLES: dict[str, str] = {
     "lines": """
-SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS m, p_brand || '-' || p_type AS product,
-  p_type, CAST(substr(p_brand, 7) AS INT) AS bn,
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS m, 'P' || CAST(CAST(substr(p_brand, 7) AS INT) % 8 AS VARCHAR) || '-' || p_type AS product,
+  p_type, CAST(substr(p_brand, 7) AS INT) % 8 AS bn,
   CASE l_returnflag WHEN 'A' THEN 'Actual' WHEN 'N' THEN 'Budget' ELSE 'R3M' END AS type,
   l_linestatus = 'F' AS shipped, l_quantity AS q,
   floor(l_extendedprice * CAST(100 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS cents,
@@ -65,12 +65,11 @@ FROM lineitem JOIN part ON l_partkey = p_partkey""",
         for i, g, s in ITEMS
     ),
     "dim_project": f"""
-SELECT p_brand || '-' || p_type AS product, {SITE.format(b="CAST(substr(p_brand, 7) AS INT)")} AS site,
+SELECT 'P' || CAST(bn AS VARCHAR) || '-' || p_type AS product, {SITE.format(b="bn")} AS site,
   'C' || CAST(min(p_partkey) AS VARCHAR) AS product_code, p_type AS product_type,
-  CASE WHEN CAST(substr(p_brand, 7) AS INT) % 4 = 0 THEN 'NPI' ELSE 'MP' END AS project_status,
-  CASE WHEN CAST(substr(p_brand, 7) AS INT) % 7 <> 0 THEN
-    CAST(DATE '1994-01-01' + to_months(CAST(substr(p_brand, 7) AS INT)) AS DATE) END AS mp_start_month
-FROM part GROUP BY p_brand, p_type""",
+  CASE WHEN bn % 4 = 0 THEN 'NPI' ELSE 'MP' END AS project_status,
+  CASE WHEN bn % 7 <> 0 THEN CAST(DATE '1994-01-01' + to_months(CAST(bn AS INT)) AS DATE) END AS mp_start_month
+FROM (SELECT p_partkey, p_type, CAST(substr(p_brand, 7) AS INT) % 8 AS bn FROM part) GROUP BY bn, p_type""",
     "kpi": f"""
 SELECT m AS reporting_month, 'SDBG' AS bg, '' AS bu, {SITE.format(b='bn')} AS site, product, ads,
   CASE WHEN apr IS NOT NULL THEN CAST(20.0 AS DOUBLE) END AS ads_target, cogs, inventory, apr, mps,

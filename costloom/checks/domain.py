@@ -1,6 +1,6 @@
 """Domain tables derived by Spark from the shared test tables.
 
-A part's brand and type make a product; line items are its monthly bookings (return flag = type,
+Brands form eight families; a family and a part type make a product. Line items are its monthly bookings (return flag = type,
 line status = shipped or produced). Amounts are whole cents and rates are binary fractions, so
 sums do not depend on their order.
 """
@@ -105,6 +105,14 @@ PARAMS = [
 ]
 
 
+def family() -> Column:
+    return F.pmod(F.substring("p_brand", 7, 9).cast("int"), F.lit(8))
+
+
+def product_name() -> Column:
+    return F.concat(F.lit("P"), family().cast("string"), F.lit("-"), F.col("p_type"))
+
+
 class Domain:
     """Lazy frames over one folder of test tables."""
 
@@ -124,7 +132,7 @@ class Domain:
             .join(part, F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 month_start(F.col("l_shipdate")).alias("m"),
-                F.concat_ws("-", "p_brand", "p_type").alias("product"),
+                product_name().alias("product"),
                 F.when(F.col("l_returnflag") == "A", "Actual")
                 .when(F.col("l_returnflag") == "N", "Budget")
                 .otherwise("R3M")
@@ -168,11 +176,11 @@ class Domain:
 
     @staticmethod
     def site(product: Column) -> Column:
-        brand = F.split(F.split(product, "#").getItem(1), "-").getItem(0).cast("int")
+        number = F.substring(product, 2, 1).cast("int")
         return (
-            F.when(F.pmod(brand, F.lit(5)) == 0, "WMI")
-            .when(F.pmod(brand, F.lit(5)) == 1, "WKS")
-            .otherwise(F.concat(F.lit("S"), F.lpad(brand.cast("string"), 2, "0")))
+            F.when(F.pmod(number, F.lit(5)) == 0, "WMI")
+            .when(F.pmod(number, F.lit(5)) == 1, "WKS")
+            .otherwise(F.concat(F.lit("S"), F.lpad(number.cast("string"), 2, "0")))
         )
 
     @cached_property
@@ -199,19 +207,19 @@ class Domain:
     @cached_property
     def dim_project(self) -> DataFrame:
         """staging.dim_project"""
-        product = F.concat_ws("-", "p_brand", "p_type")
-        brand = F.substring("p_brand", 7, 9).cast("int")
-        parts = self.table("part").groupBy("p_brand", "p_type").agg(
-            F.min("p_partkey").alias("first_part")
+        parts = self.table("part").groupBy(family().alias("family"), "p_type").agg(
+            F.max(product_name()).alias("product"),
+            F.min("p_partkey").alias("first_part"),
         )
-        start = F.add_months(F.lit("1994-01-01").cast("date"), brand)
+        number, product = F.col("family"), F.col("product")
+        start = F.add_months(F.lit("1994-01-01").cast("date"), number)
         return parts.select(
-            product.alias("product"),
+            product,
             self.site(product).alias("site"),
             F.concat(F.lit("C"), F.col("first_part").cast("string")).alias("product_code"),
             F.col("p_type").alias("product_type"),
-            F.when(F.pmod(brand, F.lit(4)) == 0, "NPI").otherwise("MP").alias("project_status"),
-            F.when(F.pmod(brand, F.lit(7)) != 0, start).alias("mp_start_month"),
+            F.when(F.pmod(number, F.lit(4)) == 0, "NPI").otherwise("MP").alias("project_status"),
+            F.when(F.pmod(number, F.lit(7)) != 0, start).alias("mp_start_month"),
         )
 
     @cached_property
