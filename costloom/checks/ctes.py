@@ -164,6 +164,7 @@ def with_tables(sql: str) -> str:
     if not need:
         return body
     defs = ",\n".join(f"{t} AS ({TABLES[t].strip()})" for t in need)
-    if body.upper().startswith("WITH "):
-        return f"WITH {defs},\n{body[5:]}"
+    for head in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(head):
+            return f"{head}{defs},\n{body[len(head):]}"
     return f"WITH {defs}\n{body}"
