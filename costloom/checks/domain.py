@@ -16,6 +16,7 @@ from costloom import constants as K
 from costloom.functions.dates import month_start
 from costloom.operators import fx
 from costloom.operators.lookups import forecast_versions
+from costloom.session import settle
 from costloom.sources.templates import lit_rows
 
 FIRST_YEAR = 1996
@@ -110,7 +111,7 @@ def family() -> Column:
 
 
 def product_name() -> Column:
-    return F.concat(F.lit("P"), family().cast("string"), F.lit("-"), F.col("p_type"))
+    return F.concat(F.lit("P"), F.col("family").cast("string"), F.lit("-"), F.col("p_type"))
 
 
 class Domain:
@@ -124,53 +125,97 @@ class Domain:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
-    def lines(self) -> DataFrame:
-        """Line items with month, product, type and whole cents."""
-        part = self.table("part").select("p_partkey", "p_brand", "p_type")
+    def raw_lines(self) -> DataFrame:
+        """Line items with family, part type, month and whole cents."""
+        part = self.table("part").select("p_partkey", family().alias("family"), "p_type")
         return (
             self.table("lineitem")
             .join(part, F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 month_start(F.col("l_shipdate")).alias("m"),
-                product_name().alias("product"),
-                F.when(F.col("l_returnflag") == "A", "Actual")
-                .when(F.col("l_returnflag") == "N", "Budget")
-                .otherwise("R3M")
-                .alias("type"),
-                (F.col("l_linestatus") == "F").alias("shipped"),
+                "family",
+                "p_type",
+                "l_returnflag",
+                "l_linestatus",
+                F.col("l_linenumber").alias("ln"),
                 F.col("l_quantity").alias("q"),
                 F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("double").alias("cents"),
                 F.col("l_discount").alias("disc"),
                 F.col("l_tax").alias("tax"),
-                F.col("l_linenumber").alias("ln"),
             )
         )
 
-    def measures(self) -> dict[str, Column]:
-        cents, q, shipped = F.col("cents"), F.col("q"), F.col("shipped")
+    @staticmethod
+    def named(df: DataFrame) -> DataFrame:
+        """Keys of the line items as product, type and shipped."""
+        flag = F.col("l_returnflag")
+        kind = F.when(flag == "A", "Actual").when(flag == "N", "Budget").otherwise("R3M")
+        names = {
+            "product": product_name(),
+            "type": kind,
+            "shipped": F.col("l_linestatus") == "F",
+        }
+        return df.withColumns(names).drop("family", "p_type", "l_returnflag", "l_linestatus")
+
+    @property
+    def lines(self) -> DataFrame:
+        """Line items with month, product, type and whole cents."""
+        return self.named(self.raw_lines)
+
+    @cached_property
+    def cube(self) -> DataFrame:
+        """Line items summed by month, product, type, line number and status.
+
+        The domain tables below all come from these few cells, so the line items are read and
+        joined once, and combined before their shuffle, however many tables a query uses.
+        """
+        cents = F.col("cents")
 
         def part(c: Column) -> Column:
             return F.sum(F.floor(c).cast("double"))
 
+        keys = ["m", "family", "p_type", "l_returnflag", "l_linestatus", "ln"]
+        cells = self.raw_lines.groupBy(*keys).agg(
+            F.sum("q").alias("q"),
+            F.sum("cents").alias("cents"),
+            part(cents * F.col("disc")).alias("discount"),
+            part(cents * (F.col("disc") - 0.05)).alias("ppv"),
+            part(cents * (F.col("tax") - 0.04)).alias("muv"),
+            part(cents * F.col("tax")).alias("sga"),
+            part(cents * 0.5).alias("half"),
+            part(cents * 0.125).alias("eighth"),
+            part(cents * 0.0625).alias("sixteenth"),
+            part(cents * 0.03125).alias("p32"),
+            part(cents * 0.015625).alias("p64"),
+            F.max("q").alias("max_q"),
+            F.max("disc").alias("max_disc"),
+            F.max("tax").alias("max_tax"),
+            F.min("tax").alias("min_tax"),
+        )
+        return settle(self.named(cells))
+
+    @staticmethod
+    def measures() -> dict[str, Column]:
+        shipped = F.col("shipped")
         return {
-            "ship_rev": F.sum(F.when(shipped, cents)),
-            "ret": -F.sum(F.when(shipped, F.floor(cents * F.col("disc")).cast("double"))),
-            "ppv": part(cents * (F.col("disc") - 0.05)),
-            "muv": part(cents * (F.col("tax") - 0.04)),
-            "mat": part(cents * 0.5),
-            "frt": part(cents * 0.125),
-            "sga": part(cents * F.col("tax")),
-            "dep": F.sum(F.when(~shipped, F.floor(cents * 0.0625).cast("double"))),
-            "idl": part(cents * 0.03125),
-            "elec": F.sum(F.when(shipped, F.floor(cents * 0.015625).cast("double"))),
-            "inv_q": F.sum(F.when(shipped, q)),
-            "all_q": F.sum(q),
-            "prod_q": F.sum(F.when(~shipped, q)),
+            "ship_rev": F.sum(F.when(shipped, F.col("cents"))),
+            "ret": -F.sum(F.when(shipped, F.col("discount"))),
+            "ppv": F.sum("ppv"),
+            "muv": F.sum("muv"),
+            "mat": F.sum("half"),
+            "frt": F.sum("eighth"),
+            "sga": F.sum("sga"),
+            "dep": F.sum(F.when(~shipped, F.col("sixteenth"))),
+            "idl": F.sum("p32"),
+            "elec": F.sum(F.when(shipped, F.col("p64"))),
+            "inv_q": F.sum(F.when(shipped, F.col("q"))),
+            "all_q": F.sum("q"),
+            "prod_q": F.sum(F.when(~shipped, F.col("q"))),
         }
 
     def wide(self, *extra: str) -> DataFrame:
         """Monthly sums per product and type."""
-        return self.lines.groupBy("m", "product", "type", *extra).agg(
+        return self.cube.groupBy("m", "product", "type", *extra).agg(
             *[c.alias(n) for n, c in self.measures().items()]
         )
 
@@ -208,13 +253,12 @@ class Domain:
     def dim_project(self) -> DataFrame:
         """staging.dim_project"""
         parts = self.table("part").groupBy(family().alias("family"), "p_type").agg(
-            F.max(product_name()).alias("product"),
-            F.min("p_partkey").alias("first_part"),
+            F.min("p_partkey").alias("first_part")
         )
-        number, product = F.col("family"), F.col("product")
+        number, product = F.col("family"), product_name()
         start = F.add_months(F.lit("1994-01-01").cast("date"), number)
         return parts.select(
-            product,
+            product.alias("product"),
             self.site(product).alias("site"),
             F.concat(F.lit("C"), F.col("first_part").cast("string")).alias("product_code"),
             F.col("p_type").alias("product_type"),
@@ -242,14 +286,12 @@ class Domain:
         """staging.tbl_kpi_model"""
         q, cents, ln, t = F.col("q"), F.col("cents"), F.col("ln"), F.col("type")
         actual = t == "Actual"
-        sums = self.lines.groupBy("m", "product").agg(
+        sums = self.cube.groupBy("m", "product").agg(
             F.sum(F.when(t == "Budget", q)).alias("apr"),
             F.sum(F.when(t == "R3M", q)).alias("mps"),
             F.sum(F.when(actual & F.col("shipped"), cents)).alias("cogs"),
             F.sum(F.when(t == "R3M", cents)).alias("inventory"),
-            F.sum(F.when(actual & (ln == 1), F.floor(cents * 0.0625).cast("double"))).alias(
-                "fg_scrap_amount"
-            ),
+            F.sum(F.when(actual & (ln == 1), F.col("sixteenth"))).alias("fg_scrap_amount"),
             F.sum(F.when(ln == 2, q)).alias("ads"),
             F.sum(F.when(ln == 3, q)).alias("bad"),
             F.sum(q).alias("max_capacity_volume"),
@@ -277,7 +319,7 @@ class Domain:
     @cached_property
     def unit_moh(self) -> DataFrame:
         """staging.tbl_unitmoh_monthly, with costs per unit as multiples of 1/1024."""
-        w = self.lines.groupBy("m", "product").agg(
+        w = self.cube.groupBy("m", "product").agg(
             *[
                 F.sum(F.when(F.col("type") == t, F.col("cents"))).alias(t) for t in K.TYPES
             ],
@@ -310,7 +352,7 @@ class Domain:
     def raw_pl(self, kind: str) -> DataFrame:
         """raw profit and loss of one type, with two versions of most months."""
         back = -(F.lit(1) + F.pmod(F.col("ln"), F.lit(2)))
-        versions = self.lines.filter(F.col("type") == kind).withColumn(
+        versions = self.cube.filter(F.col("type") == kind).withColumn(
             "Version", F.date_format(F.add_months(F.col("m"), back), "yyyyMMdd")
         )
         sums = versions.groupBy("m", "product", "Version").agg(

@@ -14,6 +14,7 @@ from costloom.operators import alerts
 from costloom.operators.ids import dense_ids
 from costloom.operators.lookups import latest_actual_month, params_row
 from costloom.plans import alerting
+from costloom.session import settle
 
 # The alert month is the latest Actual month less this many months, so that planned volumes exist.
 BACK = 12
@@ -89,7 +90,9 @@ LEFT JOIN (SELECT product, coalesce(sum(value), 0) AS muv FROM ledger WHERE type
 
 
 def base(d: Domain) -> DataFrame:
-    return alerting.alert_base(perf_kpi(d), d.unit_moh, d.ledger, d.dim_project, current(d))
+    """KPI rows of the month; several rules read them, so they are stored once."""
+    rows = alerting.alert_base(perf_kpi(d), d.unit_moh, d.ledger, d.dim_project, current(d))
+    return settle(rows)
 
 
 @query("alert_base", "J31 A6 A8 A9 F7 P11 P13", "SELECT * FROM alert_kpi")
@@ -186,8 +189,8 @@ WHERE short IS NOT NULL AND k.site IS NOT NULL GROUP BY k.reporting_month, k.sit
 )
 
 
-def site_base(d: Domain) -> DataFrame:
-    return alerting.site_alert_base(base(d), detail(d), d.control, current(d))
+def site_base(d: Domain, kpi: DataFrame | None = None) -> DataFrame:
+    return settle(alerting.site_alert_base(kpi or base(d), detail(d), d.control, current(d)))
 
 
 @query("site_alert_base", "J32 A5 A21 J10 P9 C15", "SELECT * FROM site_base")
@@ -334,7 +337,8 @@ define(
 
 
 def numbered(d: Domain) -> DataFrame:
-    return alerts.number_alerts(alerting.all_alerts(base(d), site_base(d), d.params))
+    kpi = base(d)
+    return alerts.number_alerts(alerting.all_alerts(kpi, site_base(d, kpi), d.params))
 
 
 @query(

@@ -86,6 +86,20 @@ def predict_ctes(source: str, keys: list[str], month: str, y: str, current: str)
     line = "icpt" + "".join(f" + CASE WHEN {i} < ord THEN b{i + 1} * {{{i}}} ELSE 0 END" for i in range(3))
     level = line.format("p0", "p1", "p2")
     step = line.format("(p0 - p1)", "(p1 - p2)", "(p2 - p3)")
+    zero = "0 AS i, " + ", ".join(f"{_D.format(v)} AS {c}" for c, v in (("s", 0), ("c", 1), ("rr", 0), ("rc", 0), ("cc", 0)))
+
+    def advance(table: str) -> str:
+        cols = ", ".join("f." + x for x in keys)
+        return f"""SELECT {cols}, alpha, f.i + 1, s + alpha * (v - s), (1 - alpha) * c,
+    rr + (v - s) * (v - s), rc + (v - s) * c, cc + c * c
+  FROM {table} f JOIN train t ON {same("f", "t")} AND t.i = f.i"""
+
+    def least(table: str) -> str:
+        cols = ", ".join("f." + x for x in keys)
+        return f"""SELECT f.*, rr - rc * rc / cc AS sse, rc / cc AS start FROM {table} f JOIN counted n
+  ON {same("f", "n")} AND f.i = n
+  QUALIFY row_number() OVER (PARTITION BY {cols} ORDER BY rr - rc * rc / cc, alpha) = 1"""
+
     return f"""
 cur AS (SELECT CAST({current} AS DATE) AS cur),
 train AS (SELECT {k}, {month} AS m, CAST({y} AS DOUBLE) AS v,
@@ -96,14 +110,15 @@ lagged AS (SELECT *, {diffs} FROM (SELECT {k}, m, v AS x0, {lags} FROM train WIN
 models AS ({models}),
 ar AS (SELECT * FROM models QUALIFY row_number() OVER (PARTITION BY {k} ORDER BY score, ord, diff) = 1),
 fold AS (
-  SELECT {k}, CAST(g AS DOUBLE) / 100 AS alpha, 0 AS i, {_D.format(0)} AS s, {_D.format(1)} AS c,
-    {_D.format(0)} AS rr, {_D.format(0)} AS rc, {_D.format(0)} AS cc FROM counted, range(101) t(g)
+  SELECT {k}, CAST(g AS DOUBLE) / 20 AS alpha, {zero} FROM counted, range(21) t(g)
   UNION ALL
-  SELECT {", ".join("f." + x for x in keys)}, alpha, f.i + 1, s + alpha * (v - s), (1 - alpha) * c,
-    rr + (v - s) * (v - s), rc + (v - s) * c, cc + c * c
-  FROM fold f JOIN train t ON {same("f", "t")} AND t.i = f.i),
-best AS (SELECT f.*, rr - rc * rc / cc AS sse, rc / cc AS start FROM fold f JOIN counted n ON {same("f", "n")} AND f.i = n
-  QUALIFY row_number() OVER (PARTITION BY {", ".join("f." + x for x in keys)} ORDER BY rr - rc * rc / cc, alpha) = 1),
+  {advance("fold")}),
+near AS ({least("fold")}),
+fine AS (
+  SELECT {k}, greatest(0, least(1, alpha + CAST(g AS DOUBLE) / 200)) AS alpha, {zero} FROM near, range(-9, 10) t(g)
+  UNION ALL
+  {advance("fine")}),
+best AS ({least("fine")}),
 levels AS (
   SELECT {k}, alpha, 0 AS i, start AS level FROM best
   UNION ALL
@@ -132,7 +147,7 @@ _CUR = "(SELECT max(m) FROM prices WHERE type = 'Actual')"
 
 
 def prices(d: Domain) -> DataFrame:
-    return d.lines.groupBy("product", "type", "m").agg(
+    return d.cube.groupBy("product", "type", "m").agg(
         F.floor(F.sum("cents") / F.sum("q")).cast("double").alias("price")
     )
 

@@ -68,7 +68,7 @@ define(
 
 
 def typed_months(d: Domain) -> DataFrame:
-    return d.lines.groupBy(F.col("m").alias("reporting_month"), "product", "type").agg(
+    return d.cube.groupBy(F.col("m").alias("reporting_month"), "product", "type").agg(
         F.sum("cents").alias("amount")
     )
 

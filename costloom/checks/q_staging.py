@@ -271,7 +271,7 @@ def kpi_feeds(d: Domain) -> list[DataFrame]:
     q, cents, ln, t = F.col("q"), F.col("cents"), F.col("ln"), F.col("type")
 
     def feed(cond, *aggs, name="Model", month=m):
-        return d.lines.filter(cond).groupBy(product.alias(name), month.alias("Month")).agg(*aggs)
+        return d.cube.filter(cond).groupBy(product.alias(name), month.alias("Month")).agg(*aggs)
 
     return [
         feed(
@@ -279,24 +279,24 @@ def kpi_feeds(d: Domain) -> list[DataFrame]:
             F.sum(q).alias("ADS"),
             F.sum(cents).alias("COGS NTD"),
             F.sum(F.when(ln == 1, cents)).alias("Inventory NTD"),
-            F.max(q).alias("ads_target"),
+            F.max("max_q").alias("ads_target"),
         ),
         feed(t == "Budget", F.sum(q).alias("APR _volume"), name="project"),
         feed(t == "R3M", F.sum(q).alias("MPS _volume"), name="project"),
         feed(
             (t == "Actual") & (ln == 2),
             F.sum(cents).alias("Actual Scrap AMT_USD"),
-            F.max("disc").alias("scrap_rate"),
+            F.max("max_disc").alias("scrap_rate"),
             name="W_Model",
             month=F.last_day(m),
         ),
         feed(
             ln == 3,
-            F.max("disc").alias("Yield rate"),
-            F.max("tax").alias("yield_rate_current_target"),
-            F.min("tax").alias("yield_rate_final_target"),
+            F.max("max_disc").alias("Yield rate"),
+            F.max("max_tax").alias("yield_rate_current_target"),
+            F.min("min_tax").alias("yield_rate_final_target"),
         ),
-        feed(ln == 4, F.max(q).alias("Units")),
+        feed(ln == 4, F.max("max_q").alias("Units")),
     ]
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,29 +14,25 @@ _HALVES = 134217729.0
 def fixed2(x: Column) -> Column:
     """Two decimals, rounding the exact binary value half to even (2.675 gives 2.67).
 
-    100*|x| is rounded once to a double; `rest` is the exact error of that product, so a
-    fraction of one half can be told from a value slightly above or below it.
+    100*x is rounded once to a double; `rest` is the exact error of that product. The nearest
+    whole number is wrong only if the double lies on a half and the error points beyond it.
     """
     x = x.cast("double")
-    size = F.abs(x)
-    scaled = size * F.lit(100.0)
-    cut = size * F.lit(_HALVES)
-    high = cut - (cut - size)
-    low = size - high
-    rest = (high * F.lit(100.0) - scaled) + low * F.lit(100.0)
-    whole = F.floor(scaled)
-    part = scaled - whole
-    odd = F.pmod(whole, F.lit(2)) == 1
-    up = (part > 0.5) | ((part == 0.5) & ((rest > 0) | ((rest == 0) & odd)))
-    n = whole + F.when(up, F.lit(1)).otherwise(F.lit(0))
-    units = F.floor(n / F.lit(100.0)).cast("string")
-    cents = F.lpad(F.pmod(n, F.lit(100)).cast("string"), 2, "0")
-    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
-    shown = F.concat(sign, units, F.lit("."), cents)
+    scaled = x * F.lit(100.0)
+    cut = x * F.lit(_HALVES)
+    high = cut - (cut - x)
+    rest = (high * F.lit(100.0) - scaled) + (x - high) * F.lit(100.0)
+    near = F.rint(scaled)
+    beyond = (
+        F.when((scaled - near == 0.5) & (rest > 0), F.lit(1.0))
+        .when((scaled - near == -0.5) & (rest < 0), F.lit(-1.0))
+        .otherwise(F.lit(0.0))
+    )
+    shown = ((near + beyond).cast("decimal(32,0)") * F.lit(Decimal("0.01"))).cast("string")
     return (
         F.when(x.isNull() | F.isnan(x), F.lit("nan"))
-        .when(x == float("inf"), F.lit("inf"))
-        .when(x == float("-inf"), F.lit("-inf"))
+        .when(F.abs(x) == float("inf"), F.when(x > 0, "inf").otherwise("-inf"))
+        .when((x < 0) & (scaled >= -0.5) & shown.startswith("0"), F.concat(F.lit("-"), shown))
         .otherwise(shown)
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from costloom import constants as K
 from costloom.functions.missing import div_ieee, greatest_first, holds, nan_to_null
-from costloom.functions.text import fixed2, thousands, whole
+from costloom.functions.text import fixed2, whole
 from costloom.operators.ids import dense_ids
 
 LEADS_PER_RULE = {1: 2, 2: 2, 3: 1, 4: 1, 5: 2, 6: 1, 8: 3}
@@ -110,95 +110,162 @@ def site_flags(
     return df.filter(_c("budget_total_cost") > 0).drop("_revenue")
 
 
-def _percent(x: Column) -> Column:
-    return fixed2(x * F.lit(100.0))
-
-
 def _say(*parts: str | Column) -> Column:
     """Sentence from texts and columns; a missing name shows as 'nan'."""
     cols = [F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("nan")) for p in parts]
     return F.concat(*cols)
 
 
+def _spell(df: DataFrame, two: dict[str, Column], percent: dict[str, Column], near: dict[str, Column]) -> DataFrame:
+    """Adds map `_n` from names to numbers as text: two decimals, percent, nearest whole.
+
+    One rounding expression serves all numbers of a kind, which keeps the generated code small.
+    """
+    fixed = {**two, **{k: v * F.lit(100.0) for k, v in percent.items()}}
+
+    def as_map(values: dict[str, Column]) -> Column:
+        return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v.cast("double"))])
+
+    df = df.withColumns(
+        {
+            "_fixed": F.transform_values(as_map(fixed), lambda _, v: fixed2(v)),
+            "_near": F.transform_values(as_map(near), lambda _, v: whole(v)),
+        }
+    )
+    return df.withColumn("_n", F.map_concat("_fixed", "_near")).drop("_fixed", "_near")
+
+
+def _n(name: str) -> Column:
+    return F.col("_n")[name]
+
+
+def spell_kpi(flags: DataFrame) -> DataFrame:
+    """Numbers that the texts of rules 1 to 6 show."""
+    thousand = F.lit(1000.0)
+    return _spell(
+        flags,
+        two={"ads": _c("ads")},
+        percent={
+            "used": div_ieee(_c("production"), _c("max_capacity")),
+            "planned": div_ieee(_c("max_mps"), _c("max_capacity")),
+            "below": _c("rule2_num"),
+            "ads_over": div_ieee(_c("ads"), _c("fg_ads_target")) - F.lit(1.0),
+            "scrap": _c("scrap_rate"),
+            "scrap_target": _c("scrap_target"),
+            "scrap_over": _c("rule4_num"),
+            "rate": _c("yield_rate"),
+            "target": _c("yield_rate_curr_target"),
+            "behind": _c("yield_rate_curr_target") - _c("yield_rate"),
+            "final": F.coalesce(_c("yield_rate_final_target"), _c("yield_rate_curr_target")),
+            "material": _c("material_share"),
+            "ppv": div_ieee(_c("ppv"), _c("revenue")),
+            "muv": div_ieee(_c("muv"), _c("revenue")),
+        },
+        near={
+            "production_k": _c("production") / thousand,
+            "max_mps_k": _c("max_mps") / thousand,
+            "shipment_k": _c("shipment") / thousand,
+            "apr_k": _c("apr") / thousand,
+            "ads_target": _c("fg_ads_target"),
+            "months": _c("mp_no_of_month"),
+        },
+    )
+
+
 def kpi_texts() -> dict[int, tuple[Column, list[Column]]]:
     """Description and leads of rules 1 to 6."""
     who = _c("product")
-    used = _percent(div_ieee(_c("production"), _c("max_capacity")))
-    planned = _percent(div_ieee(_c("max_mps"), _c("max_capacity")))
-    scrap, scrap_target = _percent(_c("scrap_rate")), _percent(_c("scrap_target"))
-    rate, target = _percent(_c("yield_rate")), _percent(_c("yield_rate_curr_target"))
-    final = _percent(F.coalesce(_c("yield_rate_final_target"), _c("yield_rate_curr_target")))
-    ads_over = _percent(div_ieee(_c("ads"), _c("fg_ads_target")) - F.lit(1.0))
-    ppv = _percent(div_ieee(_c("ppv"), _c("revenue")))
-    muv = _percent(div_ieee(_c("muv"), _c("revenue")))
     # Fixed texts of descriptions and leads.
     return {
         1: (
-            _say(who, " reporting period production volume was only ", used, " % of max capacity"),
+            _say(who, " reporting period production volume was only ", _n("used"), " % of max capacity"),
             [
-                _say(who, " reporting period production volume was ", thousands(_c("production")),
-                     "K, only ", used, " % of max capacity"),
-                _say(who, " Maximum MPS 6 month requirement was ", thousands(_c("max_mps")),
-                     "K, stays below ", planned, " % of max capacity"),
+                _say(who, " reporting period production volume was ", _n("production_k"), "K, only ",
+                     _n("used"), " % of max capacity"),
+                _say(who, " Maximum MPS 6 month requirement was ", _n("max_mps_k"),
+                     "K, stays below ", _n("planned"), " % of max capacity"),
             ],
         ),
         2: (
-            _say(who, " shipment volume ", _percent(_c("rule2_num")), " % below APR"),
+            _say(who, " shipment volume ", _n("below"), " % below APR"),
             [
-                _say(who, " shipment volume was ", thousands(_c("shipment")), "K"),
-                _say(who, " APR was ", thousands(_c("apr")), "K"),
+                _say(who, " shipment volume was ", _n("shipment_k"), "K"),
+                _say(who, " APR was ", _n("apr_k"), "K"),
             ],
         ),
         3: (
-            _say(who, " finished goods ADS was ", ads_over, " % over business rule"),
+            _say(who, " finished goods ADS was ", _n("ads_over"), " % over business rule"),
             [
-                _say(who, " reporting month finished goods ADS ", fixed2(_c("ads")),
-                     " days, vs. ADS business rule of ", whole(_c("fg_ads_target")), " days"),
+                _say(who, " reporting month finished goods ADS ", _n("ads"),
+                     " days, vs. ADS business rule of ", _n("ads_target"), " days"),
             ],
         ),
         4: (
-            _say(who, " scrap rate ", scrap, " %, ", _percent(_c("rule4_num")), " % higher than ",
-                 scrap_target, " %"),
-            [_say(who, " scrap rate ", scrap, " %, vs.inventory reserve of ", scrap_target, " %")],
+            _say(who, " scrap rate ", _n("scrap"), " %, ", _n("scrap_over"), " % higher than ",
+                 _n("scrap_target"), " %"),
+            [
+                _say(who, " scrap rate ", _n("scrap"), " %, vs.inventory reserve of ",
+                     _n("scrap_target"), " %"),
+            ],
         ),
         5: (
-            _say(who, " yield rate was ", rate, " %, ",
-                 _percent(_c("yield_rate_curr_target") - _c("yield_rate")),
+            _say(who, " yield rate was ", _n("rate"), " %, ", _n("behind"),
                  " % behind yield rate current target"),
             [
-                _say(who, " yield rate ", rate, " %, vs. yield rate current target of ", target, " %"),
-                _say(who, " has been in MP stage for ", whole(_c("mp_no_of_month")), " months. ", who,
-                     " yield rate was ", rate, ", vs. yield rate final target of ", final, " %"),
+                _say(who, " yield rate ", _n("rate"), " %, vs. yield rate current target of ",
+                     _n("target"), " %"),
+                _say(who, " has been in MP stage for ", _n("months"), " months. ", who,
+                     " yield rate was ", _n("rate"), ", vs. yield rate final target of ",
+                     _n("final"), " %"),
             ],
         ),
         6: (
-            _say(who, " material cost variance(PPV + MUV) was ", _percent(_c("material_share")), " %"),
-            [_say(who, " PPV was ", ppv, " % of revenue; MUV was ", muv, " % of revenue")],
+            _say(who, " material cost variance(PPV + MUV) was ", _n("material"), " %"),
+            [
+                _say(who, " PPV was ", _n("ppv"), " % of revenue; MUV was ", _n("muv"),
+                     " % of revenue"),
+            ],
         ),
     }
 
 
-def site_texts() -> tuple[Column, list[Column]]:
-    """Description and leads of rule 8."""
-    who, item = _c("site"), _c("line_item_short")
+def spell_site(flags: DataFrame) -> DataFrame:
+    """Numbers that the texts of rule 8 show."""
 
     def over(actual: str, budget: str) -> Column:
-        return _percent(div_ieee(_c(actual) - _c(budget), _c(budget)))
+        return div_ieee(_c(actual) - _c(budget), _c(budget))
+
+    types = ("actual", "budget", "r3m")
+    return _spell(
+        flags,
+        two={},
+        percent={
+            "total": over("actual_total_cost", "budget_total_cost"),
+            "unit": over("actual_unit_cost", "budget_unit_cost"),
+        },
+        near={
+            **{f"{t}_k": _c(f"{t}_total_cost") / F.lit(1000.0) for t in types},
+            **{f"{t}_unit": _c(f"{t}_unit_cost") for t in types},
+        },
+    )
+
 
-    total = _say("Actual ", item, " was ", over("actual_total_cost", "budget_total_cost"),
-                 " % higher than budget")
-    unit = _say("Actual unit ", item, " per shipment was ",
-                over("actual_unit_cost", "budget_unit_cost"), " % higher than budget unit cost")
+def site_texts() -> tuple[Column, list[Column]]:
+    """Description and leads of rule 8."""
+    who, item = _c("site"), _c("line_item_short")
+    total = _say("Actual ", item, " was ", _n("total"), " % higher than budget")
+    unit = _say("Actual unit ", item, " per shipment was ", _n("unit"),
+                " % higher than budget unit cost")
     described = F.concat_ws(
         " ", F.when(_c("tot_cost_is_high"), total), F.when(_c("unit_cost_is_high"), unit)
     )
     leads = [
-        _say(who, " actual ", item, " was ", thousands(_c("actual_total_cost")), "K NTD, budget ",
-             item, " was ", thousands(_c("budget_total_cost")), "K NTD"),
-        _say(who, " actual unit ", item, " per shipment was ", whole(_c("actual_unit_cost")),
-             " NTD, budget unit ", item, " per shipment was ", whole(_c("budget_unit_cost")), " NTD"),
-        _say(who, " R3M ", item, " was ", thousands(_c("r3m_total_cost")), "K NTD; RSM unit ", item,
-             " per shipment was ", whole(_c("r3m_unit_cost")), " NTD"),
+        _say(who, " actual ", item, " was ", _n("actual_k"), "K NTD, budget ", item, " was ",
+             _n("budget_k"), "K NTD"),
+        _say(who, " actual unit ", item, " per shipment was ", _n("actual_unit"),
+             " NTD, budget unit ", item, " per shipment was ", _n("budget_unit"), " NTD"),
+        _say(who, " R3M ", item, " was ", _n("r3m_k"), "K NTD; RSM unit ", item,
+             " per shipment was ", _n("r3m_unit"), " NTD"),
     ]
     return described, leads
 
@@ -219,7 +286,7 @@ def kpi_alerts(flags: DataFrame) -> DataFrame:
             F.array(*leads).alias("leads"),
         )
         fired.append(F.when(_c(f"rule{rule}"), alert))
-    one = flags.select(
+    one = spell_kpi(flags).select(
         _c("reporting_month").alias("alert_month"),
         _c("product").alias("object"),
         F.explode(F.array_compact(F.array(*fired))).alias("a"),
@@ -231,7 +298,7 @@ def kpi_alerts(flags: DataFrame) -> DataFrame:
 def site_alerts(flags: DataFrame) -> DataFrame:
     """One row per site and item that rule 8 fires for."""
     described, leads = site_texts()
-    return flags.filter(_c("rule8")).select(
+    return spell_site(flags.filter(_c("rule8"))).select(
         F.lit(8).alias("rule"),
         _c("reporting_month").alias("alert_month"),
         _say(_c("line_item_short"), " too high").alias("title"),

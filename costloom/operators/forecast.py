@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from costloom.functions.dates import next_month
 from costloom.functions.missing import finite
+from costloom.operators.series import spread_series
 
 LAG = 3
-ALPHAS = [i / 100 for i in range(101)]
+COARSE = [i / 20 for i in range(21)]
+FINE = [i / 200 for i in range(-9, 10)]
 _MIN_RSS = 1e-12
 _MIN_DET = 1e-9
 
@@ -64,10 +66,22 @@ def smoothing_error(values: Column, alpha: Column) -> Column:
     return F.aggregate(values, start, step, end)
 
 
-def best_smoothing(values: Column, alphas: list[float] | None = None) -> Column:
-    """Weight and starting level of least squared error; the smaller weight wins a tie."""
-    grid = F.array(*[_dbl(a) for a in (alphas or ALPHAS)])
-    return F.array_min(F.transform(grid, lambda a: smoothing_error(values, a)))
+def best_smoothing(values: Column, coarse: list[float] | None = None, fine: list[float] | None = None) -> Column:
+    """Weight and starting level of least squared error; the smaller weight wins a tie.
+
+    The best weight of a coarse grid is refined by a fine grid of offsets around it.
+    """
+
+    def least(weights: Column) -> Column:
+        return F.array_min(F.transform(weights, lambda a: smoothing_error(values, a)))
+
+    offsets = F.array(*[_dbl(x) for x in (FINE if fine is None else fine)])
+    near = least(F.array(*[_dbl(a) for a in (coarse or COARSE)]))["alpha"]
+
+    def around(a: Column) -> Column:
+        return F.transform(offsets, lambda x: F.greatest(_dbl(), F.least(_dbl(1.0), a + x)))
+
+    return F.element_at(F.transform(F.array(near), lambda a: least(around(a))), 1)
 
 
 def smoothed_levels(values: Column, alpha: Column, start: Column) -> Column:
@@ -128,51 +142,70 @@ def _solve(g: list[list[Column]], h: list[Column]) -> tuple[Column, list[Column]
     ]
 
 
-def _fits(df: DataFrame, kind: str, p: int) -> DataFrame:
-    """Adds struct `_m_{kind}{p}`: (score, order, differenced, intercept, b1..b3), or null."""
-    tag = f"{kind}{p}"
-    n = F.col(f"n_{tag}")
-
-    def centred(i: int, j: int) -> Column:
-        i, j = min(i, j), max(i, j)
-        return F.col(f"q_{tag}_{i}{j}") - F.col(f"s_{tag}_{i}") * F.col(f"s_{tag}_{j}") / n
-
-    names = {f"_c{i}{j}": centred(i, j) for i, j in combinations_with_replacement(range(p + 1), 2)}
-    df = df.withColumns({k: F.when(n > p + 1, v) for k, v in names.items()})
-    c = lambda i, j: F.col(f"_c{min(i, j)}{max(i, j)}")
-    mean = [F.try_divide(F.col(f"s_{tag}_{i}"), n) for i in range(p + 1)]
-    if p == 0:
-        df = df.withColumns({"_rss": c(0, 0), "_i": mean[0], "_ok": n > 1})
-        slopes = []
-    else:
-        g = [[c(i, j) for j in range(1, p + 1)] for i in range(1, p + 1)]
-        h = [c(0, i) for i in range(1, p + 1)]
-        det, tops = _solve(g, h)
-        scale = g[0][0]
-        for i in range(1, p):
-            scale = scale * g[i][i]
-        df = df.withColumns({"_det": det, "_scale": scale, **{f"_t{i}": t for i, t in enumerate(tops)}})
-        good = (n > p + 1) & (F.abs(F.col("_det")) > _MIN_DET * F.col("_scale"))
-        df = df.withColumns({f"_b{i}": F.when(good, F.col(f"_t{i}") / F.col("_det")) for i in range(p)})
-        slopes = [F.col(f"_b{i}") for i in range(p)]
-        rss, icpt = c(0, 0), mean[0]
-        for i, b in enumerate(slopes):
-            rss = rss - b * c(0, i + 1)
-            icpt = icpt - b * mean[i + 1]
-        df = df.withColumns({"_rss": rss, "_i": icpt, "_ok": good})
-    score = F.log(F.greatest(F.try_divide(F.col("_rss"), n), F.lit(_MIN_RSS))) + F.try_divide(
-        F.lit(2.0 * (p + 1)), n
-    )
-    model = F.struct(
-        score.alias("score"),
-        F.lit(p).alias("order"),
-        F.lit(1 if kind == "d" else 0).alias("differenced"),
-        F.col("_i").alias("intercept"),
-        *[(slopes[i] if i < p else _dbl()).alias(f"b{i + 1}") for i in range(LAG)],
-    )
-    df = df.withColumn(f"_m_{tag}", F.when(F.col("_ok"), model))
-    drop = [x for x in df.columns if x.startswith(("_c", "_t", "_b")) or x in ("_det", "_scale", "_rss", "_i", "_ok")]
-    return df.drop(*drop)
+class _Model:
+    """Expressions of one autoregressive model over its moments, in stages.
+
+    Each stage is a set of columns that the next stage reads, so no expression is repeated.
+    """
+
+    def __init__(self, kind: str, p: int):
+        self.kind, self.p, self.tag = kind, p, f"{kind}{p}"
+        self.n = F.col(f"n_{self.tag}")
+        self.pairs = list(combinations_with_replacement(range(p + 1), 2))
+
+    def _c(self, i: int, j: int) -> Column:
+        return F.col(f"c_{self.tag}_{min(i, j)}{max(i, j)}")
+
+    def _s(self, i: int) -> Column:
+        return F.col(f"s_{self.tag}_{i}")
+
+    def centred(self) -> dict[str, Column]:
+        n, tag = self.n, self.tag
+        return {
+            f"c_{tag}_{i}{j}": F.when(
+                n > self.p + 1, F.col(f"q_{tag}_{i}{j}") - self._s(i) * self._s(j) / n
+            )
+            for i, j in self.pairs
+        }
+
+    def solved(self) -> dict[str, Column]:
+        if self.p == 0:
+            return {}
+        lags = range(1, self.p + 1)
+        det, tops = _solve([[self._c(i, j) for j in lags] for i in lags], [self._c(0, i) for i in lags])
+        return {f"det_{self.tag}": det, **{f"t_{self.tag}_{i + 1}": t for i, t in enumerate(tops)}}
+
+    def slopes(self) -> dict[str, Column]:
+        if self.p == 0:
+            return {}
+        scale = self._c(1, 1)
+        for i in range(2, self.p + 1):
+            scale = scale * self._c(i, i)
+        det = F.col(f"det_{self.tag}")
+        good = (self.n > self.p + 1) & (F.abs(det) > _MIN_DET * scale)
+        return {
+            f"b_{self.tag}_{i}": F.when(good, F.col(f"t_{self.tag}_{i}") / det)
+            for i in range(1, self.p + 1)
+        }
+
+    def model(self) -> Column:
+        """(score, order, differenced, intercept, b1..b3), or null if the model has no fit."""
+        b = [F.col(f"b_{self.tag}_{i}") for i in range(1, self.p + 1)]
+        rss, icpt = self._c(0, 0), F.try_divide(self._s(0), self.n)
+        for i, slope in enumerate(b):
+            rss = rss - slope * self._c(0, i + 1)
+            icpt = icpt - slope * F.try_divide(self._s(i + 1), self.n)
+        score = F.log(F.greatest(F.try_divide(rss, self.n), F.lit(_MIN_RSS))) + F.try_divide(
+            F.lit(2.0 * (self.p + 1)), self.n
+        )
+        fields = F.struct(
+            score.alias("score"),
+            F.lit(self.p).alias("order"),
+            F.lit(1 if self.kind == "d" else 0).alias("differenced"),
+            icpt.alias("intercept"),
+            *[(b[i] if i < self.p else _dbl()).alias(f"b{i + 1}") for i in range(LAG)],
+        )
+        return F.when(b[0].isNotNull() if b else self.n > 1, fields)
 
 
 def ar_models(
@@ -188,17 +221,19 @@ def ar_models(
 
     Lags run over rows that agree in the `split` columns.
     """
-    tags = [(k, p) for k in ("x", "d") for p in range(order + 1)]
-    sums = {}
-    for k, p in tags:
-        sums.update(_moments(k, p))
+    models = [_Model(k, p) for k in ("x", "d") for p in range(order + 1)]
+    sums: dict[str, Column] = {}
+    for m in models:
+        sums.update(_moments(m.kind, m.p))
+    extra = extra or []
     grouped = _lagged(df, [*series, *(split or [])], month, y, order).groupBy(*series).agg(
-        *[v.alias(k) for k, v in sums.items()], *(extra or [])
+        *extra, *[v.alias(k) for k, v in sums.items()]
     )
-    for k, p in tags:
-        grouped = _fits(grouped, k, p)
-    best = F.array_min(F.array_compact(F.array(*[F.col(f"_m_{k}{p}") for k, p in tags])))
-    return grouped.withColumn("ar", best).drop(*sums, *[f"_m_{k}{p}" for k, p in tags])
+    keep = [c for c in grouped.columns if c not in sums]
+    for stage in (_Model.centred, _Model.solved, _Model.slopes):
+        grouped = grouped.withColumns({k: v for m in models for k, v in stage(m).items()})
+    best = F.array_min(F.array_compact(F.array(*[m.model() for m in models])))
+    return grouped.select(*keep, best.alias("ar"))
 
 
 def ar_prediction(model: Column, before: list[Column]) -> Column:
@@ -227,8 +262,8 @@ def predict(
     month: str,
     y: str,
     current: Column,
-    alphas: list[float] | None = None,
     carry: list[str] | None = None,
+    spread: bool = True,
 ) -> DataFrame:
     """All rows of every series, and one for the month after `current`, with `ma`, `es`, `arima`.
 
@@ -236,9 +271,11 @@ def predict(
     up to the current month; other rows stay without predictions. A series needs two training
     rows (three with the new one). The first three smoothing and autoregressive values are
     missing, as is a moving average without three values before it. `carry` names further
-    columns to keep, which saves a join back to the input.
+    columns to keep, which saves a join back to the input. `spread` distributes the series over
+    all shuffle partitions; leave it out when the input is already spread by series.
     """
     carry = carry or []
+    df = spread_series(df, series) if spread else df
     trains = finite(F.col(y)) & (F.col(month) <= current)
     flagged = df.withColumns({"_y": F.when(trains, F.col(y)), "_train": trains})
     pair = F.struct(F.col(month).alias("m"), F.col("_y").alias("y"))
@@ -259,7 +296,7 @@ def predict(
             "new": F.when(enough, F.array(next_month(current))).otherwise(F.array().cast("array<date>")),
         }
     )
-    fitted = fitted.withColumn("es", F.when(enough, best_smoothing(F.col("vals"), alphas)))
+    fitted = fitted.withColumn("es", F.when(enough, best_smoothing(F.col("vals"))))
     levels = smoothed_levels(F.col("vals"), F.col("es.alpha"), F.col("es.start"))
     months = F.array_union(F.map_keys("all"), F.col("new"))
     rows = fitted.withColumn("levels", F.when(enough, levels)).select(

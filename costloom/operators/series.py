@@ -47,3 +47,13 @@ def append_next_month(df: DataFrame, series: list[str], month: str, current: Col
 def actual_until(month: Column, current: Column, actual: Column, planned: Column) -> Column:
     """Actual quantity up to the current month, planned quantity after it."""
     return F.when(month <= current, actual).otherwise(planned)
+
+
+def spread_series(df: DataFrame, series: list[str]) -> DataFrame:
+    """Distribute whole series over all shuffle partitions.
+
+    Fitting costs much computation per row, so partitions must not be merged by their few bytes;
+    a partition count that is given explicitly is kept by adaptive execution.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *series)

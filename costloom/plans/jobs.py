@@ -9,6 +9,7 @@ from costloom.contracts import gap_contract, level1_contract, prediction_contrac
 from costloom.operators import alerts, fx
 from costloom.operators.lookups import category_codes, forecast_versions, latest_actual_month
 from costloom.plans import alerting, cost, performance, prediction, staging
+from costloom.session import settle
 from costloom.sources.store import Store
 
 
@@ -101,13 +102,13 @@ def level0_groups(codes: list[str]) -> list[str]:
     return sorted(K.LEVEL0_PREFIX + K.LEVEL0_NAMES.get(h, h) for h in heads)
 
 
-def run_forecast(store: Store, alphas: list[float] | None = None) -> None:
+def run_forecast(store: Store) -> None:
     """Cost detail to predictions, and predictions to the cost overview."""
     fx_rates = rates(store)
     current = latest_actual_month(store.read("staging", "tbl_is_modeltype")).scalar()
     series = prediction.unit_cost_series(store.read("app", "cost_overview_dtl"), current)
     predicted = prediction.tag_prediction(
-        prediction.cost_prediction_detail(series, current, alphas), fx_rates
+        prediction.cost_prediction_detail(series, current), fx_rates
     )
     store.write(predicted, "app", "cost_prediction_dtl", contract=prediction_contract())
     categories = store.read("app", "cost_category")
@@ -126,12 +127,17 @@ def run_alerts(store: Store) -> None:
     """Performance and cost tables to alerts and leads."""
     ledger, unit = store.read("staging", "tbl_is_modeltype"), store.read("staging", "tbl_unitmoh_monthly")
     current = latest_actual_month(ledger).scalar()
-    base = alerting.alert_base(
-        store.read("app", "perf_kpi_model"), unit, ledger, store.read("staging", "dim_project"), current
+    base = settle(
+        alerting.alert_base(
+            store.read("app", "perf_kpi_model"), unit, ledger, store.read("staging", "dim_project"),
+            current,
+        )
     )
-    site = alerting.site_alert_base(
-        base, store.read("app", "cost_overview_dtl_ntd"), store.read("dim", "tbl_cost_control_list"),
-        current,
+    site = settle(
+        alerting.site_alert_base(
+            base, store.read("app", "cost_overview_dtl_ntd"),
+            store.read("dim", "tbl_cost_control_list"), current,
+        )
     )
     numbered = alerts.number_alerts(
         alerting.all_alerts(base, site, store.read("raw", "param_control"))

@@ -13,7 +13,7 @@ from costloom.operators.joins import without_pairs
 from costloom.operators.lookups import cost_category_code, product_type
 from costloom.operators.reshape import pivot_mean
 from costloom.operators.rollup import four_level
-from costloom.operators.series import actual_until, long_enough
+from costloom.operators.series import actual_until, long_enough, spread_series
 
 SERIES = ["bg", "bu", "site", "product", "cost_item_level1"]
 MODELS = {"ma": "ma", "es": "es", "arima": "arima"}
@@ -44,12 +44,10 @@ def unit_cost_series(detail: DataFrame, current: Column, min_rows: int = 6) -> D
             ),
         }
     )
-    return long_enough(priced, SERIES, min_rows)
+    return long_enough(spread_series(priced, SERIES), SERIES, min_rows)
 
 
-def cost_prediction_detail(
-    series: DataFrame, current: Column, alphas: list[float] | None = None
-) -> DataFrame:
+def cost_prediction_detail(series: DataFrame, current: Column) -> DataFrame:
     """The series with three predictions per standard (app.cost_prediction_dtl).
 
     Both standards are predicted in one pass over the series partitions. The predicted month is
@@ -62,7 +60,7 @@ def cost_prediction_detail(
         *SERIES, "reporting_month", *keep, "_o.*"
     )
     predicted = forecast.predict(
-        long, [*SERIES, "standard"], "reporting_month", "y", current, alphas, carry=keep
+        long, [*SERIES, "standard"], "reporting_month", "y", current, carry=keep, spread=False
     )
     return predicted.groupBy(*SERIES, "reporting_month").agg(
         *[F.max(c).alias(c) for c in keep],

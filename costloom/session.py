@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "costloom", **conf: str) -> SparkSession:
@@ -40,3 +41,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="costloom-checkpoint-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a frame that several consumers read to the shared folder, and read it back.
+
+    The work up to here is then done once; what follows starts from stored columns with known
+    sizes, and a lost executor costs only a re-read.
+    """
+    folder = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{folder}/costloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
