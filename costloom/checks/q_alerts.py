@@ -91,7 +91,7 @@ LEFT JOIN (SELECT product, coalesce(sum(value), 0) AS muv FROM ledger WHERE type
 
 def base(d: Domain) -> DataFrame:
     """KPI rows of the month; several rules read them, so they are stored once."""
-    rows = alerting.alert_base(perf_kpi(d), d.unit_moh, d.ledger, d.dim_project, current(d))
+    rows = alerting.alert_base(settle(perf_kpi(d)), d.unit_moh, d.ledger, d.dim_project, current(d))
     return settle(rows)
 
 

@@ -183,7 +183,7 @@ def month_filters(d: Domain) -> DataFrame:
         ("horizon", dates.within_next_months(m, day)),
     ]
     frames = [
-        d.lines.filter(cond).groupBy(F.lit(name).alias("part"), "m").agg(F.count(F.lit(1)).alias("n"))
+        d.cube.filter(cond).groupBy(F.lit(name).alias("part"), "m").agg(F.sum("n").alias("n"))
         for name, cond in parts
     ]
     out = frames[0]
@@ -201,7 +201,7 @@ define(
 
 
 def months(d: Domain) -> DataFrame:
-    return d.lines.groupBy("product", "type", "m").agg(
+    return d.cube.groupBy("product", "type", "m").agg(
         F.sum("cents").alias("cents"), F.sum(F.when(F.col("ln") > 3, F.col("q"))).alias("late")
     )
 
@@ -231,7 +231,7 @@ WHERE n >= 11
 """,
 )
 def series_gate(d: Domain) -> DataFrame:
-    rows = d.lines.filter((F.col("type") == "Actual") & (F.col("ln") == 5))
+    rows = d.cube.filter((F.col("type") == "Actual") & (F.col("ln") == 5))
     monthly = rows.groupBy("product", F.year("m").alias("y"), "m").agg(F.sum("cents").alias("cents"))
     kept = long_enough(monthly, ["product", "y"], 11)
     return kept.withColumn("n", series_length(["product", "y"]))
@@ -261,10 +261,10 @@ FROM (SELECT product, m, sum(q) FILTER (type = 'Actual') AS actual, sum(q) FILTE
 )
 def quantity_substitution(d: Domain) -> DataFrame:
     t, q = F.col("type"), F.col("q")
-    rows = d.lines.groupBy("product", "m").agg(
+    rows = d.cube.groupBy("product", "m").agg(
         F.sum(F.when(t == "Actual", q)).alias("actual"), F.sum(F.when(t == "R3M", q)).alias("r3m")
     )
-    last = d.lines.filter((t == "Budget") & (F.col("ln") == 7) & (F.year("m") < 1999)).agg(F.max("m"))
+    last = d.cube.filter((t == "Budget") & (F.col("ln") == 7) & (F.year("m") < 1999)).agg(F.max("m"))
     rows = rows.withColumn("current", last.scalar())
     quantity = actual_until(F.col("m"), F.col("current"), F.col("actual"), F.col("r3m"))
     return rows.select("product", "m", "actual", "r3m", quantity.alias("quantity"))

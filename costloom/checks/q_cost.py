@@ -20,6 +20,7 @@ from costloom.operators.reshape import (
     with_aggregate_level,
 )
 from costloom.plans import cost
+from costloom.session import settle
 
 TYPES = ["actual", "budget", "r3m"]
 
@@ -307,7 +308,7 @@ GROUP BY ALL
 """,
 )
 def level_split(d: Domain) -> DataFrame:
-    rows = detail(d)
+    rows = settle(detail(d))
     moh, rest = split_rows(rows, cost.is_site_moh(F.col("cost_item_level1")))
     single, several = split_no_level2(rest)
     parts = [("moh", moh), ("single", single), ("several", several), ("labelled", with_aggregate_level(rows))]

@@ -17,6 +17,7 @@ from costloom.operators import forecast
 from costloom.operators.lookups import latest_actual_month
 from costloom.operators.series import lagged_mean
 from costloom.plans import prediction
+from costloom.session import settle
 
 # --- the three models in SQL ------------------------------------------------------------------
 
@@ -240,7 +241,7 @@ WHERE months >= 6
 
 def unit_series(d: Domain) -> tuple[DataFrame, object]:
     current = latest_actual_month(d.ledger).scalar()
-    return prediction.unit_cost_series(detail(d), current), current
+    return prediction.unit_cost_series(settle(detail(d)), current), current
 
 
 @query(

@@ -16,6 +16,7 @@ from costloom.operators.reshape import pivot_sum
 from costloom.operators.rollup import four_level
 from costloom.operators.series import rolling_mean
 from costloom.plans import performance
+from costloom.session import settle
 
 # --- the rollup on the plain star schema ----------------------------------------------------
 
@@ -380,7 +381,8 @@ FROM overview_levels
     ),
 )
 def perf_overview_all(d: Domain) -> DataFrame:
-    out = performance.perf_overview_all(perf_kpi(d), overview(d), d.dim_project, d.rates, d.versions)
+    kpi = settle(perf_kpi(d))
+    out = performance.perf_overview_all(kpi, overview(d), d.dim_project, d.rates, d.versions)
     return conform(out, TABLES["app.perf_overview_all"].schema)
 
 

@@ -16,7 +16,7 @@ from costloom.functions.dates import month_start
 from costloom.operators.lookups import latest_by
 from costloom.operators.reshape import melt, stack
 from costloom.plans import staging
-from costloom.session import ensure_checkpoint_dir
+from costloom.session import ensure_checkpoint_dir, settle
 from costloom.sources import Store, Template
 from costloom.sources.templates import load_all
 
@@ -259,7 +259,7 @@ LEFT JOIN quote_moh USING (period_start, model_name, accounting_item_desc)
 )
 def unit_moh(d: Domain) -> DataFrame:
     quotes = staging.quote_by_item(quote(d), d.items_map, d.rates)
-    return staging.unit_moh(moh_raw(d), quotes)
+    return staging.unit_moh(settle(moh_raw(d)), quotes)
 
 
 # --- KPI feeds --------------------------------------------------------------------------------------
