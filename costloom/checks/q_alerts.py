@@ -207,9 +207,11 @@ define(
 SELECT *, coalesce(actual_total_cost > {_OVER} * budget_total_cost, false) AS tot_cost_is_high,
   coalesce(actual_unit_cost > {_OVER} * budget_unit_cost, false) AS unit_cost_is_high,
   {_ieee("actual_total_cost - budget_total_cost", _SITE_REV)} AS tot_cost_impact,
-  {_ieee("(actual_unit_cost - budget_unit_cost) * actual_shipment", _SITE_REV)} AS unit_cost_impact
+  {_ieee("unit_gap", _SITE_REV)} AS unit_cost_impact
+FROM (SELECT *, CASE WHEN NOT isnan((actual_unit_cost - budget_unit_cost) * actual_shipment)
+  THEN (actual_unit_cost - budget_unit_cost) * actual_shipment END AS unit_gap
 FROM (SELECT *, {", ".join(_ieee(f"{t}_total_cost", f"{t}_shipment") + f" AS {t}_unit_cost" for t in ("actual", "budget", "r3m"))}
-  FROM site_base)
+  FROM site_base))
 """,
 )
 define(

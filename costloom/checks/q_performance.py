@@ -99,7 +99,7 @@ def _names(names: list[str]) -> str:
     return ", ".join(f"'{n}'" for n in names)
 
 
-@query("ledger_pivot_sum", "A1 R8 J11", _PIVOT.format(cols=_sum_where(_APP), cat="app_item", names=_names(_APP)))
+@query("ledger_pivot_sum", "A1 R8 J11 C3", _PIVOT.format(cols=_sum_where(_APP), cat="app_item", names=_names(_APP)))
 def ledger_pivot_sum(d: Domain) -> DataFrame:
     mapped = app_item_of(d.ledger, d.merge_map)
     return pivot_sum(mapped, ["reporting_month", "product", "type"], "app_item", "value", _APP)
