@@ -117,9 +117,10 @@ def product_name() -> Column:
 class Domain:
     """Lazy frames over one folder of test tables."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, shared: bool = True):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.shared = shared
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -166,8 +167,9 @@ class Domain:
     def cube(self) -> DataFrame:
         """Line items summed by month, product, type, line number and status.
 
-        The domain tables below all come from these few cells, so the line items are read and
-        joined once, and combined before their shuffle, however many tables a query uses.
+        The domain tables below all come from these few cells. A query that uses several of them
+        stores the cells, so that the line items are read and joined once; a query with one use
+        leaves them to the optimizer, which prunes what it does not need.
         """
         cents = F.col("cents")
 
@@ -193,7 +195,7 @@ class Domain:
             F.max("tax").alias("max_tax"),
             F.min("tax").alias("min_tax"),
         )
-        return settle(self.named(cells))
+        return settle(self.named(cells)) if self.shared else self.named(cells)
 
     @staticmethod
     def measures() -> dict[str, Column]:

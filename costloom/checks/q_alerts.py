@@ -52,6 +52,7 @@ _FIXED = "(' Electricity&Water', 'other utilities', 'IDL', 'Depreciation-W-buy')
     "A8 P9",
     f"""SELECT product, coalesce(sum(unit_moh_actual), 0) AS fixed_moh_cost FROM unit_moh
 WHERE moh_item IN {_FIXED} GROUP BY product""",
+    shared=False,
 )
 def fixed_cost(d: Domain) -> DataFrame:
     return alerting.fixed_moh_cost(d.unit_moh)
@@ -66,6 +67,7 @@ SELECT product, coalesce(sum(value) FILTER (line_item = 'Material cost_Purchase
 FROM ledger WHERE type = 'Actual' AND line_item IN ('Material cost_Purchase price variance', 'Material cost_Material usage variance')
 GROUP BY product
 """,
+    shared=False,
 )
 def ppv_muv(d: Domain) -> DataFrame:
     return alerting.price_and_usage_variance(d.ledger)

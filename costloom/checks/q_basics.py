@@ -214,6 +214,7 @@ SELECT product, type, m, late, CASE WHEN count(late) OVER w = 3 THEN avg(late) O
 FROM months WINDOW w AS (PARTITION BY product, type ORDER BY m ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)
 ORDER BY product, type, m
 """,
+    shared=False,
 )
 def moving_average(d: Domain) -> DataFrame:
     ma = lagged_mean(F.col("late"), ["product", "type"], "m", 3)
@@ -229,6 +230,7 @@ SELECT product, y, m, cents, n FROM (
     SELECT product, year(m) AS y, m, sum(cents) AS cents FROM lines WHERE type = 'Actual' AND ln = 5 GROUP BY ALL))
 WHERE n >= 11
 """,
+    shared=False,
 )
 def series_gate(d: Domain) -> DataFrame:
     rows = d.cube.filter((F.col("type") == "Actual") & (F.col("ln") == 5))

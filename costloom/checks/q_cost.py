@@ -285,6 +285,7 @@ def type_unpivot(d: Domain) -> DataFrame:
 SELECT reporting_month, line_item, {", ".join(f"sum(value) FILTER (type = '{t}') / count(value) FILTER (type = '{t}') AS {t.lower()}" for t in K.TYPES)}
 FROM ledger WHERE value IS NOT NULL GROUP BY reporting_month, line_item
 """,
+    shared=False,
 )
 def type_pivot_mean(d: Domain) -> DataFrame:
     names = {t: t.lower() for t in K.TYPES}

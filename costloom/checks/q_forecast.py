@@ -199,6 +199,7 @@ def es_grid(d: Domain) -> DataFrame:
     "WITH RECURSIVE "
     + predict_ctes("prices", ["product", "type"], "m", "price", "DATE '2999-01-01'")
     + "SELECT product, type, ord AS order_used, diff AS differenced, icpt AS intercept, b1, b2, b3 FROM ar",
+    shared=False,
 )
 def ar_model(d: Domain) -> DataFrame:
     fitted = forecast.ar_models(prices(d), ["product", "type"], "m", "price")

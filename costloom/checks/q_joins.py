@@ -77,6 +77,7 @@ def typed_months(d: Domain) -> DataFrame:
     "fx_mixed_type",
     "J13 J14 A23 S1 G17",
     rate_by_type("typed_months", "reporting_month, product, type, amount, 'NTD' AS currency, fx AS fx_rate"),
+    shared=False,
 )
 def fx_mixed_type(d: Domain) -> DataFrame:
     return fx.tag_local(typed_months(d), d.rates, d.versions)
@@ -87,6 +88,7 @@ def fx_mixed_type(d: Domain) -> DataFrame:
     "F18 G17 J12",
     """SELECT reporting_month, product, type, amount / fx AS amount, 'USD' AS currency, fx AS fx_rate
 FROM typed_months LEFT JOIN fx_actual ON month = reporting_month""",
+    shared=False,
 )
 def fx_to_foreign(d: Domain) -> DataFrame:
     tagged = fx.tag_foreign(typed_months(d), d.rates)
@@ -103,6 +105,7 @@ def fx_to_foreign(d: Domain) -> DataFrame:
 SELECT reporting_month, t.product, type, amount, site, code, project_status, product_type
 FROM typed_months t LEFT JOIN project_info ON project_name = t.product
 """,
+    shared=False,
 )
 def project_lookups(d: Domain) -> DataFrame:
     rows = site_of_product(typed_months(d), d.project_info, "product")
@@ -158,6 +161,7 @@ SELECT reporting_month, scrap, amount, (SELECT arg_max(value, date) FROM params
 FROM (SELECT reporting_month, sum(fg_scrap_amount) AS scrap, sum(cogs) AS amount FROM kpi GROUP BY 1)
 WHERE scrap > amount * (SELECT arg_max(value, date) FROM params WHERE param = 'scrap_target')
 """,
+    shared=False,
 )
 def params_latest(d: Domain) -> DataFrame:
     target = latest_param(d.params).filter(F.col("param") == "scrap_target").select("value").scalar()

@@ -99,13 +99,13 @@ def _names(names: list[str]) -> str:
     return ", ".join(f"'{n}'" for n in names)
 
 
-@query("ledger_pivot_sum", "A1 R8 J11 C3", _PIVOT.format(cols=_sum_where(_APP), cat="app_item", names=_names(_APP)))
+@query("ledger_pivot_sum", "A1 R8 J11 C3", _PIVOT.format(cols=_sum_where(_APP), cat="app_item", names=_names(_APP)), shared=False)
 def ledger_pivot_sum(d: Domain) -> DataFrame:
     mapped = app_item_of(d.ledger, d.merge_map)
     return pivot_sum(mapped, ["reporting_month", "product", "type"], "app_item", "value", _APP)
 
 
-@query("variance_pivot", "A2 F15", _PIVOT.format(cols=_sum_where(_VAR), cat=_VAR_CASE, names=_names(_VAR)))
+@query("variance_pivot", "A2 F15", _PIVOT.format(cols=_sum_where(_VAR), cat=_VAR_CASE, names=_names(_VAR)), shared=False)
 def variance_pivot(d: Domain) -> DataFrame:
     tagged = d.ledger.withColumn("cat", variance_category(F.col("line_item")))
     return pivot_sum(tagged, ["reporting_month", "product", "type"], "cat", "value", _VAR)
@@ -127,7 +127,7 @@ FROM app_sums s LEFT JOIN var_sums v USING (reporting_month, product, type)
 )
 
 
-@query("ledger_stats", "J20 P5 F17", "SELECT * FROM stats")
+@query("ledger_stats", "J20 P5 F17", "SELECT * FROM stats", shared=False)
 def ledger_stats(d: Domain) -> DataFrame:
     return performance.ledger_stats(d.ledger, d.merge_map)
 
@@ -242,6 +242,7 @@ SELECT reporting_month, product, inventory,
   CASE WHEN count(inventory) OVER w = 2 THEN avg(inventory) OVER w END AS avg_inventory
 FROM kpi WINDOW w AS (PARTITION BY product ORDER BY reporting_month ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)
 """,
+    shared=False,
 )
 def inventory_avg(d: Domain) -> DataFrame:
     mean = rolling_mean(F.col("inventory"), ["product"], "reporting_month", 2)
@@ -462,6 +463,7 @@ def health_rates(d: Domain) -> DataFrame:
     "latest_month",
     "A12 T4 P7",
     "SELECT max(reporting_month) AS latest_month FROM ledger WHERE type = 'Actual'",
+    shared=False,
 )
 def latest_month(d: Domain) -> DataFrame:
     return latest_actual_month(d.ledger)

@@ -73,7 +73,7 @@ _NORMAL_COLUMNS = [c.strip().strip('"') for c in _NORMAL.split(",")]
 
 for _kind, _ids in (("Budget", "G1 W3 T2 F1 F8 F13 R1 J4 J5 J12 P3 P8"), ("R3M", "G1 F4 J12")):
 
-    @query(f"pl_normalise_{_kind.lower()}", _ids, f"SELECT {_NORMAL} FROM normal_pl WHERE type = '{_kind}'")
+    @query(f"pl_normalise_{_kind.lower()}", _ids, f"SELECT {_NORMAL} FROM normal_pl WHERE type = '{_kind}'", shared=False)
     def pl_normalise(d: Domain, kind: str = _kind) -> DataFrame:
         return normal(d, kind).select(*_NORMAL_COLUMNS)
 
@@ -93,6 +93,7 @@ SELECT "Period" AS reporting_month, bg, bu, "Site" AS site, "Project" AS product
   "FX" AS fx_rate, "Version" AS version
 FROM normal_pl WHERE type = 'Budget' AND (accounting_item_group IS NOT NULL OR currency IS NULL)
 """,
+    shared=False,
 )
 def pl_to_ledger(d: Domain) -> DataFrame:
     rows = staging.pl_to_ledger(normal(d, "Budget"))
@@ -165,7 +166,7 @@ def history(d: Domain) -> DataFrame:
     )
 
 
-@query("actual_to_is_model", "G5 F8 F13 P3 P4 P8 R1 J4 J5", "SELECT * FROM is_model")
+@query("actual_to_is_model", "G5 F8 F13 P3 P4 P8 R1 J4 J5", "SELECT * FROM is_model", shared=False)
 def actual_to_is_model(d: Domain) -> DataFrame:
     return staging.actual_to_is_model(history(d), d.items_map, d.item_codes)
 
@@ -179,6 +180,7 @@ SELECT period_start AS reporting_month, profit_center_name AS bg, '' AS bu, site
   amount AS value, currency, fx AS fx_rate, make_date(year(period_start) - 1, 12, 1) AS version
 FROM is_model LEFT JOIN project_info ON model_name = project_name LEFT JOIN fx_actual ON month = period_start
 """,
+    shared=False,
 )
 def actual_ledger(d: Domain) -> DataFrame:
     rows = staging.is_model_to_ledger(

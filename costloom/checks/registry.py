@@ -19,22 +19,29 @@ class Query:
     covers: tuple[str, ...]
     run: QueryFn
     sql: str | None
+    shared: bool = True
 
     def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return self.run(Domain(spark, sf_dir))
+        return self.run(Domain(spark, sf_dir, self.shared))
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def query(name: str, covers: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
-    """Register a query. `sql` may name the shared tables of `ctes` as {tables}."""
+def query(
+    name: str, covers: str, sql: str | None = None, shared: bool = True
+) -> Callable[[QueryFn], QueryFn]:
+    """Register a query.
+
+    `covers` lists operator ids; `sql` may name the tables of `ctes`; `shared` says that the
+    query reads the line item cells more than once, so they are stored between.
+    """
 
     def add(fn: QueryFn) -> QueryFn:
         if name in REGISTRY:
             raise ValueError(f"query {name} is registered twice")
         text = with_tables(sql) if sql is not None else None
-        REGISTRY[name] = Query(name, tuple(covers.split()), fn, text)
+        REGISTRY[name] = Query(name, tuple(covers.split()), fn, text, shared)
         return fn
 
     return add
