@@ -120,14 +120,6 @@ def greatest_first(a: Column, b: Column) -> Column:
     return F.when(a.isNotNull(), F.greatest(a, b))
 
 
-def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(names)
-
-
-def coalesce_all(*cols: Column) -> Column:
-    return F.coalesce(*cols)
-
-
 def any_of(c: Column, values: Sequence[str]) -> Column:
     """Set membership, false for a missing value."""
     return holds(c.isin(list(values)))

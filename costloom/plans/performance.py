@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 
 from costloom import constants as K
 from costloom.functions.dates import from_year
-from costloom.functions.missing import any_of, col, div_guarded, div_ieee, drop_null_keys, sum0, sum_where
+from costloom.functions.missing import (
+    col,
+    div_guarded,
+    div_ieee,
+    drop_null_keys,
+    inf_to_null,
+    sum0,
+    sum_where,
+)
 from costloom.operators import fx
 from costloom.operators.health import health_score
 from costloom.operators.joins import left_on
@@ -227,11 +235,7 @@ def health_kpi_model(perf_kpi: DataFrame, overview: DataFrame) -> DataFrame:
     )
     joined = ratios.join(actual, keys, "left")
     names = ["shipment_rate", "production_rate", "material_cost_variance", "unit_moh_rate"]
-    return joined.withColumns({n: _no_inf(col(n)) for n in names})
-
-
-def _no_inf(c: Column) -> Column:
-    return F.when(F.abs(c) != float("inf"), c)
+    return joined.withColumns({n: inf_to_null(col(n)) for n in names})
 
 
 def health_ratios(sums: DataFrame) -> DataFrame:
@@ -247,7 +251,7 @@ def health_ratios(sums: DataFrame) -> DataFrame:
         "ads": ratio("avg_inventory_for_ads", "cogs_for_ads") * F.lit(30.0),
     }
     return sums.select(
-        "bg", "reporting_month", "cat_ind", *[_no_inf(c).alias(n) for n, c in rates.items()]
+        "bg", "reporting_month", "cat_ind", *[inf_to_null(c).alias(n) for n, c in rates.items()]
     )
 
 
@@ -262,7 +266,3 @@ def health_kpi_group(health: DataFrame, dim_project: DataFrame) -> DataFrame:
     return four_level(
         typed, ["bg", "reporting_month"], HEALTH_SUMS, means=["unit_moh_quote"], post=health_ratios
     )
-
-
-def is_variance(item: Column) -> Column:
-    return any_of(item, list(K.VARIANCE_OF_ITEM))

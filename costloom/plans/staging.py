@@ -17,7 +17,7 @@ from costloom.operators.lookups import (
     model_code_of_product,
     site_of_product,
 )
-from costloom.operators.reshape import melt, pivot_mean, split_rows, stack
+from costloom.operators.reshape import melt, pivot_mean, split_rows
 
 
 def dim_project(project_info: DataFrame) -> DataFrame:
@@ -281,8 +281,3 @@ def kpi_model(
             "FX": "fx_rate",
         }
     )
-
-
-def whole_ledger(actual: DataFrame, budget: DataFrame, r3m: DataFrame) -> DataFrame:
-    """The three ledger parts as one table."""
-    return stack(actual, budget, r3m)

@@ -24,8 +24,13 @@ class Store:
         return f"{self.root}/{schema}/{table.replace(' ', '_').replace('&', 'and')}"
 
     def read(self, schema: str, table: str) -> DataFrame:
-        """A whole table, without its surrogate id. NaN becomes null here."""
-        df = self.spark.read.parquet(self.path(schema, table))
+        """A whole table, without its surrogate id. NaN becomes null here.
+
+        A table with a contract is read with its declared schema, so no file is opened to learn it.
+        """
+        contract = TABLES.get(f"{schema}.{table}")
+        reader = self.spark.read.schema(contract.schema) if contract else self.spark.read
+        df = reader.parquet(self.path(schema, table))
         return nan_to_null_all(df.drop("id"))
 
     def write(
