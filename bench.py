@@ -53,7 +53,7 @@ def main() -> None:
     conf = {
         "spark.master": f"local[{cpus}]",
         "spark.ui.enabled": "false",
-        "spark.sql.shuffle.partitions": str(2 * cpus),
+        "spark.sql.shuffle.partitions": str(cpus),
     }
     spark = get_spark("costloom-bench", **conf)
     spark.sparkContext.setLogLevel("ERROR")
@@ -79,7 +79,7 @@ def main() -> None:
                 "queries": timings,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
                 "cpus": cpus,
-                "shuffle_partitions": 2 * cpus,
+                "shuffle_partitions": cpus,
                 "runs": runs,
                 "spark": spark.version,
             }

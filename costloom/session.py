@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 def get_spark(app: str = "costloom", **conf: str) -> SparkSession:
     """Return the running session, or start one.
 
-    Master, memory and partition counts belong to the cluster (spark-submit); only settings
-    that the results depend on are fixed here.
+    Master, memory and partition counts belong to the cluster (spark-submit); only settings that
+    results and plans depend on are fixed here, and the recording of Python call sites, which
+    about doubles the time to build a plan, is switched off.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -21,6 +22,7 @@ def get_spark(app: str = "costloom", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
