@@ -95,7 +95,7 @@ SELECT m AS reporting_month, 'SDBG' AS bg, '' AS bu, {SITE.format(b='bn')} AS si
 FROM moh_base, (VALUES ('IDL', CAST(64 AS DOUBLE)), ('Depreciation-W-buy', 96), (' Electricity&Water', 256),
   ('other utilities', 1000), ('Production quantity', 3)) i(moh_item, k)""",
     "raw_pl": """
-SELECT type, year(m) AS "Year", month(m) AS "Month", strftime(m, '%Y/%m') AS "Period", """
+SELECT type, CAST(year(m) AS INT) AS "Year", CAST(month(m) AS INT) AS "Month", strftime(m, '%Y/%m') AS "Period", """
     + SITE.format(b="bn")
     + """ AS "Site", product AS "Project", "Version", m, """
     + ", ".join(f'{s} AS "{n}"' for n, s, _, _ in RAW_COLUMNS)

@@ -38,7 +38,7 @@ from costloom.plans.staging import _currency
     "F1 F2 F3 F4 F5 F6 F7 C13",
     """
 SELECT d, date_trunc('month', d)::DATE AS month_start, date_trunc('month', d)::DATE AS parsed_month,
-  d AS parsed_day, d AS parsed_version, year(d) AS y,
+  d AS parsed_day, d AS parsed_version, CAST(year(d) AS INT) AS y,
   (date_trunc('month', d) + INTERVAL 1 MONTH)::DATE AS rate_month, make_date(year(d) - 1, 12, 1) AS december,
   (d + INTERVAL 1 MONTH)::DATE AS next_month,
   greatest(date_diff('day', d, DATE '1999-01-01'), 0) / CAST(30 AS DOUBLE) AS age, n
@@ -227,7 +227,7 @@ def moving_average(d: Domain) -> DataFrame:
     """
 SELECT product, y, m, cents, n FROM (
   SELECT *, count(*) OVER (PARTITION BY product, y) AS n FROM (
-    SELECT product, year(m) AS y, m, sum(cents) AS cents FROM lines WHERE type = 'Actual' AND ln = 5 GROUP BY ALL))
+    SELECT product, CAST(year(m) AS INT) AS y, m, sum(cents) AS cents FROM lines WHERE type = 'Actual' AND ln = 5 GROUP BY ALL))
 WHERE n >= 11
 """,
     shared=False,

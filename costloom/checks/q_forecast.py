@@ -174,7 +174,7 @@ def forecast_models(d: Domain) -> DataFrame:
     "H3",
     "WITH RECURSIVE "
     + predict_ctes("prices", ["product", "type"], "m", "price", _CUR)
-    + "SELECT product, type, n, alpha, start FROM best JOIN counted USING (product, type)",
+    + "SELECT product, type, CAST(n AS INT) AS n, alpha, start FROM best JOIN counted USING (product, type)",
 )
 def es_grid(d: Domain) -> DataFrame:
     rows = prices(d)
