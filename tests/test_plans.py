@@ -35,7 +35,11 @@ def test_rollup_scans_the_fact_once(spark):
 
 
 def test_pivots_shuffle_once(spark):
-    assert built(spark, "variance_pivot").count("Exchange hashpartitioning") == 1
+    from costloom.operators.reshape import pivot_mean, pivot_sum
+
+    df = spark.createDataFrame([], "k string, c string, v double")
+    for pivot in (pivot_sum, pivot_mean):
+        assert plan(pivot(df, ["k"], "c", "v", ["x", "y", "z"])).count("Exchange") == 1
 
 
 def test_latest_version_combines_before_its_shuffle(spark):
