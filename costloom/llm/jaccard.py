@@ -234,7 +234,7 @@ def _link(buckets: DataFrame, facts: DataFrame, labels: DataFrame, percent: int)
                 F.min("comp").alias("lo"),
                 F.max("comp").alias("hi"),
                 F.count("*").alias("size"),
-                F.min_by(F.struct("id", "comp", *bounds), F.xxhash64("id", F.lit(turn))).alias("pivot"),
+                F.min_by(F.struct("id", "comp", *bounds), F.xxhash64("id", "t", F.lit(turn))).alias("pivot"),
             )
             .filter("lo <> hi"),
             "mixed",
