@@ -120,7 +120,7 @@ SELECT type, CAST(year(m) AS INT) AS "Year", CAST(month(m) AS INT) AS "Month", s
     + _values(PARAMS, "param, value, d")
     + ")",
     "order_months": "SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders",
-    "fx_actual": "SELECT m AS month, CAST(30 AS DOUBLE) + month(m) / CAST(16 AS DOUBLE) AS fx FROM order_months",
+    "fx_actual": "SELECT m AS month, CAST(16 << CAST(month(m) % 3 AS INT) AS DOUBLE) AS fx FROM order_months",
     "fx_budget": "SELECT DISTINCT year(m) AS y, CAST(31 AS DOUBLE) + (year(m) % 8) / CAST(8 AS DOUBLE) AS fx FROM order_months",
     "fx_r3m": "SELECT m AS month, CAST(29 AS DOUBLE) + month(m) / CAST(32 AS DOUBLE) AS fx FROM order_months",
     "versions": """

@@ -415,11 +415,14 @@ class Domain:
 
     @cached_property
     def fx_actual(self) -> DataFrame:
-        """Monthly rates of two currency pairs, for the months that have orders."""
+        """Monthly rates of two currency pairs, for the months that have orders.
+
+        Powers of two, so that amounts stay exact when they are divided by a rate.
+        """
         m = self.order_months
         usd = m.select(
             F.col("m").alias("Month"), F.lit("USD").alias("From"), F.lit("NTD").alias("To"),
-            (30.0 + F.month("m") / 16.0).alias("FX"),
+            F.element_at(F.array(F.lit(16.0), F.lit(32.0), F.lit(64.0)), F.month("m") % 3 + 1).alias("FX"),
         )
         return usd.unionByName(usd.withColumns({"From": F.lit("EUR"), "FX": F.col("FX") + 4.0}))
 

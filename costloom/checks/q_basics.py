@@ -13,7 +13,6 @@ from costloom.functions.missing import (
     clamp01,
     div_guarded,
     div_ieee,
-    fill_zero,
     finite,
     greatest_first,
     holds,
@@ -149,8 +148,8 @@ def ratio_rules(d: Domain) -> DataFrame:
     rows = rows.withColumn("b", F.when(F.pmod("n", F.lit(7)) == 0, 0.0).otherwise(F.col("b0")))
     a, b = F.col("a"), F.col("b")
     ieee = div_ieee(a, b)
-    out = rows.select(
-        "product", "ln", "type", "a", "b",
+    return rows.select(
+        "product", "ln", "type", F.coalesce(a, F.lit(0.0)).alias("a0"), "b",
         div_guarded(a, b).alias("guarded"),
         ieee.alias("ieee"),
         inf_to_null(nan_to_null(ieee)).alias("cleaned"),
@@ -160,8 +159,6 @@ def ratio_rules(d: Domain) -> DataFrame:
         finite(ieee).alias("usable"),
         positive_or_null(b).alias("positive"),
     )
-    zeros = fill_zero(out.select("product", "ln", "type", "a").withColumnRenamed("a", "a0"))
-    return out.drop("a").join(zeros, ["product", "ln", "type"])
 
 
 @query(
@@ -225,18 +222,24 @@ def moving_average(d: Domain) -> DataFrame:
     "series_gate",
     "W4 A7 H6",
     """
-SELECT product, y, m, cents, n FROM (
-  SELECT *, count(*) OVER (PARTITION BY product, y) AS n FROM (
-    SELECT product, CAST(year(m) AS INT) AS y, m, sum(cents) AS cents FROM lines WHERE type = 'Actual' AND ln = 5 GROUP BY ALL))
-WHERE n >= 11
+SELECT part, kind, m, cents, n FROM (
+  SELECT *, count(*) OVER (PARTITION BY part, kind) AS n FROM (
+    SELECT l_partkey AS part, l_returnflag AS kind, CAST(date_trunc('month', l_shipdate) AS DATE) AS m,
+      sum(floor(l_extendedprice * 100 + 0.5)) AS cents FROM lineitem GROUP BY ALL))
+WHERE n >= 6
 """,
     shared=False,
 )
 def series_gate(d: Domain) -> DataFrame:
-    rows = d.cube.filter((F.col("type") == "Actual") & (F.col("ln") == 5))
-    monthly = rows.groupBy("product", F.year("m").alias("y"), "m").agg(F.sum("cents").alias("cents"))
-    kept = long_enough(monthly, ["product", "y"], 11)
-    return kept.withColumn("n", series_length(["product", "y"]))
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("double")
+    month = F.trunc("l_shipdate", "month").alias("m")
+    monthly = (
+        d.table("lineitem")
+        .groupBy(F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("kind"), month)
+        .agg(F.sum(cents).alias("cents"))
+    )
+    kept = long_enough(monthly, ["part", "kind"], 6)
+    return kept.withColumn("n", series_length(["part", "kind"]))
 
 
 @query(
@@ -256,7 +259,7 @@ def next_month_rows(d: Domain) -> DataFrame:
     "quantity_substitution",
     "W6 F14",
     """
-SELECT product, m, actual, r3m, CASE WHEN m <= (SELECT max(m) FROM lines WHERE type = 'Budget' AND ln = 7 AND year(m) < 1999)
+SELECT product, m, actual, r3m, CASE WHEN m <= (SELECT max(m) FROM lines WHERE type = 'Actual')
   THEN actual ELSE r3m END AS quantity
 FROM (SELECT product, m, sum(q) FILTER (type = 'Actual') AS actual, sum(q) FILTER (type = 'R3M') AS r3m FROM lines GROUP BY ALL)
 """,
@@ -266,7 +269,7 @@ def quantity_substitution(d: Domain) -> DataFrame:
     rows = d.cube.groupBy("product", "m").agg(
         F.sum(F.when(t == "Actual", q)).alias("actual"), F.sum(F.when(t == "R3M", q)).alias("r3m")
     )
-    last = d.cube.filter((t == "Budget") & (F.col("ln") == 7) & (F.year("m") < 1999)).agg(F.max("m"))
+    last = d.cube.filter(t == "Actual").agg(F.max("m"))
     rows = rows.withColumn("current", last.scalar())
     quantity = actual_until(F.col("m"), F.col("current"), F.col("actual"), F.col("r3m"))
     return rows.select("product", "m", "actual", "r3m", quantity.alias("quantity"))

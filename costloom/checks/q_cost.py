@@ -115,7 +115,7 @@ def cost_detail_foreign(d: Domain) -> DataFrame:
 define(
     "detail_typed",
     """
-SELECT x.*, product_type, cost_cat_code, non_adj_flag FROM detail x
+SELECT x.*, product_type, cost_cat_code, non_adj_flag FROM detail_usd x
 LEFT JOIN dim_project p ON p.product = x.product
 LEFT JOIN categories ON cost_cat_name = cost_item_level1
 """,
@@ -174,7 +174,7 @@ LEFT JOIN fx_actual ON month = reporting_month
 """,
 )
 def cost_level1(d: Domain) -> DataFrame:
-    return cost.cost_overview_level1(detail(d), d.dim_project, d.categories, d.rates, CODES)
+    return cost.cost_overview_level1(detail(d, K.FOREIGN), d.dim_project, d.categories, d.rates, CODES)
 
 
 # --- gap ------------------------------------------------------------------------------------------
@@ -215,7 +215,7 @@ LEFT JOIN fx_actual ON month = reporting_month
 """,
 )
 def cost_gap(d: Domain) -> DataFrame:
-    return cost.cost_overview_gap(detail(d), d.dim_project, d.categories, d.rates, GROUPS)
+    return cost.cost_overview_gap(detail(d, K.FOREIGN), d.dim_project, d.categories, d.rates, GROUPS)
 
 
 # --- second level -----------------------------------------------------------------------------------
@@ -257,7 +257,7 @@ LEFT JOIN fx_actual ON month = reporting_month
 """,
 )
 def level2_unit_cost(d: Domain) -> DataFrame:
-    rows = cost.cost_overview_level2(detail(d), d.dim_project, d.categories, d.rates)
+    rows = cost.cost_overview_level2(detail(d, K.FOREIGN), d.dim_project, d.categories, d.rates)
     return conform(rows, TABLES["app.cost_overview_level2"].schema)
 
 
@@ -275,7 +275,7 @@ FROM detail_long
 def type_unpivot(d: Domain) -> DataFrame:
     ids = ["reporting_month", "product", "cost_item_level1", "cost_item_level2"]
     families = {m: m for m in ("total_cost", "shipment", "production")}
-    return melt_types(detail(d), ids, families)
+    return melt_types(detail(d, K.FOREIGN), ids, families)
 
 
 @query(
@@ -348,7 +348,7 @@ GROUP BY bg, reporting_month, type, cat_ind
 )
 def unit_cost_rollup(d: Domain) -> DataFrame:
     typed = cost_category_code(
-        detail(d).join(d.dim_project.select("product", "product_type"), "product", "left"), d.categories
+        detail(d, K.FOREIGN).join(d.dim_project.select("product", "product_type"), "product", "left"), d.categories
     )
     ids = ["reporting_month", "bg", "site", "product_type", "product"]
     long = melt_types(typed, [*ids, "cost_cat_code"], {"value": "total_cost", "production": "production"})

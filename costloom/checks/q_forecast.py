@@ -232,7 +232,7 @@ FROM (
   SELECT *, count(*) OVER (PARTITION BY {_SERIES}) AS months FROM (
     SELECT reporting_month, {_SERIES}, sum(coalesce(actual_total_cost, 0)) AS actual_total_cost,
       {", ".join(f"avg(coalesce({c}, 0)) AS {c}" for c in ("actual_shipment", "actual_production", "r3m_shipment", "r3m_production"))}
-    FROM detail WHERE reporting_month <= {_LATEST} + INTERVAL 1 MONTH
+    FROM detail_usd WHERE reporting_month <= {_LATEST} + INTERVAL 1 MONTH
       AND NOT (site = 'WMI' AND cost_item_level1 = 'MOH_WEKS') AND NOT (site = 'WKS' AND cost_item_level1 = 'MOH_WMI')
     GROUP BY ALL))
 WHERE months >= 6
@@ -242,7 +242,7 @@ WHERE months >= 6
 
 def unit_series(d: Domain) -> tuple[DataFrame, object]:
     current = latest_actual_month(d.ledger).scalar()
-    return prediction.unit_cost_series(settle(detail(d)), current), current
+    return prediction.unit_cost_series(settle(detail(d, K.FOREIGN)), current), current
 
 
 @query(

@@ -455,7 +455,7 @@ def month_overwrite(d: Domain) -> DataFrame:
         {"currency": F.lit("NTD"), "fx_rate": F.lit(1.0), "version": F.col("reporting_month")}
     )
     store.write(rows, "staging", "tbl_is_modeltype")
-    store.write(rows.filter(F.col("type") == "Budget"), "staging", "tbl_is_modeltype")
+    store.write(rows.filter(F.col("type") == "Budget"), "staging", "tbl_is_modeltype", mode="folders")
     return (
         store.read("staging", "tbl_is_modeltype")
         .groupBy("reporting_month", "type")

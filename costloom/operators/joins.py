@@ -83,17 +83,19 @@ def align_unique(feeds: list[DataFrame], keys: list[str]) -> DataFrame:
     return grouped.withColumn(keys[0], checked).drop(*counts)
 
 
-def densify(entities: DataFrame, items: DataFrame, salts: int = 16) -> DataFrame:
+def densify(entities: DataFrame, items: DataFrame, salts: int | None = None) -> DataFrame:
     """Natural full outer join: every entity gets every item that shares its common columns.
 
     The common column is usually one value for nearly all rows (a business group), so a plain
     shuffle join would send everything to one task. The item list is copied once per salt and
-    the entities are spread over the salts; items without an entity are added at the end.
+    the entities are spread over the salts, four per shuffle partition unless `salts` says otherwise;
+    items without an entity are added at the end.
     Without common columns there is no key to join on, which is an error.
     """
     common = [c for c in entities.columns if c in items.columns]
     if not common:
         raise ValueError("entities and items share no column")
+    salts = salts or 4 * int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = [F.xxhash64(*[col(c) for c in entities.columns])]
     salted = entities.withColumn("_salt", F.pmod(spread[0], F.lit(salts)).cast("int"))
     copies = items.withColumnsRenamed({c: f"_r_{c}" for c in common}).withColumn(

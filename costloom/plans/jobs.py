@@ -40,8 +40,8 @@ def run_staging(store: Store, unique_feeds: bool = False) -> None:
     for kind, table in (("Budget", "budget p&l"), ("R3M", "r3m p&l"), ("Actual", "actual p&l")):
         normal = staging.normalise_pl(store.read("raw", table), items, codes, fx_rates, kind)
         if kind != "Actual":
-            store.write(staging.pl_to_ledger(normal), "staging", "tbl_is_modeltype")
-        store.write(staging.pl_to_moh_raw(normal, info, kind), "raw", "moh_raw")
+            store.write(staging.pl_to_ledger(normal), "staging", "tbl_is_modeltype", mode="folders")
+        store.write(staging.pl_to_moh_raw(normal, info, kind), "raw", "moh_raw", mode="replace" if kind == "Budget" else "folders")
     quotes = staging.quote_by_item(store.read("raw", "quote p&l"), items, fx_rates)
     unit = staging.unit_moh(store.read("raw", "moh_raw"), quotes)
     store.write(unit, "staging", "tbl_unitmoh_monthly")
@@ -118,7 +118,7 @@ def run_forecast(store: Store) -> None:
         store.read("staging", "dim_project"), categories, fx_rates, codes, current,
     )
     store.write(
-        rows, "app", "cost_overview_level1", contract=level1_contract(codes),
+        rows, "app", "cost_overview_level1", mode="folders", contract=level1_contract(codes),
         optional=("shipment", "production"),
     )
 

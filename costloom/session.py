@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,17 +29,14 @@ def get_spark(app: str = "costloom", **conf: str) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Name of the checkpoint folder, taken from `spark.checkpoint.dir` or set before.
+    """Name of the checkpoint folder: `spark.checkpoint.dir`, or one in the warehouse.
 
-    A folder of our own is made only in local mode (tests). On a cluster a machine-local
-    folder would be lost with its executor, so a missing setting is an error there.
+    The same rule holds for every master; nothing is written to a machine-local folder of our choice.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="costloom-checkpoint-")
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

@@ -44,9 +44,9 @@ class Store:
     ) -> None:
         """Store rows in the table's declared shape; infinities become null.
 
-        `replace` overwrites only the folders (months, types) that the rows belong to, so a job
-        can be run again without doubling its rows; a table without folders is replaced whole.
-        `append` adds rows.
+        `replace` replaces the whole table, also months and types that have no rows any more.
+        `folders` overwrites only the folders (months, types) that the rows belong to, for tables
+        that several steps fill. `append` adds rows.
         """
         contract = contract or TABLES.get(f"{schema}.{table}")
         split: list[str] = []
@@ -58,7 +58,8 @@ class Store:
             df = df.hint("rebalance", *[F.col(c) for c in split])
         writer = df.write.mode("append" if mode == "append" else "overwrite")
         if split:
-            writer = writer.partitionBy(*split).option("partitionOverwriteMode", "dynamic")
+            overwrite = "dynamic" if mode == "folders" else "static"
+            writer = writer.partitionBy(*split).option("partitionOverwriteMode", overwrite)
         writer.parquet(self.path(schema, table))
 
     def copy(self, table: str, target: str) -> None:

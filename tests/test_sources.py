@@ -36,10 +36,12 @@ def test_replace_and_append(spark, folder):
     ledger = ledger.withColumns({n: F.lit(None).cast("string") for n in filled if n not in ledger.columns and n not in ("type", "version", "fx_rate")})
     ledger = ledger.withColumns({"type": F.lit("Actual"), "version": F.col("reporting_month"), "fx_rate": F.lit(1.0)})
     store.write(ledger, "staging", "tbl_is_modeltype")
-    store.write(ledger.filter("line_item = 'a'").withColumn("value", F.lit(5.0)), "staging", "tbl_is_modeltype")
+    store.write(ledger.filter("line_item = 'a'").withColumn("value", F.lit(5.0)), "staging", "tbl_is_modeltype", mode="folders")
     assert rows(store.read("staging", "tbl_is_modeltype"), "line_item", "value") == [("a", 5.0), ("b", None)]
     store.write(ledger, "staging", "tbl_is_modeltype", mode="append")
     assert store.read("staging", "tbl_is_modeltype").count() == 4
+    store.write(ledger.filter("line_item = 'b'"), "staging", "tbl_is_modeltype")
+    assert rows(store.read("staging", "tbl_is_modeltype"), "line_item") == [("b",)]  # the other month is gone
     store.truncate("staging", "tbl_is_modeltype")
     assert store.read("staging", "tbl_is_modeltype").count() == 0
 
