@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,51 +56,122 @@ _KINDS = ("", "<num>", "<unit>", "<name>")
 
 
 class Canon(dict):
-    """Word to (literal or placeholder as text, its hash, kind if it opens a sentence, kind inside one, ends a sentence)."""
-
-    def __missing__(self, word: bytes) -> tuple[str, int, int, int, bool, str]:
-        if len(self) > REMEMBERED:
-            self.clear()
+    """Word to its number; per number the hash of its literal, and in bits its kind as first word of a sentence
+    and inside one (two bits each) and whether it ends a sentence."""
+
+    def __init__(self) -> None:
+        self.words: list[bytes] = []
+        self.hashes: list[int] = []
+        self.bits: list[int] = []
+        self._arrays = (np.zeros(0, np.uint64), np.zeros(0, np.uint8))
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self.words)
+        self.words.append(word)
+        if word.isalpha() and word.islower() and word not in _SPECIAL:
+            self.hashes.append(xxhash.xxh3_64_intdigest(word))
+            self.bits.append(0)
+            return number
         raw = word.decode("utf-8", "replace")
         bare = raw.strip(_STRIP)
         low = bare.lower()
         if _NUMBER.match(low) or low in _WORD_NUMBERS:
-            kind = name = 1
+            opens = inside = 1
         elif low in _UNITS:
-            kind = name = 2
+            opens = inside = 2
         else:
-            kind, name = 0, 3 if bare[:1].isupper() else 0
-        value = self[word] = (
-            low,
-            xxhash.xxh3_64_intdigest(low.encode()),
-            kind,
-            name,
-            raw.rstrip("\"'”’)»")[-1:] in (".", "!", "?", ":"),
-        )
-        return value
-
-
+            opens, inside = 0, 3 if bare[:1].isupper() else 0
+        ends = raw.rstrip("\"'”’)»")[-1:] in _ENDS
+        self.hashes.append(xxhash.xxh3_64_intdigest(low.encode()))
+        self.bits.append(opens | inside << 2 | ends << 4)
+        return number
+
+    def literal(self, number: int) -> str:
+        return self.words[number].decode("utf-8", "replace").strip(_STRIP).lower()
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and bits of all numbers."""
+        hashes, bits = self._arrays
+        done = len(hashes)
+        if done < len(self.words):
+            hashes = np.concatenate([hashes, np.array(self.hashes[done:], np.uint64)])
+            bits = np.concatenate([bits, np.array(self.bits[done:], np.uint8)])
+            self._arrays = (hashes, bits)
+        return self._arrays
+
+
+_ENDS = frozenset(".!?:")
 _UNITS = frozenset(UNITS)
+_SPECIAL = frozenset(w.encode() for w in _UNITS | _WORD_NUMBERS)
 _HASHES = np.array([xxhash.xxh3_64_intdigest(k.encode()) for k in _KINDS], dtype=np.uint64)
-
-
-def _template(text: bytes, known: Canon) -> tuple[list[tuple], np.ndarray, np.ndarray]:
-    """Words, their kinds and the hashes of their template tokens."""
-    found = list(map(known.__getitem__, text.split()))
-    n = len(found)
-    if not n:
-        return found, np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    _, hashes, opens, inside, ends = zip(*found, strict=True)
-    ends = np.array(ends)
-    starts = np.concatenate([[True], ends[:-1]])
-    kinds = np.where(starts, np.array(opens), np.array(inside))
-    hashes = np.array(hashes, dtype=np.uint64)
-    return found, kinds, np.where(kinds == 0, hashes, _HASHES[kinds])
-
-
-def _usable(kinds: np.ndarray, width: int) -> np.ndarray:
-    literals = np.concatenate([[0], np.cumsum(kinds == 0)])
-    return literals[width:] - literals[:-width] >= min(MIN_LITERALS, width)
+#: Bytes of text that are cut into words at once.
+_BLOCK = 2_000_000
+
+
+class Templates:
+    """Template windows of texts, many at a time."""
+
+    def __init__(self, width: int, bits: np.ndarray | None) -> None:
+        self.width, self.bits = width, bits
+        self.known = Canon()
+
+    def _maybe(self, keys: np.ndarray) -> np.ndarray:
+        if self.bits is None:
+            return np.ones(len(keys), dtype=bool)
+        slot = (keys & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+        return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+
+    def _row(self, key: np.uint64, place: int, ids: list[int], kinds: list[int]) -> dict:
+        words = [self.known.literal(i) for i in ids]
+        return {
+            "h": int(key.astype(np.int64)),
+            "place": place,
+            "template": " ".join(w if k == 0 else _KINDS[k] for w, k in zip(words, kinds, strict=True)),
+            "slots": [w for w, k in zip(words, kinds, strict=True) if k],
+        }
+
+    def find(self, raws: list[bytes]) -> list[dict]:
+        """`n` (usable windows, all of a short text's one) and `found` of each text."""
+        if len(self.known) > REMEMBERED:
+            self.known = Canon()
+        split = [r.split() for r in raws]
+        sizes = np.array([len(x) for x in split], dtype=np.int64)
+        out = [{"n": 0, "found": []} for _ in raws]
+        if not sizes.sum():
+            return out
+        ids = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        del split
+        hashes, bits = (x[ids] for x in self.known.arrays())
+        ends = bits >= 16
+        first = np.cumsum(sizes) - sizes
+        starts = np.concatenate([[True], ends[:-1]])
+        starts[first[sizes > 0]] = True
+        kinds = np.where(starts, bits & 3, bits >> 2 & 3)
+        hashes = np.where(kinds == 0, hashes, _HASHES[kinds])
+        literal = np.concatenate([[0], np.cumsum(kinds == 0)])
+
+        def add(doc: int, at: int, take: int, key: np.uint64) -> None:
+            part = slice(at, at + take)
+            out[doc]["found"].append(self._row(key, at - int(first[doc]), ids[part].tolist(), kinds[part].tolist()))
+
+        width = self.width
+        if len(ids) >= width:
+            keys = windows(hashes, width)
+            usable = literal[width:] - literal[:-width] >= min(MIN_LITERALS, width)
+            doc = np.repeat(np.arange(len(raws)), sizes)
+            usable &= doc[: len(keys)] == doc[width - 1 :]
+            if self.bits is None:
+                for d, n in zip(*np.unique(doc[: len(keys)][usable], return_counts=True), strict=True):
+                    out[d]["n"] = int(n)
+            for at in np.flatnonzero(usable & self._maybe(keys)).tolist():
+                add(int(doc[at]), at, width, keys[at])
+        for d in np.flatnonzero((sizes > 0) & (sizes < width)).tolist():
+            at, take = int(first[d]), int(sizes[d])
+            key = windows(hashes[at : at + take], width)
+            if literal[at + take] - literal[at] >= min(MIN_LITERALS, take) and self._maybe(key)[0]:
+                out[d]["n"] = 1
+                add(d, at, take, key[0])
+        return out
 
 
 _ROW = "array<struct<h:bigint,place:int,template:string,slots:array<string>>>"
@@ -115,35 +187,17 @@ def template_windows(text: Column, width: int = WIDTH, bitmap: bytes | None = No
 
     @F.arrow_udf(f"struct<n:int,found:{_ROW}>")
     def canonical(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = Canon()
-        bits = None if share is None else np.frombuffer(share.value, dtype=np.uint8)
+        finder = Templates(width, None if share is None else np.frombuffer(share.value, dtype=np.uint8))
         for batch in batches:
-            out = []
-            for raw in texts(batch):
-                words, kinds, hashes = _template(raw, known)
-                n = len(words)
-                if not n:
-                    out.append({"n": 0, "found": []})
-                    continue
-                take = min(width, n)
-                keys = windows(hashes, width)
-                keep = _usable(kinds, take)
-                if bits is not None:
-                    slot = keys & np.uint64(FILTER_BITS - 1)
-                    keep &= (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
-                rows = []
-                for i in np.flatnonzero(keep).tolist():
-                    part = words[i : i + take]
-                    ks = kinds[i : i + take].tolist()
-                    rows.append(
-                        {
-                            "h": int(keys[i].astype(np.int64)),
-                            "place": i,
-                            "template": " ".join(w[0] if k == 0 else _KINDS[k] for w, k in zip(part, ks, strict=True)),
-                            "slots": [w[0] for w, k in zip(part, ks, strict=True) if k],
-                        }
-                    )
-                out.append({"n": int(keep.sum()) if bits is None else n, "found": rows})
+            raws = texts(batch)
+            out, at = [], 0
+            while at < len(raws):
+                upto, size = at, 0
+                while upto < len(raws) and (upto == at or size + len(raws[upto]) <= _BLOCK):
+                    size += len(raws[upto])
+                    upto += 1
+                out.extend(finder.find(raws[at:upto]))
+                at = upto
             yield pa.array(out, type=_type())
 
     return canonical(text)

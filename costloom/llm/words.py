@@ -8,7 +8,7 @@ import xxhash
 
 #: Words whose hashes a worker remembers before it starts anew; a matter of speed only.
 REMEMBERED = 400_000
-_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class WordHashes(dict):
@@ -37,7 +37,8 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     take = min(width, n)
     total = np.zeros(n - take + 1, dtype=np.uint64)
     for i in range(take):
-        total = mixed(total * _MIX[0] + hashes[i : n - take + 1 + i], 1)
+        total *= _STEP
+        total += hashes[i : n - take + 1 + i]
     return mixed(total + np.uint64(take))
 
 
