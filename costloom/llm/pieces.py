@@ -33,7 +33,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED = 20
 SMOOTH = 1.0
 #: Edges of remembered lattices per worker; beyond it the memory is filled anew. A matter of speed only.
-REMEMBERED = 6_000_000
+REMEMBERED = 4_000_000
 #: Probabilities are multiples of 1 / GRID.
 GRID = 1 << 30
 _SPACE = "▁"
@@ -128,8 +128,19 @@ class Lattices:
 
     def clear(self) -> None:
         self.known.clear()
-        self.cum = np.zeros(0, np.int32)
-        self.edge = np.zeros(0, np.int64)  # place of the next edge, then piece in the low 32 bits
+        self.size = 0
+        self.cum = np.zeros(1 << 20, np.int32)
+        self.edge = np.zeros(1 << 20, np.int64)  # place of the next edge, then piece in the low 32 bits
+
+    def _append(self, cum: np.ndarray, edge: np.ndarray) -> None:
+        end = self.size + len(cum)
+        if end > len(self.cum):
+            room = max(2 * len(self.cum), end) - len(self.cum)
+            self.cum = np.concatenate([self.cum, np.zeros(room, np.int32)])
+            self.edge = np.concatenate([self.edge, np.zeros(room, np.int64)])
+        self.cum[self.size : end] = cum
+        self.edge[self.size : end] = edge
+        self.size = end
 
     def add(self, units: list[str]) -> None:
         """Filter the lattices of new units, all at once."""
@@ -191,19 +202,24 @@ class Lattices:
         cum = (share * GRID).astype(np.int64).clip(max=GRID)
         cum[heads + width - 1] = GRID
         place = np.full(len(chars) + len(units), -1, dtype=np.int64)
-        place[node[heads]] = heads + len(self.cum)
+        place[node[heads]] = heads + self.size
         self.known.update(zip(units, place[first + sizes + np.arange(len(units))].tolist(), strict=True))
-        self.edge = np.concatenate([self.edge, (place[source] << 32) | (piece & 0xFFFFFFFF)])
-        self.cum = np.concatenate([self.cum, cum.astype(np.int32)])
+        self._append(cum, (place[source] << 32) | (piece & 0xFFFFFFFF))
 
     def sample(self, units: list[str], randoms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of all units in order, characters in bytes as negative numbers, and the number per unit."""
-        if len(self.cum) > REMEMBERED:
+        if self.size > REMEMBERED:
             self.clear()
         known = self.known
         new = [u for u in set(units) if u not in known]
-        if new:
-            self.add(new)
+        at = 0
+        while at < len(new):
+            upto, size = at, 0
+            while upto < len(new) and (upto == at or size + len(new[upto]) <= _NEW):
+                size += len(new[upto])
+                upto += 1
+            self.add(new[at:upto])
+            at = upto
         at = np.fromiter(map(known.__getitem__, units), np.int64, len(units))
         who = np.arange(len(units))
         steps: list[tuple[np.ndarray, np.ndarray]] = []
@@ -250,7 +266,9 @@ def _with_bytes(pieces: np.ndarray, counts: np.ndarray, v: Vocabulary) -> tuple[
 
 
 #: Characters that are encoded at once.
-_BLOCK = 4_000_000
+_BLOCK = 1_000_000
+#: Characters of new units whose lattices are filtered at once.
+_NEW = 200_000
 
 
 def encode_batch(texts: list[str | None], keys: list[int | None], lattices: Lattices, seed: int) -> list[np.ndarray]:
@@ -271,8 +289,8 @@ def encode_batch(texts: list[str | None], keys: list[int | None], lattices: Latt
         pieces, counts = lattices.sample(units, randoms)
         pieces, counts = _with_bytes(pieces, counts, lattices.v)
         bounds = np.cumsum(counts)
-        last = np.concatenate([[0], bounds])[np.cumsum(lengths)] if len(lengths) else np.zeros(0, np.int64)
-        out.extend(np.split(pieces, last[:-1]) if len(last) else [])
+        last = np.concatenate([[0], bounds])[np.cumsum(lengths)]
+        out.extend(np.split(pieces.astype(np.int32), last[:-1]))
         at = upto
     return out
 
@@ -293,8 +311,9 @@ def encoded(text: Column, key: Column, path: str = MODEL, seed: int = SEED, smoo
             found = encode_batch(values, keys.to_pylist(), lattices, seed)
             same = [decode_ids(ids, lattices.v) == (t or "") for ids, t in zip(found, values, strict=True)]
             ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
-            flat = np.concatenate(found) if found else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(ends, pa.array(flat.astype(np.int32)))
+            flat = np.concatenate(found) if found else np.zeros(0, np.int32)
+            lists = pa.ListArray.from_arrays(ends, pa.array(flat))
+            del values, found
             yield pa.StructArray.from_arrays([lists, pa.array(same, pa.bool_())], names=["ids", "lossless"])
 
     return encode(text, key)
