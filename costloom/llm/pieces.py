@@ -32,8 +32,8 @@ from costloom.llm.words import mixed
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED = 20
 SMOOTH = 1.0
-#: Edges of remembered lattices per worker; beyond it the memory is filled anew. A matter of speed only.
-REMEMBERED = 4_000_000
+#: Edges of remembered lattices per task; beyond it the memory is filled anew. A matter of speed only.
+REMEMBERED = 2_000_000
 #: Probabilities are multiples of 1 / GRID.
 GRID = 1 << 30
 _SPACE = "▁"
@@ -243,12 +243,6 @@ class Lattices:
         return out, counts
 
 
-@functools.lru_cache(maxsize=1)
-def remembered(path: str, smooth: float) -> Lattices:
-    """The lattices that a worker has met."""
-    return Lattices(vocabulary(path, smooth))
-
-
 def _with_bytes(pieces: np.ndarray, counts: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Replace negative entries by the ids of the character's bytes."""
     odd = np.flatnonzero(pieces < 0)
@@ -305,7 +299,7 @@ def encoded(text: Column, key: Column, path: str = MODEL, seed: int = SEED, smoo
 
     @F.arrow_udf("struct<ids:array<int>,lossless:boolean>")
     def encode(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        lattices = remembered(path, smooth)
+        lattices = Lattices(vocabulary(path, smooth))  # freed with the task: idle workers stay small
         for texts, keys in batches:
             values = texts.to_pylist()
             found = encode_batch(values, keys.to_pylist(), lattices, seed)

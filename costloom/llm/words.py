@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 
 #: Words whose hashes a worker remembers before it starts anew; a matter of speed only.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
