@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from costloom.llm.storage import fresh, let, small, stored
 
-LAST = F.lit(2**63 - 1)
+LAST = 2**63 - 1
 MIN_WORDS = 5
 BLOCK = 64
 
@@ -45,7 +45,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     """The different lines of each row: id, pos, line."""
     return (
         docs.select(
-            F.coalesce(F.col("doc_id").cast("long"), LAST).alias("id"),
+            F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
             F.posexplode(F.array_distinct(_trimmed(F.col("text")))).alias("pos", "line"),
         )
         .filter("line <> ''")
@@ -208,7 +208,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         )
     )
     row = fresh(docs, "_drops")
-    key = F.coalesce(docs["doc_id"].cast("long"), LAST)
+    key = F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST))
     joined = docs.join(
         drops.select(F.col("id").alias(f"{row}_id"), F.struct("copies", "nears").alias(row)),
         key == F.col(f"{row}_id"),

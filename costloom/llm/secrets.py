@@ -33,6 +33,8 @@ MIN_WORD = 8
 #: Natural-log ratio beyond which a token counts as random: prior odds of one in e^8, about 3,000.
 THRESHOLD = 8.0
 SIZE = 128
+#: Weight of a character's overall frequency in each row of the models, in samples.
+BACKOFF = 8.0
 _SPAN = "struct<start:int,kind:int,end:int,value:string>"
 
 
@@ -108,12 +110,21 @@ def models(scanned: DataFrame) -> DataFrame:
     full = cells.join(counts, "move", "left").select(
         "move", F.coalesce("r", F.lit(0)).alias("r"), F.coalesce("p", F.lit(0)).alias("p")
     )
-    sums = full.groupBy(F.shiftright("move", 7).alias("row")).agg(F.sum("r").alias("rs"), F.sum("p").alias("ps"))
-    smooth = full.join(sums, F.shiftright(full["move"], 7) == sums["row"]).select(
-        "move",
-        (F.log((F.col("r") + 0.1) / (F.col("rs") + 0.1 * SIZE)) - F.log((F.col("p") + 0.1) / (F.col("ps") + 0.1 * SIZE))).alias(
-            "ratio"
-        ),
+    rows = full.groupBy(F.shiftright("move", 7).alias("row")).agg(F.sum("r").alias("r_row"), F.sum("p").alias("p_row"))
+    chars = full.groupBy(F.col("move").bitwiseAND(F.lit(SIZE - 1)).alias("char")).agg(
+        F.sum("r").alias("r_char"), F.sum("p").alias("p_char")
+    )
+    total = full.agg(F.sum("r").alias("r_all"), F.sum("p").alias("p_all"))
+    r_all, p_all = total.select("r_all").scalar(), total.select("p_all").scalar()
+
+    def log_p(n: str, row: str, char: str, every: Column) -> Column:
+        usual = (F.col(char) + 0.5) / (every + 0.5 * SIZE)
+        return F.log((F.col(n) + BACKOFF * usual) / (F.col(row) + BACKOFF))
+
+    smooth = (
+        full.join(rows, F.shiftright(full["move"], 7) == rows["row"])
+        .join(chars, full["move"].bitwiseAND(F.lit(SIZE - 1)) == chars["char"])
+        .select("move", (log_p("r", "r_row", "r_char", r_all) - log_p("p", "p_row", "p_char", p_all)).alias("ratio"))
     )
     return smooth.agg(
         F.transform(F.array_sort(F.collect_list(F.struct("move", "ratio"))), lambda x: x["ratio"]).alias("ratio")
