@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from costloom.checks.domain import (
+    AHEAD,
     CATEGORIES,
     CONTROL,
     ITEMS,
@@ -50,8 +51,8 @@ _MEASURES = """
 """
 
 TABLES: dict[str, str] = {
-    "lines": """
-SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS m, 'P' || CAST(CAST(substr(p_brand, 7) AS INT) % 8 AS VARCHAR) || '-' || p_type AS product,
+    "lines": f"""
+SELECT CAST(date_trunc('month', l_shipdate) + CASE WHEN l_returnflag = 'A' THEN INTERVAL 0 MONTH ELSE INTERVAL {AHEAD} MONTH END AS DATE) AS m, 'P' || CAST(CAST(substr(p_brand, 7) AS INT) % 8 AS VARCHAR) || '-' || p_type AS product,
   p_type, CAST(substr(p_brand, 7) AS INT) % 8 AS bn,
   CASE l_returnflag WHEN 'A' THEN 'Actual' WHEN 'N' THEN 'Budget' ELSE 'R3M' END AS type,
   l_linestatus = 'F' AS shipped, l_quantity AS q,
@@ -163,7 +164,7 @@ def with_tables(sql: str) -> str:
     need = _closure(body)
     if not need:
         return body
-    defs = ",\n".join(f"{t} AS ({TABLES[t].strip()})" for t in need)
+    defs = ",\n".join(f"{t} AS MATERIALIZED ({TABLES[t].strip()})" for t in need)
     for head in ("WITH RECURSIVE ", "WITH "):
         if body.startswith(head):
             return f"{head}{defs},\n{body[len(head):]}"

@@ -20,6 +20,8 @@ from costloom.session import settle
 from costloom.sources.templates import lit_rows
 
 FIRST_YEAR = 1996
+# Budget and rolling forecast run this many months ahead of Actual, so plans exist after its latest month.
+AHEAD = 6
 
 # Ledger items: name, group, source column.
 ITEMS = [
@@ -129,11 +131,12 @@ class Domain:
     def raw_lines(self) -> DataFrame:
         """Line items with family, part type, month and whole cents."""
         part = self.table("part").select("p_partkey", family().alias("family"), "p_type")
+        month = month_start(F.col("l_shipdate"))
         return (
             self.table("lineitem")
             .join(part, F.col("l_partkey") == F.col("p_partkey"))
             .select(
-                month_start(F.col("l_shipdate")).alias("m"),
+                F.when(F.col("l_returnflag") == "A", month).otherwise(F.add_months(month, AHEAD)).alias("m"),
                 "family",
                 "p_type",
                 "l_returnflag",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from costloom.checks.ctes import define
 from costloom.checks.domain import Domain
@@ -16,17 +15,15 @@ from costloom.operators.lookups import latest_actual_month, params_row
 from costloom.plans import alerting
 from costloom.session import settle
 
-# The alert month is the latest Actual month less this many months, so that planned volumes exist.
-BACK = 12
 PARAM_NAMES = ["corp_funding_rate", "scrap_target"]
 
 
 def current(d: Domain) -> Column:
-    latest = latest_actual_month(d.ledger)
-    return latest.select(F.add_months("latest_month", -BACK).alias("m")).scalar()
+    return latest_actual_month(d.ledger).scalar()
 
 
-_CUR = f"(SELECT CAST(max(reporting_month) - INTERVAL {BACK} MONTH AS DATE) FROM ledger WHERE type = 'Actual')"
+define("alert_month", "SELECT max(reporting_month) AS month FROM ledger WHERE type = 'Actual'")
+_CUR = "(SELECT month FROM alert_month)"
 
 # --- inputs ---------------------------------------------------------------------------------------
 

@@ -15,7 +15,6 @@ from costloom.checks.q_performance import four_levels
 from costloom.checks.registry import query
 from costloom.operators import forecast
 from costloom.operators.lookups import latest_actual_month
-from costloom.operators.series import lagged_mean
 from costloom.plans import prediction
 from costloom.session import settle
 
@@ -162,7 +161,7 @@ def current_price_month(rows: DataFrame):
     "H2 H3 H4 H5 W2 W5 P19 J34 S3",
     "WITH RECURSIVE "
     + predict_ctes("prices", ["product", "type"], "m", "price", _CUR)
-    + "SELECT * FROM predicted",
+    + "SELECT * FROM predicted FULL JOIN (SELECT product, type, m FROM prices) USING (product, type, m)",
 )
 def forecast_models(d: Domain) -> DataFrame:
     rows = prices(d)
@@ -262,6 +261,8 @@ SELECT {_SERIES}, 'shipment' AS standard, reporting_month, actual_unit_cost_per_
 UNION ALL SELECT {_SERIES}, 'production', reporting_month, actual_unit_cost_per_prod FROM unit_series
 """,
 )
+_WIDE = f""", wide_predicted AS (SELECT {_SERIES}, m AS reporting_month, {", ".join(f"max({m}) FILTER (standard = '{s}') AS {m}_unit_cost_{s}" for s in ("shipment", "production") for m in ("ma", "es", "arima"))}
+  FROM predicted GROUP BY ALL)"""
 
 
 @query(
@@ -269,8 +270,8 @@ UNION ALL SELECT {_SERIES}, 'production', reporting_month, actual_unit_cost_per_
     "H1 H2 H3 H4 H5 H6 J34 P17 R3 W5 G17",
     "WITH RECURSIVE "
     + predict_ctes("unit_long", _KEYS, "reporting_month", "y", _LATEST)
-    + f""", wide_predicted AS (SELECT {_SERIES}, m AS reporting_month, {", ".join(f"max({m}) FILTER (standard = '{s}') AS {m}_unit_cost_{s}" for s in ("shipment", "production") for m in ("ma", "es", "arima"))}
-  FROM predicted GROUP BY ALL)
+    + _WIDE
+    + f"""
 SELECT x.*, 'USD' AS currency, fx AS fx_rate FROM (
   SELECT * FROM unit_series FULL JOIN wide_predicted USING ({_SERIES}, reporting_month)) x
 LEFT JOIN fx_actual ON month = reporting_month
@@ -283,66 +284,49 @@ def cost_prediction(d: Domain) -> DataFrame:
 
 # --- write-back ------------------------------------------------------------------------------------
 
-_MODELS = {"ma": 64, "es": 32, "arima": 16}
-_STANDARDS = {"shipment": "ship", "production": "prod"}
+# Predictions are cut to these binary fractions on both sides, so that sums do not depend on their order.
+_PARTS = {"ma": 64, "es": 16, "arima": 4}
+_PREDICTED = [(f"{m}_unit_cost_{s}", by) for s in ("shipment", "production") for m, by in _PARTS.items()]
 
-define(
-    "rough_predicted",
-    "SELECT *, "
-    + ", ".join(
-        f"floor(CASE WHEN isfinite(last_{s}) THEN last_{s} END * {by}) / CAST({by} AS DOUBLE) AS {m}_unit_cost_{s}"
-        for s in _STANDARDS
-        for m, by in _MODELS.items()
-    )
-    + " FROM (SELECT *, "
-    + ", ".join(
-        f"CASE WHEN count(actual_unit_cost_per_{u}) OVER w = 1 THEN avg(actual_unit_cost_per_{u}) OVER w END AS last_{s}"
-        for s, u in _STANDARDS.items()
-    )
-    + f" FROM unit_series WINDOW w AS (PARTITION BY {_SERIES} ORDER BY reporting_month ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING))",
-)
-define(
-    "sized_predicted",
-    " UNION ALL ".join(
+_ROLLUP_CTES = (
+    f""", cut_predicted AS (SELECT reporting_month, {_SERIES}, actual_shipment, actual_production, r3m_shipment, r3m_production,
+    {", ".join(f"floor(CASE WHEN isfinite({c}) THEN {c} END * {by} + CAST(0.3 AS DOUBLE)) / CAST({by} AS DOUBLE) AS {c}" for c, by in _PREDICTED)}
+  FROM unit_series FULL JOIN wide_predicted USING ({_SERIES}, reporting_month)),
+sized_predicted AS ("""
+    + " UNION ALL ".join(
         f"SELECT r.reporting_month, r.bg, r.site, r.product, product_type, cost_cat_code, '{K.PREDICTED[m]}' AS type, "
         f"'{s}' AS standard, {m}_unit_cost_{s} * qty AS value, qty FROM ("
-        f"SELECT *, CASE WHEN reporting_month <= {_LATEST} THEN actual_{s} ELSE r3m_{s} END AS qty FROM rough_predicted) r "
+        f"SELECT *, CASE WHEN reporting_month <= {_LATEST} THEN actual_{s} ELSE r3m_{s} END AS qty FROM cut_predicted) r "
         "LEFT JOIN dim_project p ON p.product = r.product LEFT JOIN categories ON cost_cat_name = cost_item_level1"
-        for s in _STANDARDS
-        for m in _MODELS
-    ),
-)
-define(
-    "predicted_wide",
-    f"""
-SELECT w.*, qty FROM (
-  SELECT reporting_month, bg, site, product_type, product, type, standard,
+        for s in ("shipment", "production")
+        for m in _PARTS
+    )
+    + f"""),
+predicted_wide AS (SELECT reporting_month, bg, site, product_type, product, type, standard, max(qty) AS qty,
     {", ".join(f"avg(value) FILTER (cost_cat_code = '{c}') AS {c}" for c in CODES)}
-  FROM sized_predicted WHERE value IS NOT NULL AND cost_cat_code IS NOT NULL GROUP BY ALL) w
-LEFT JOIN (SELECT DISTINCT reporting_month, product, standard, qty FROM sized_predicted)
-  USING (reporting_month, product, standard)
-""",
+  FROM sized_predicted WHERE value IS NOT NULL AND cost_cat_code IS NOT NULL
+  GROUP BY reporting_month, bg, site, product_type, product, type, standard)
+"""
 )
 
 
-def rough_predicted(d: Domain) -> tuple[DataFrame, object]:
-    """Last month's unit cost, cut to binary fractions, in the place of predictions."""
+def cut_predictions(d: Domain) -> tuple[DataFrame, object]:
+    """The predictions of all series, cut to binary fractions."""
     series, current = unit_series(d)
-    keys = prediction.SERIES
-    for s, u in _STANDARDS.items():
-        last = lagged_mean(F.col(f"actual_unit_cost_per_{u}"), keys, "reporting_month", 1)
-        series = series.withColumn(f"last_{s}", last)
-        ok = F.when(F.abs(f"last_{s}") < float("inf"), F.col(f"last_{s}"))
-        series = series.withColumns(
-            {f"{m}_unit_cost_{s}": F.floor(ok * by).cast("double") / float(by) for m, by in _MODELS.items()}
-        )
-    return series, current
+    predicted = prediction.cost_prediction_detail(series, current)
+    finite = {c: F.when(F.abs(c) < float("inf"), F.col(c)) for c, _ in _PREDICTED}
+    cuts = {c: F.floor(finite[c] * by + 0.3).cast("double") / float(by) for c, by in _PREDICTED}
+    return predicted.withColumns(cuts), current
 
 
 @query(
     "prediction_rollup",
     "G16 A13 A14 F21 J35 R3 R7 W6 A22 G17",
-    f"""
+    "WITH RECURSIVE "
+    + predict_ctes("unit_long", _KEYS, "reporting_month", "y", _LATEST)
+    + _WIDE
+    + _ROLLUP_CTES
+    + f"""
 SELECT bg, reporting_month, type, standard, cat_ind, {", ".join(CODES)}, r3m_shipment, r3m_production,
   'USD' AS currency, fx AS fx_rate
 FROM (
@@ -356,7 +340,7 @@ LEFT JOIN fx_actual ON month = reporting_month
 """,
 )
 def prediction_rollup(d: Domain) -> DataFrame:
-    predicted, current = rough_predicted(d)
+    predicted, current = cut_predictions(d)
     return prediction.prediction_level1(
         predicted, d.dim_project, d.categories, d.rates, CODES, current
     )

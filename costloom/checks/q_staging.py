@@ -286,28 +286,28 @@ def kpi_feeds(d: Domain) -> list[DataFrame]:
         feed(t == "Budget", F.sum(q).alias("APR _volume"), name="project"),
         feed(t == "R3M", F.sum(q).alias("MPS _volume"), name="project"),
         feed(
-            (t == "Actual") & (ln == 2),
+            t == "Actual",
             F.sum(cents).alias("Actual Scrap AMT_USD"),
             F.max("max_disc").alias("scrap_rate"),
             name="W_Model",
             month=F.last_day(m),
         ),
         feed(
-            ln == 3,
+            t != "Budget",
             F.max("max_disc").alias("Yield rate"),
             F.max("max_tax").alias("yield_rate_current_target"),
             F.min("min_tax").alias("yield_rate_final_target"),
         ),
-        feed(ln == 4, F.max("max_q").alias("Units")),
+        feed(t != "Actual", F.max("max_q").alias("Units")),
     ]
 
 
 define("feed_ads", "SELECT product, m, sum(q) AS ads, sum(cents) AS cogs, sum(cents) FILTER (ln = 1) AS inventory, max(q) AS ads_target FROM lines WHERE type = 'Actual' GROUP BY ALL")
 define("feed_apr", "SELECT product, m, sum(q) AS apr FROM lines WHERE type = 'Budget' GROUP BY ALL")
 define("feed_mps", "SELECT product, m, sum(q) AS mps FROM lines WHERE type = 'R3M' GROUP BY ALL")
-define("feed_scrap", "SELECT product, m, sum(cents) AS scrap, max(disc) AS scrap_rate FROM lines WHERE type = 'Actual' AND ln = 2 GROUP BY ALL")
-define("feed_yield", "SELECT product, m, max(disc) AS yield_rate, max(tax) AS yield_rate_current_target, min(tax) AS yield_rate_final_target FROM lines WHERE ln = 3 GROUP BY ALL")
-define("feed_capacity", "SELECT product, m, max(q) AS max_capacity_volume FROM lines WHERE ln = 4 GROUP BY ALL")
+define("feed_scrap", "SELECT product, m, sum(cents) AS scrap, max(disc) AS scrap_rate FROM lines WHERE type = 'Actual' GROUP BY ALL")
+define("feed_yield", "SELECT product, m, max(disc) AS yield_rate, max(tax) AS yield_rate_current_target, min(tax) AS yield_rate_final_target FROM lines WHERE type <> 'Budget' GROUP BY ALL")
+define("feed_capacity", "SELECT product, m, max(q) AS max_capacity_volume FROM lines WHERE type <> 'Actual' GROUP BY ALL")
 define(
     "kpi_model_rows",
     """
