@@ -141,10 +141,14 @@ def latest_actual_month(ledger: DataFrame) -> DataFrame:
     )
 
 
-def category_codes(categories: DataFrame) -> list[str]:
+def category_codes(categories: DataFrame, most: int = 1000) -> list[str]:
     """The category codes as a sorted list, needed to name the columns of a pivot.
 
-    The category list is a hand-kept table of a few dozen rows.
+    A table has a bounded number of columns: more than `most` codes are an error, found before
+    more than that reach the driver.
     """
     rows = categories.select("cost_cat_code").filter("cost_cat_code is not null").distinct()
-    return sorted(r[0] for r in rows.toLocalIterator())
+    codes = sorted(r[0] for r in rows.limit(most + 1).collect())
+    if len(codes) > most:
+        raise ValueError(f"more than {most} cost categories; a pivot cannot have a column for each")
+    return codes

@@ -13,6 +13,7 @@ from costloom.operators.joins import densify
 from costloom.operators.lookups import cost_category_code, product_type
 from costloom.operators.reshape import melt_types, pivot_mean, with_aggregate_level
 from costloom.operators.rollup import four_level, per_quantity
+from costloom.session import settle
 
 ENTITY = ["reporting_month", "bg", "bu", "site", "product"]
 COSTS = [f"{t.lower()}_total_cost" for t in K.TYPES]
@@ -20,7 +21,7 @@ COSTS = [f"{t.lower()}_total_cost" for t in K.TYPES]
 
 def every_item(ledger: DataFrame, control: DataFrame) -> DataFrame:
     """Every month and product of the ledger with every item of the cost list."""
-    entities = ledger.select(*ENTITY).distinct()
+    entities = settle(ledger.select(*ENTITY).distinct())
     return densify(entities, control).withColumnsRenamed(
         {
             "detailed_item": "cost_item_level2",
@@ -34,32 +35,47 @@ def is_site_moh(level1: Column) -> Column:
     return any_of(level1, K.SITE_MOH)
 
 
-def ledger_costs(ledger: DataFrame) -> DataFrame:
-    """Amount of each type per (month, product, item), one row per key.
+def _slot(kind: str, part: str) -> str:
+    return f"_{kind.lower()}_{part}"
 
-    Summed once by type, so the join that follows cannot multiply rows; on a ledger with one row
-    per key and type this is the row's value.
+
+def ledger_measures(ledger: DataFrame) -> DataFrame:
+    """Sum and mean of each type per (month, product, item), one row per key.
+
+    Costs and quantities both come from these rows, so the ledger is aggregated once.
     """
     keys = ["reporting_month", "product", "line_item"]
     typed = drop_null_keys(ledger, keys).filter(F.col("type").isin(K.TYPES))
+    value = {t: F.when(F.col("type") == t, F.col("value")) for t in K.TYPES}
     return typed.groupBy(*keys).agg(
-        *[
-            F.sum(F.when(F.col("type") == t, F.col("value"))).alias(f"_{t.lower()}_ledger")
-            for t in K.TYPES
-        ]
+        *[F.sum(value[t]).alias(_slot(t, "ledger")) for t in K.TYPES],
+        *[F.avg(value[t]).alias(_slot(t, "mean")) for t in K.TYPES],
     )
 
 
-def quantities(ledger: DataFrame) -> DataFrame:
+def ledger_costs(measures: DataFrame) -> DataFrame:
+    """Amount of each type per (month, product, item), one row per key.
+
+    Summed once by type, so the join that follows cannot multiply rows; on a ledger with one row
+    per key and type this is the row's value.
+    """
+    return measures.drop(*[_slot(t, "mean") for t in K.TYPES])
+
+
+def quantities(measures: DataFrame) -> DataFrame:
     """Mean shipped and produced quantity of each type per (month, product): six columns."""
     names = {K.INVOICE_QUANTITY: "shipment", K.PRODUCTION_QUANTITY: "production"}
-    rows = ledger.filter(any_of(F.col("line_item"), list(names)) & F.col("type").isin(K.TYPES))
-    tagged = rows.withColumn("_slot", F.concat_ws("/", "type", "line_item"))
-    slots = {f"{t}/{i}": f"{t.lower()}_{q}" for t in K.TYPES for i, q in names.items()}
-    return pivot_mean(tagged, ["reporting_month", "product"], "_slot", "value", slots)
+    means = {
+        f"{t.lower()}_{q}": F.when(F.col("line_item") == i, F.col(_slot(t, "mean")))
+        for t in K.TYPES
+        for i, q in names.items()
+    }
+    known = F.coalesce(*[F.col(_slot(t, "mean")) for t in K.TYPES]).isNotNull()
+    rows = measures.filter(any_of(F.col("line_item"), list(names)) & known)
+    return rows.groupBy("reporting_month", "product").agg(*[F.max(c).alias(n) for n, c in means.items()])
 
 
-def with_total_cost(items: DataFrame, ledger: DataFrame, unit_moh: DataFrame) -> DataFrame:
+def with_total_cost(items: DataFrame, measures: DataFrame, unit_moh: DataFrame) -> DataFrame:
     """Adds the three total costs.
 
     Site overhead is looked up by second-level item, everything else by first-level item. Each
@@ -78,7 +94,7 @@ def with_total_cost(items: DataFrame, ledger: DataFrame, unit_moh: DataFrame) ->
         F.col("moh_item").alias("_moh_item"),
         *[F.col(f"unit_moh_{t.lower()}").alias(f"_{t.lower()}_moh") for t in K.TYPES],
     )
-    booked = ledger_costs(ledger).withColumnRenamed("line_item", "_line_item")
+    booked = ledger_costs(measures).withColumnRenamed("line_item", "_line_item")
     joined = keyed.join(unit, ["reporting_month", "product", "_moh_item"], "left").join(
         booked, ["reporting_month", "product", "_line_item"], "left"
     )
@@ -113,29 +129,47 @@ def without_foreign_moh(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~wrong, F.col(c)) for c in COSTS})
 
 
-def cost_overview_detail(
+def rated_detail(
     ledger: DataFrame,
     control: DataFrame,
     unit_moh: DataFrame,
     rates: DataFrame,
-    currency: str = K.LOCAL,
     first_year: int = K.FIRST_YEAR,
 ) -> DataFrame:
-    """Total cost and quantity of every item by type (app.cost_overview_dtl and _dtl_ntd).
+    """Cost, quantity and rate of every item in local currency; overhead still per unit.
 
-    The foreign-currency table divides the costs by the month's rate.
+    The tables of both currencies come from these rows. The ledger is read twice: for its measures
+    and for its months and products. Both are stored, because two joins read them.
+    """
+    measures = settle(ledger_measures(ledger))
+    items = every_item(ledger, control).filter(from_year(F.col("reporting_month"), first_year))
+    costed = with_total_cost(items, measures, unit_moh)
+    sized = costed.join(quantities(measures), ["reporting_month", "product"], "left")
+    return fx.add_rate(sized, rates)
+
+
+def detail_in(rated: DataFrame, currency: str) -> DataFrame:
+    """The rated detail as the table of one currency.
+
+    The foreign-currency table divides the costs by the month's rate, before overhead is multiplied
+    by the production.
     """
-    costed = with_total_cost(every_item(ledger, control), ledger, unit_moh)
-    sized = costed.join(quantities(ledger), ["reporting_month", "product"], "left")
-    rated = fx.add_rate(sized, rates)
     if currency == K.FOREIGN:
         rated = fx.local_to_foreign(rated, COSTS)
     masked = without_foreign_moh(moh_times_production(rated))
-    return (
-        masked.withColumn("currency", F.lit(currency))
-        .withColumnRenamed("FX", "fx_rate")
-        .filter(from_year(F.col("reporting_month"), first_year))
-    )
+    return masked.withColumn("currency", F.lit(currency)).withColumnRenamed("FX", "fx_rate")
+
+
+def cost_overview_detail(
+    ledger: DataFrame,
+    control: DataFrame,
+    unit_moh: DataFrame,
+    rates: DataFrame,
+    currency: str = K.LOCAL,
+    first_year: int = K.FIRST_YEAR,
+) -> DataFrame:
+    """Total cost and quantity of every item by type (app.cost_overview_dtl and _dtl_ntd)."""
+    return detail_in(rated_detail(ledger, control, unit_moh, rates, first_year), currency)
 
 
 def both_standards(

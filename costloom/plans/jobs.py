@@ -79,14 +79,14 @@ def run_cost(store: Store, first_year: int = K.FIRST_YEAR) -> None:
     ledger, unit = store.read("staging", "tbl_is_modeltype"), store.read("staging", "tbl_unitmoh_monthly")
     dim, control = store.read("staging", "dim_project"), store.read("dim", "tbl_cost_control_list")
     categories = store.read("app", "cost_category")
+    rated = settle(cost.rated_detail(ledger, control, unit, fx_rates, first_year))
     for table, currency in (("cost_overview_dtl_ntd", K.LOCAL), ("cost_overview_dtl", K.FOREIGN)):
-        detail = cost.cost_overview_detail(ledger, control, unit, fx_rates, currency, first_year)
-        store.write(detail, "app", table)
+        store.write(cost.detail_in(rated, currency), "app", table)
     detail = store.read("app", "cost_overview_dtl")
     codes = category_codes(categories)
     level1 = cost.cost_overview_level1(detail, dim, categories, fx_rates, codes)
-    store.write(
-        level1, "app", "cost_overview_level1", contract=level1_contract(codes),
+    store.write_branches(
+        level1, "app", "cost_overview_level1", K.TYPES, level1_contract(codes),
         optional=("r3m_shipment", "r3m_production"),
     )
     groups = level0_groups(codes)
@@ -117,8 +117,8 @@ def run_forecast(store: Store) -> None:
         store.read("app", "cost_prediction_dtl").drop("currency", "fx_rate"),
         store.read("staging", "dim_project"), categories, fx_rates, codes, current,
     )
-    store.write(
-        rows, "app", "cost_overview_level1", mode="folders", contract=level1_contract(codes),
+    store.write_branches(
+        rows, "app", "cost_overview_level1", list(K.PREDICTED.values()), level1_contract(codes),
         optional=("shipment", "production"),
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from costloom.contracts import TABLES, Contract, conform
 from costloom.functions.missing import inf_to_null_all, nan_to_null_all
+from costloom.session import settle
 
 
 class Store:
@@ -62,6 +63,33 @@ class Store:
             writer = writer.partitionBy(*split).option("partitionOverwriteMode", overwrite)
         writer.parquet(self.path(schema, table))
 
+    def write_branches(
+        self,
+        df: DataFrame,
+        schema: str,
+        table: str,
+        values: list[str],
+        contract: Contract,
+        optional: tuple[str, ...] = (),
+    ) -> None:
+        """Replace the branches `values` of a table's first partition column; other branches stay.
+
+        For tables that several steps fill: each step replaces its own types as a whole, also months
+        that have no rows any more. Rows outside `values` are an error. Branches are replaced one
+        after another, so a step that fails between them has to be run again.
+        """
+        branch, *split = contract.partition_by
+        rows = settle(inf_to_null_all(conform(df, contract.schema, optional)))
+        if not rows.filter(~F.coalesce(F.col(branch).isin(values), F.lit(False))).isEmpty():
+            raise ValueError(f"{schema}.{table}: rows outside the branches {values}")
+        for value in values:
+            part = rows.filter(F.col(branch) == value).drop(branch)
+            if split:
+                part = part.hint("rebalance", *[F.col(c) for c in split])
+            part.write.mode("overwrite").partitionBy(*split).option(
+                "partitionOverwriteMode", "static"
+            ).parquet(f"{self.path(schema, table)}/{branch}={value}")
+
     def copy(self, table: str, target: str) -> None:
         """raw to staging, projected onto the target's columns."""
         self.write(self.read("raw", table), "staging", target)

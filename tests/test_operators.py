@@ -35,7 +35,7 @@ from costloom.operators.series import (
     rolling_mean,
 )
 from costloom.plans.alerting import max_future_mps
-from costloom.plans.cost import moh_times_production, quantities, without_foreign_moh
+from costloom.plans.cost import ledger_measures, moh_times_production, quantities, without_foreign_moh
 from tests.helpers import day, one, rows
 
 
@@ -222,7 +222,7 @@ def test_cost_rules(spark):
     ledger = spark.createDataFrame(
         [("p", "Actual", "Invoice quantity", 2.0), ("p", "Actual", "Invoice quantity", 4.0), ("p", "Budget", "Production quantity", 5.0), ("q", "R3M", "Invoice quantity", None)],
         "product string, type string, line_item string, value double").withColumn("reporting_month", F.lit(day("2018-01-01")))
-    q = quantities(ledger).select("product", "actual_shipment", "actual_production", "budget_production", "r3m_shipment")
+    q = quantities(ledger_measures(ledger)).select("product", "actual_shipment", "actual_production", "budget_production", "r3m_shipment")
     assert rows(q) == [("p", 3.0, None, 5.0, None)]
 
 
@@ -232,3 +232,10 @@ def test_dense_ids(spark):
     assert [r.n for r in got] == list(range(10000))
     assert [(r.w, r.v) for r in got] == sorted((r.w, r.v) for r in got)
     assert dense_ids(df.filter("v < 0"), ["v"], "n").count() == 0
+
+
+def test_category_codes_are_bounded(spark):
+    codes = spark.range(5).selectExpr("concat('c', id) AS cost_cat_code").union(spark.sql("SELECT NULL"))
+    assert category_codes(codes) == ["c0", "c1", "c2", "c3", "c4"]
+    with pytest.raises(ValueError):
+        category_codes(codes, most=4)

@@ -89,3 +89,21 @@ def test_without_broadcast(spark):
             assert "NestedLoop" not in text and "Cartesian" not in text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_both_currencies_come_from_two_ledger_scans(spark, folder, monkeypatch):
+    from costloom import constants as K
+    from costloom.checks.domain import Domain
+    from costloom.plans import cost
+
+    d = Domain(spark, FOLDER)
+    d.ledger.write.parquet(f"{folder}/booked")
+    settled = []
+    real = cost.settle
+    monkeypatch.setattr(cost, "settle", lambda df: settled.append(df) or real(df))
+    rated = cost.rated_detail(spark.read.parquet(f"{folder}/booked"), d.control, d.unit_moh, d.rates)
+    plans = [plan(df) for df in (*settled, rated)]
+    assert [p.count("/booked") for p in plans] == [1, 1, 0]
+    local, foreign = (cost.detail_in(real(rated), c) for c in (K.LOCAL, K.FOREIGN))
+    assert local.columns == foreign.columns
+    assert not any("/booked" in plan(df) for df in (local, foreign))

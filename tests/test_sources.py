@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from costloom.contracts import TABLES, conform
+from costloom.contracts import TABLES, conform, level1_contract
 from costloom.sources import MANIFEST, Store, Template, clean_headers, read_template
 from costloom.sources.templates import lit_rows, load_all
 from tests.helpers import day, rows
@@ -79,3 +79,21 @@ def test_manifest_names_each_table():
 def test_lit_rows(spark):
     assert rows(lit_rows(spark, "a string, b double", [("x", None), ("y", 2.0)])) == [("x", None), ("y", 2.0)]
     assert lit_rows(spark, "a string", []).count() == 0
+
+
+def test_branches_are_replaced_whole(spark, folder):
+    store, contract = Store(spark, folder), level1_contract(["oc_f"])
+    ddl = "bg string, cat_ind string, oc_f double, standard string, type string, reporting_month date"
+    missing = tuple(f.name for f in contract.schema if f.name not in ddl)
+
+    def write(data, types):
+        rows = [("SDBG", "ALL", 1.0, "shipment", t, day(m)) for t, m in data]
+        store.write_branches(spark.createDataFrame(rows, ddl), "app", "level1", types, contract, missing)
+
+    write([("Actual", "2018-01-01"), ("Actual", "2018-02-01"), ("R3M", "2018-01-01")], ["Actual", "R3M"])
+    write([("PredictES", "2018-03-01")], ["PredictES"])
+    write([("Actual", "2018-02-01")], ["Actual", "R3M"])
+    got = {(r.type, str(r.reporting_month)) for r in store.read("app", "level1").collect()}
+    assert got == {("Actual", "2018-02-01"), ("PredictES", "2018-03-01")}
+    with pytest.raises(ValueError):
+        write([("Budget", "2018-01-01")], ["Actual"])
