@@ -1,16 +1,22 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped: scripts, styles, comments, forms and elements that by their tag, role, class or id are
-menus, headers, footers, sidebars, notices, adverts or reader comments leave empty lines; block elements end a
-line; character references are decoded. What remains is a list of lines, one per block, empty where markup was
-removed. A line's length is its text length; lines made of links have none, and where a page marks its
-<article> or <main>, lines outside have none. The lengths of WINDOW neighbouring lines are summed; a surge is
-a place where that sum rises to at least SURGE, a dive one where it falls back to zero. The lines with length
-between surge and dive are kept.
+menus, headers, footers, sidebars, notices, adverts or reader comments leave a gap; block elements end a
+line; character references are decoded. Tags and classes have no other use: <article> and <main> are boxes as <div>.
+What remains is a list of lines, one per paragraph, heading, list item or cell, and an empty line for each gap:
+where a box (div, section, article, table, ...) begins or ends or markup was removed. A line's length is its text
+length; lines made of links have none.
+
+The lengths of WINDOW neighbouring lines are summed. A surge is a place where lines that stand together, without
+a gap, sum to SURGE characters, which short adverts, notices and menus do not reach; on a page without such a place
+it is the largest sum of the page, so that short pages keep their text. The block begins behind the gap before the
+surge. It dives at a gap behind which the next WINDOW lines sum to less than a surge. All lines between are
+kept, however short; lines of links only where a line of the block follows. What the method cannot tell apart:
+a short title or ending in a box of its own is lost, and a notice without a gap to the text is kept.
 
 Null html counts as empty. Broken markup (tags that are never closed, a page cut in the middle of a tag or a
-character reference) is read as browsers read it: what is open ends with its parent or with the page. Nothing
-is dropped for being short or capped for being long.
+character reference) is read as browsers read it: what is open ends with its parent or with the page. No text
+is capped for being long.
 """
 
 from __future__ import annotations
@@ -24,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 3
-SURGE = 1
+SURGE = 80
 
 # Element names, and words in class, id and role that mark what isn't main text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -33,6 +39,8 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section "
     "summary table tbody td tfoot th thead title tr ul".split()
 )
+#: Blocks in the flow of a text: they end a line and leave no gap.
+FLOW = frozenset("blockquote br center dd dl dt figcaption h1 h2 h3 h4 h5 h6 hgroup li ol p pre tbody td th thead tr ul".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math object canvas audio video select button".split())
 SKIPPED = RAW | frozenset("head nav header footer aside form dialog menu".split())
 BAD_WORDS = frozenset(
@@ -70,31 +78,33 @@ def _unwanted(tag: str, attributes: str) -> bool:
     return False
 
 
-def strip_markup(page: str) -> list[tuple[str, bool, bool]]:
-    """Lines of a page: (text, whether it is mostly links, whether it stands in an article)."""
-    lines: list[tuple[str, bool, bool]] = []
+def strip_markup(page: str) -> list[tuple[str, bool]]:
+    """Lines of a page, (text, whether it is mostly links); one empty line for a gap."""
+    lines: list[tuple[str, bool]] = []
     text: list[str] = []
     linked = total = 0
     open_: list[str] = []
     skip_at = -1  # depth of the element whose content is dropped
-    inside = links = 0
+    links = 0
 
-    def end() -> None:
+    def end(gap: bool = False) -> None:
         nonlocal linked, total
         joined = _SPACE.sub(" ", entities.unescape("".join(text))).strip()
-        lines.append((joined, bool(total) and linked > 0.8 * total, inside > 0))
+        if joined:
+            lines.append((joined, bool(total) and linked > 0.8 * total))
+        if gap and lines and lines[-1][0]:
+            lines.append(("", False))
         text.clear()
         linked = total = 0
 
     def close(depth: int) -> None:
-        nonlocal skip_at, inside, links
+        nonlocal skip_at, links
         while len(open_) > depth:
             tag = open_.pop()
             if len(open_) == skip_at:
                 skip_at = -1
             if tag in BLOCK and skip_at < 0:
-                end()
-            inside -= tag in ("article", "main")
+                end(tag not in FLOW)
             links -= tag == "a"
 
     at, size = 0, len(page)
@@ -135,15 +145,14 @@ def strip_markup(page: str) -> list[tuple[str, bool, bool]]:
                 if open_[depth] in BLOCK and open_[depth] != "p":
                     break
             if skip_at < 0:
-                end()
+                end(tag not in FLOW)
         if tag in VOID or found[3].rstrip().endswith("/") and tag in ("svg", "math"):
             continue
         if skip_at < 0 and _unwanted(tag, found[3]):
             skip_at = len(open_)
-            if tag in SKIPPED:
-                lines.append(("", False, inside > 0))
+            if tag in BLOCK:
+                end(True)
         open_.append(tag)
-        inside += tag in ("article", "main")
         links += tag == "a"
     if skip_at < 0:
         end()
@@ -153,19 +162,42 @@ def strip_markup(page: str) -> list[tuple[str, bool, bool]]:
 def main_text(page: str | None) -> str:
     """The lines between surge and dive, joined by line feeds."""
     lines = strip_markup(page or "")
-    marks = any(inside and text for text, _, inside in lines)
-    lengths = [len(t) if (inside if marks else not links) else 0 for t, links, inside in lines]
-    around = 0
+    boxes: list[list[tuple[str, int]]] = [[]]
+    for text, links in lines:
+        if text:
+            boxes[-1].append((text, 0 if links else len(text)))
+        else:
+            boxes.append([])
+    together = [max(_sums([n for _, n in box]), default=0) for box in boxes]
+    surge = min(SURGE, max(together))
+    if not surge:
+        return ""
+    lengths = [n for box in boxes for _, n in box]
+    ahead = [*_sums(lengths), 0]
     kept: list[str] = []
-    surged = False
-    for i, ((text, _, _), length) in enumerate(zip(lines, lengths, strict=True)):
-        around += length - (lengths[i - WINDOW] if i >= WINDOW else 0)
-        surged = around >= SURGE if not surged else around > 0
-        if surged and length:
-            kept.append(text)
+    waiting: list[str] = []
+    at, inside = 0, False
+    for box, most in zip(boxes, together, strict=True):
+        inside = most >= surge or inside and ahead[at] >= surge
+        at += len(box)
+        if not inside:
+            waiting.clear()
+            continue
+        for text, n in box:
+            if n:
+                kept += waiting
+                kept.append(text)
+                waiting.clear()
+            elif kept:
+                waiting.append(text)
     return "\n".join(kept)
 
 
+def _sums(lengths: list[int]) -> list[int]:
+    """The sums of WINDOW neighbours, from each place on."""
+    return [sum(lengths[i : i + WINDOW]) for i in range(len(lengths))]
+
+
 def text_of(page: Column) -> Column:
     """The main text of a column of pages."""
 

@@ -226,6 +226,24 @@ def test_html_odd_input(spark):
     ]
 
 
+def test_html_block_without_marks(spark):
+    long = "A paragraph of the text that is long enough to be taken for one by any measure, with a second clause."
+    rows = [
+        (1, "u", f"<body><div class=x1>Buy shoes now!</div><div class=x2><h1>Head</h1><p>{long}</p><p>Yes.</p><p>{long}</p>"
+         "</div><div class=x3><p>Win a prize</p></div><div>Write to us</div></body>"),
+        (2, "u", f"<article><p>Teaser</p></article><div><p>{long}</p><p>End.</p></div><article><p>Other teaser</p></article>"),
+        (3, "u", f"<div><p>Before</p></div><div><p>{long}</p></div><div><p>One.</p></div><div><p>Two.</p></div><div><p>{long}</p></div>"),
+        (4, "u", "<div><p>Short page</p><p>ends</p></div>"),
+    ]
+    got = html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {
+        1: f"Head\n{long}\nYes.\n{long}",
+        2: f"{long}\nEnd.",
+        3: f"{long}\nOne.\nTwo.\n{long}",
+        4: "Short page\nends",
+    }
+
+
 def labelled(spark, good, bad, column):
     texts = [*good, *bad, *ODD]
     df = docs(spark, texts)
