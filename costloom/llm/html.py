@@ -50,6 +50,8 @@ BAD_WORDS = frozenset(
     "comments reply replies discussion disqus form search login signup copyright pager pagination toolbar tags "
     "complementary contentinfo alert dialog rail".split()
 )
+#: What may stand in <head>; the first other start tag, or text, ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 _CLOSES_P = BLOCK - {"br", "body", "html", "title", "option", "optgroup"}
 _SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _TAG = re.compile(
@@ -116,6 +118,9 @@ def strip_markup(page: str) -> list[tuple[str, bool]]:
                 break
         found = _TAG.search(page, at)
         piece = page[at : found.start() if found else size]
+        start = (found[2] or "").lower() if found and not found[1] else ""
+        if open_ and open_[-1] == "head" and (piece.strip() or start and start not in IN_HEAD):
+            close(len(open_) - 1)
         if piece and skip_at < 0:
             text.append(piece)
             n = len(piece.strip())

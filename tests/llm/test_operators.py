@@ -244,6 +244,13 @@ def test_html_block_without_marks(spark):
     }
 
 
+@pytest.mark.parametrize("start", ["<body><p>", "<p>", "<div>", "", "<body><article><p>"])
+def test_html_head_without_end(start):
+    head = "<html><head><meta charset=utf-8><title>T</title><style>p{}</style><script>x</script>\n"
+    assert html.main_text(f"{head}{start}All of the text") == "All of the text"
+    assert html.main_text(f"{head}</head>{start}All of the text") == "All of the text"
+
+
 def labelled(spark, good, bad, column):
     texts = [*good, *bad, *ODD]
     df = docs(spark, texts)
