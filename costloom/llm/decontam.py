@@ -1,20 +1,23 @@
 """Benchmark decontamination by template canonicalisation.
 
-Every word becomes a template token: numbers `<num>`, units `<unit>`, names (capitalised words inside a
-sentence) `<name>`, and otherwise the word in lower case without punctuation at its ends. Windows of WIDTH
-template tokens of documents and benchmark items are joined on their hash and the template text; so a
-question comes up again after its numbers and names were exchanged. The words in the slots must then fit
-together: along one alignment of item and document, each word of the item stands for one word of the document
-and the other way round. A document is contaminated if the consistent windows of one alignment cover MIN_RUN
-windows, or all windows of a shorter item. Windows whose slot words are the same count even where others
-contradict them, so a verbatim passage is found next to a changed one.
+Every word becomes a template token: numbers `<num>`, units `<unit>`, names (capitalised words) `<name>`, and
+otherwise the word in lower case without punctuation at its ends. Names that stand together are one token, and so are
+number words; punctuation and line feeds part them. A capitalised word that opens a sentence or a line is a name or
+not: every text is read both ways, and a third time word by word. Windows of WIDTH tokens of documents and benchmark
+items are joined, for each reading, on their hash and the template text; so a question comes up again after its
+numbers and names were exchanged. The words in the slots (of names the last word) must then fit together: along one
+alignment of item and document, each word of the item stands for one word of the document and the other way round.
+Windows whose slot words are the same count even where others contradict them, so a verbatim passage is found next to a
+changed one. Consistent windows of alignments at most NEAR tokens apart are taken together, so an added or lost
+word doesn't part them. A document is contaminated if they cover MIN_RUN windows of an item, or all of a shorter item.
 
 Before the join a bitmap of FILTER_BITS bits, built from the benchmark by a distributed aggregate, drops windows
 whose hash no item has; its size is fixed, it never drops a match, and the exact join follows. Windows with
-fewer than MIN_LITERALS literal tokens are too general and are left out on both sides.
+fewer than MIN_LITERALS literal tokens are too general for a template and are compared word by word only.
 
-Null texts count as empty; items with fewer than WIDTH words are one window; empty items match nothing.
-Rows that share a doc_id are judged together; null ids share one verdict. Repeated items do no harm.
+Items with fewer than WIDTH tokens are one window of their length, which is looked for anywhere in a document; items
+with fewer than MIN_LITERALS only match documents that are no longer. Null texts count as empty; empty items match
+nothing. Rows that share a doc_id are judged together; null ids share one verdict. Repeated items do no harm.
 """
 
 from __future__ import annotations
@@ -36,7 +39,9 @@ WIDTH = 8
 MIN_LITERALS = 4
 #: Windows in a row that make a document contaminated: 13 words.
 MIN_RUN = 6
-FILTER_BITS = 1 << 22
+#: Alignments so many tokens apart are taken together.
+NEAR = 2
+FILTER_BITS = 1 << 25
 LAST = 2**63 - 1
 
 # Units of measure and money.
@@ -53,11 +58,15 @@ _WORD_NUMBERS = frozenset(
 )
 _STRIP = ".,;:!?\"'()[]{}<>«»“”‘’*_`"
 _KINDS = ("", "<num>", "<unit>", "<name>")
+#: Readings: capitalised words that open a sentence are names, or are literals; all words are literals.
+READINGS = ("names", "openers", "words")
+#: Bits of a word besides its kind (the lowest two): it ends a sentence, is parted from the word behind it or before it
+#: by punctuation, is a number word.
+_END, _AFTER, _BEFORE, _SPELLED = 4, 8, 16, 32
 
 
 class Canon(dict):
-    """Word to its number; per number the hash of its literal, and in bits its kind as first word of a sentence
-    and inside one (two bits each) and whether it ends a sentence."""
+    """Word to its number; per number the hash of its literal, and its kind and other bits."""
 
     def __init__(self) -> None:
         self.words: list[bytes] = []
@@ -75,19 +84,22 @@ class Canon(dict):
         raw = word.decode("utf-8", "replace")
         bare = raw.strip(_STRIP)
         low = bare.lower()
-        if _NUMBER.match(low) or low in _WORD_NUMBERS:
-            opens = inside = 1
+        spelled = bool(low) and _WORD_NUMBERS.issuperset(low.split("-"))
+        if spelled or _NUMBER.match(low):
+            bits = 1
         elif low in _UNITS:
-            opens = inside = 2
+            bits = 2
         else:
-            opens, inside = 0, 3 if bare[:1].isupper() else 0
-        ends = raw.rstrip("\"'”’)»")[-1:] in _ENDS
-        self.hashes.append(xxhash.xxh3_64_intdigest(low.encode()))
-        self.bits.append(opens | inside << 2 | ends << 4)
+            bits = 3 if bare[:1].isupper() else 0
+        bits |= _SPELLED * spelled | _AFTER * (raw[-1:] in _STRIP) | _BEFORE * (raw[:1] in _STRIP)
+        bits |= _END * (raw.rstrip("\"'”’)»")[-1:] in _ENDS)
+        self.hashes.append(xxhash.xxh3_64_intdigest(self.literal(number).encode()))
+        self.bits.append(bits)
         return number
 
     def literal(self, number: int) -> str:
-        return self.words[number].decode("utf-8", "replace").strip(_STRIP).lower()
+        raw = self.words[number].decode("utf-8", "replace")
+        return (raw.strip(_STRIP) or raw).lower()
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray]:
         """Hashes and bits of all numbers."""
@@ -104,15 +116,20 @@ _ENDS = frozenset(".!?:")
 _UNITS = frozenset(UNITS)
 _SPECIAL = frozenset(w.encode() for w in _UNITS | _WORD_NUMBERS)
 _HASHES = np.array([xxhash.xxh3_64_intdigest(k.encode()) for k in _KINDS], dtype=np.uint64)
+_SALTS = np.array([xxhash.xxh3_64_intdigest(k.encode()) for k in READINGS], dtype=np.uint64)
 #: Bytes of text that are cut into words at once.
-_BLOCK = 2_000_000
+_BLOCK = 1_000_000
 
 
 class Templates:
-    """Template windows of texts, many at a time."""
+    """Template windows of texts, many at a time.
 
-    def __init__(self, width: int, bits: np.ndarray | None) -> None:
-        self.width, self.bits = width, bits
+    Without a bitmap the texts are items. With one they are documents, and `short` holds, per reading, the
+    lengths of the items that are shorter than a window.
+    """
+
+    def __init__(self, width: int, bits: np.ndarray | None, short: list[list[int]] | None = None) -> None:
+        self.width, self.bits, self.short = width, bits, short or [[] for _ in READINGS]
         self.known = Canon()
 
     def _maybe(self, keys: np.ndarray) -> np.ndarray:
@@ -121,73 +138,93 @@ class Templates:
         slot = (keys & np.uint64(FILTER_BITS - 1)).astype(np.int64)
         return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
 
-    def _row(self, key: np.uint64, place: int, ids: list[int], kinds: list[int]) -> dict:
-        words = [self.known.literal(i) for i in ids]
+    def _row(self, reading: int, key: np.uint64, place: int, tokens: list[list[int]], kinds: list[int]) -> dict:
+        words = [[self.known.literal(i) for i in t] for t in tokens]
         return {
             "h": int(key.astype(np.int64)),
+            "reading": reading,
+            "size": len(tokens),
             "place": place,
-            "template": " ".join(w if k == 0 else _KINDS[k] for w, k in zip(words, kinds, strict=True)),
-            "slots": [w for w, k in zip(words, kinds, strict=True) if k],
+            "template": f"{reading} " + " ".join(_KINDS[k] or w[0] for w, k in zip(words, kinds, strict=True)),
+            "slots": [w[-1] if k == 3 else " ".join(w) for w, k in zip(words, kinds, strict=True) if k],
         }
 
     def find(self, raws: list[bytes]) -> list[dict]:
-        """`n` (usable windows, all of a short text's one) and `found` of each text."""
+        """`n` (per reading, the usable windows of an item) and `found` of each text."""
         if len(self.known) > REMEMBERED:
             self.known = Canon()
-        split = [r.split() for r in raws]
-        sizes = np.array([len(x) for x in split], dtype=np.int64)
-        out = [{"n": 0, "found": []} for _ in raws]
-        if not sizes.sum():
+        split = [[line.split() for line in r.split(b"\n")] for r in raws]
+        sizes = np.array([sum(map(len, x)) for x in split], dtype=np.int64)
+        per_line = np.array([len(line) for x in split for line in x], dtype=np.int64)
+        out = [{"n": [0] * len(READINGS), "found": []} for _ in raws]
+        total = int(sizes.sum())
+        if not total:
             return out
-        ids = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
-        del split
+        words = chain.from_iterable(chain.from_iterable(split))
+        ids = np.fromiter(map(self.known.__getitem__, words), np.int64, total)
+        del split, words
         hashes, bits = (x[ids] for x in self.known.arrays())
-        ends = bits >= 16
-        first = np.cumsum(sizes) - sizes
-        starts = np.concatenate([[True], ends[:-1]])
-        starts[first[sizes > 0]] = True
-        kinds = np.where(starts, bits & 3, bits >> 2 & 3)
-        hashes = np.where(kinds == 0, hashes, _HASHES[kinds])
-        literal = np.concatenate([[0], np.cumsum(kinds == 0)])
-
-        def add(doc: int, at: int, take: int, key: np.uint64) -> None:
-            part = slice(at, at + take)
-            out[doc]["found"].append(self._row(key, at - int(first[doc]), ids[part].tolist(), kinds[part].tolist()))
-
-        width = self.width
-        if len(ids) >= width:
-            keys = windows(hashes, width)
-            usable = literal[width:] - literal[:-width] >= min(MIN_LITERALS, width)
-            doc = np.repeat(np.arange(len(raws)), sizes)
-            usable &= doc[: len(keys)] == doc[width - 1 :]
-            if self.bits is None:
-                for d, n in zip(*np.unique(doc[: len(keys)][usable], return_counts=True), strict=True):
-                    out[d]["n"] = int(n)
-            for at in np.flatnonzero(usable & self._maybe(keys)).tolist():
-                add(int(doc[at]), at, width, keys[at])
-        for d in np.flatnonzero((sizes > 0) & (sizes < width)).tolist():
-            at, take = int(first[d]), int(sizes[d])
-            key = windows(hashes[at : at + take], width)
-            if literal[at + take] - literal[at] >= min(MIN_LITERALS, take) and self._maybe(key)[0]:
-                out[d]["n"] = 1
-                add(d, at, take, key[0])
+        doc = np.repeat(np.arange(len(raws)), sizes)
+        opens = np.zeros(total + 1, dtype=bool)
+        opens[np.cumsum(per_line)] = opens[0] = True
+        parted = opens[:-1].copy()
+        opens = opens[:-1]
+        opens[1:] |= (bits[:-1] & _END) > 0
+        parted[1:] |= (bits[:-1] & _AFTER) > 0
+        parted |= (bits & _BEFORE) > 0
+        kinds = bits & 3
+        for reading, name in enumerate(READINGS):
+            own = kinds if name == "names" else np.where(opens & (kinds == 3), 0, kinds) if name == "openers" else np.zeros_like(kinds)
+            joins = np.zeros(total, dtype=bool)
+            joins[1:] = ~parted[1:] & (
+                (own[1:] == 3) & (own[:-1] == 3) | (own[1:] == 1) & (own[:-1] == 1) & ((bits[1:] & _SPELLED) > 0)
+            )
+            self._windows(reading, out, ids, np.flatnonzero(~joins), own, hashes, doc)
         return out
 
-
-_ROW = "array<struct<h:bigint,place:int,template:string,slots:array<string>>>"
-
-
-def template_windows(text: Column, width: int = WIDTH, bitmap: bytes | None = None) -> Column:
-    """The template windows of a text column; with a bitmap only those it may contain."""
+    def _windows(
+        self, reading: int, out: list[dict], ids: np.ndarray, at: np.ndarray, kinds: np.ndarray, hashes: np.ndarray, doc: np.ndarray
+    ) -> None:
+        """Add the windows of one reading; its tokens begin at the words `at`."""
+        ends = np.append(at[1:], len(ids))
+        kinds, doc = kinds[at], doc[at]
+        hashes = np.where(kinds == 0, hashes[at], _HASHES[kinds])
+        sizes = np.bincount(doc, minlength=len(out))
+        first = np.cumsum(sizes) - sizes
+        literal = np.concatenate([[0], np.cumsum(kinds == 0)])
+        short = self.short[reading] if self.bits is not None else np.unique(sizes[(sizes > 0) & (sizes < self.width)]).tolist()
+        for take in {self.width, *short}:
+            n = len(at) - take + 1
+            if n < 1:
+                continue
+            keys = windows(hashes, take) ^ _SALTS[reading]
+            usable = (doc[:n] == doc[take - 1 :]) & self._maybe(keys)
+            usable &= literal[take:] - literal[:-take] >= min(MIN_LITERALS, take)
+            if take < self.width and (self.bits is None or take < MIN_LITERALS):
+                usable &= sizes[doc[:n]] == take
+            for i in np.flatnonzero(usable).tolist():
+                d = int(doc[i])
+                tokens = [ids[at[j] : ends[j]].tolist() for j in range(i, i + take)]
+                out[d]["n"][reading] += 1
+                out[d]["found"].append(self._row(reading, keys[i], i - int(first[d]), tokens, kinds[i : i + take].tolist()))
+
+
+_ROW = "array<struct<h:bigint,reading:int,size:int,place:int,template:string,slots:array<string>>>"
+
+
+def template_windows(
+    text: Column, width: int = WIDTH, bitmap: bytes | None = None, short: list[list[int]] | None = None
+) -> Column:
+    """The template windows of a text column; with a bitmap only those it may contain, also of the `short` lengths."""
     share = None
     if bitmap is not None:
         from pyspark.sql import SparkSession
 
         share = SparkSession.active().sparkContext.broadcast(bitmap)
 
-    @F.arrow_udf(f"struct<n:int,found:{_ROW}>")
+    @F.arrow_udf(f"struct<n:array<int>,found:{_ROW}>")
     def canonical(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        finder = Templates(width, None if share is None else np.frombuffer(share.value, dtype=np.uint8))
+        finder = Templates(width, None if share is None else np.frombuffer(share.value, dtype=np.uint8), short)
         for batch in batches:
             raws = texts(batch)
             out, at = [], 0
@@ -205,9 +242,16 @@ def template_windows(text: Column, width: int = WIDTH, bitmap: bytes | None = No
 
 def _type() -> pa.DataType:
     row = pa.struct(
-        [("h", pa.int64()), ("place", pa.int32()), ("template", pa.string()), ("slots", pa.list_(pa.string()))]
+        [
+            ("h", pa.int64()),
+            ("reading", pa.int32()),
+            ("size", pa.int32()),
+            ("place", pa.int32()),
+            ("template", pa.string()),
+            ("slots", pa.list_(pa.string())),
+        ]
     )
-    return pa.struct([("n", pa.int32()), ("found", pa.list_(row))])
+    return pa.struct([("n", pa.list_(pa.int32())), ("found", pa.list_(row))])
 
 
 def _bitmap(items: DataFrame) -> bytes:
@@ -224,27 +268,40 @@ def _bitmap(items: DataFrame) -> bytes:
     return bytes(out)
 
 
+def _short(items: DataFrame, width: int) -> list[list[int]]:
+    """Per reading the lengths of the items shorter than a window; at most `width` - 1 each."""
+    out: list[list[int]] = [[] for _ in READINGS]
+    for row in items.filter(F.col("size") < width).select("reading", "size").distinct().collect():
+        out[row["reading"]].append(row["size"])
+    return out
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(id, item_id, shift, n_hits, consistent, verbatim, n_windows): one row per alignment that has a hit."""
+    """(id, item_id, reading, shift, places, consistent, verbatim, n_windows): one row per alignment that has a hit.
+
+    `places` are the windows of the item that are hit, `verbatim` those with the same slot words.
+    """
     items = stored(
         benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(LAST)).alias("item_id"), template_windows(F.col("text"), width).alias("w"))
-        .select("item_id", F.col("w.n").alias("n_windows"), F.inline("w.found")),
+        .select("item_id", F.col("w.n").alias("n"), F.inline("w.found"))
+        .withColumn("n_windows", F.col("n")[F.col("reading")])
+        .drop("n"),
         "items",
     )
     bitmap = _bitmap(items)
     own = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
-        template_windows(F.col("text"), width, bitmap)["found"].alias("found"),
-    ).select("id", F.inline("found"))
+        template_windows(F.col("text"), width, bitmap, _short(items, width))["found"].alias("found"),
+    ).select("id", F.inline("found")).drop("size")
     sides = items.select(
         "item_id", "n_windows", "h", "template", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")
     ).distinct()
-    hits = stored(own.join(small(sides, 50_000), ["h", "template"]).distinct(), "hits")
-    key = ["id", "item_id", "shift"]
+    hits = stored(own.join(small(sides, 150_000), ["h", "template"]).distinct(), "hits")
+    key = ["id", "item_id", "reading", "shift"]
     hits = hits.withColumn("shift", F.col("place") - F.col("item_place"))
     windows_ = hits.groupBy(*key).agg(
-        F.count("*").alias("n_hits"),
-        F.count_if(F.col("slots") == F.col("item_slots")).alias("verbatim"),
+        F.collect_set("item_place").alias("places"),
+        F.collect_set(F.when(F.col("slots") == F.col("item_slots"), F.col("item_place"))).alias("verbatim"),
         F.max("n_windows").alias("n_windows"),
     )
     pairs = hits.select(
@@ -254,17 +311,28 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFr
         F.count("x").alias("n_pairs"), F.count_distinct("x").alias("n_x"), F.count_distinct("y").alias("n_y")
     )
     fits = (F.col("n_pairs") == F.col("n_x")) & (F.col("n_pairs") == F.col("n_y"))
-    return windows_.join(ties, key).select(*key, "n_hits", fits.alias("consistent"), "verbatim", "n_windows")
+    return windows_.join(ties, key).select(*key, "places", fits.alias("consistent"), "verbatim", "n_windows")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_run: int = MIN_RUN) -> DataFrame:
-    """(id, items, n_windows): the contaminated documents, the items they hold and the windows that show it."""
+    """(id, items, n_windows): the contaminated documents, the items they hold and the windows that show it.
+
+    The windows are those of the reading and place that show most of an item, summed over the items.
+    """
     found = matches(docs, benchmark, width)
-    enough = F.least(F.lit(min_run), F.col("n_windows"))
-    proof = F.when(F.col("consistent"), F.col("n_hits")).otherwise(F.col("verbatim"))
+    key = ["id", "item_id", "reading"]
+    around = F.explode(F.sequence(F.col("shift") - NEAR, F.col("shift") + NEAR)).alias("around")
+    proofs = (
+        found.withColumn("proof", F.when(F.col("consistent"), F.col("places")).otherwise(F.col("verbatim")))
+        .filter(F.size("proof") > 0)
+        .select(*key, "n_windows", "proof", around)
+        .groupBy(*key, "around")
+        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("proof")))).alias("proof"), F.max("n_windows").alias("n_windows"))
+    )
     return (
-        found.withColumn("proof", proof)
-        .filter((F.col("proof") >= enough) & (F.col("proof") > 0))
+        proofs.filter(F.col("proof") >= F.least(F.lit(min_run), F.col("n_windows")))
+        .groupBy("id", "item_id")
+        .agg(F.max("proof").alias("proof"))
         .groupBy("id")
         .agg(
             F.array_sort(F.collect_set(F.when(F.col("item_id") != LAST, F.col("item_id")))).alias("items"),

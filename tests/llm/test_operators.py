@@ -175,6 +175,33 @@ def test_decontamination_slots(spark):
     assert decontam.drop_contaminated(df, bench.limit(0)).count() == len(texts)
 
 
+def found_in(spark, item, texts):
+    bench = spark.createDataFrame([(1, item), (2, prose(91, 40))], "item_id long, text string")
+    return [r.doc_id for r in decontam.contaminated(docs(spark, texts), bench).selectExpr("id as doc_id").sort("id").collect()]
+
+
+def test_decontamination_names_that_open_sentences(spark):
+    item = "Tom has 5 apples. Tom buys 7 more. How many apples does Tom have?"
+    other = "Ann has 6 apples. Ann buys 9 more. How many apples does Ann have?"
+    texts = [
+        other,
+        f"Exercise 3\n{other} Answer: 15",
+        other.replace("Ann", "Mary Ann"),
+        other.replace("6", "twenty five").replace("9", "thirty-one"),
+        # The name can't be both.
+        other.replace("Ann has", "Eve has"),
+        "Ann has few pears. Ann sells them all. How many people does Ann know?",
+        item,
+    ]
+    assert found_in(spark, item, texts) == [1, 2, 3, 4, 7]
+
+
+def test_decontamination_added_word(spark):
+    item = "A train with 12 cars leaves the town at 9 and reaches the coast after 4 long hours without any stop on its way."
+    text = item.replace("12", "15").replace("reaches", "finally reaches")
+    assert found_in(spark, item, [text, item.replace("train", "bus")]) == [1, 2]
+
+
 def test_pieces_round_trip(spark):
     texts = [*ODD, prose(2, 400) + "\n  two  blanks\tand tab "]
     out = pieces.encode_documents(docs(spark, texts, [None, *range(1, len(texts))]).withColumn("ids", F.lit("own")))
