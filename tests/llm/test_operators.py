@@ -202,6 +202,31 @@ def test_decontamination_added_word(spark):
     assert found_in(spark, item, [text, item.replace("train", "bus")]) == [1, 2]
 
 
+@pytest.mark.parametrize(
+    "item",
+    [
+        "What is the capital of France?",
+        "12 + 35 - 7 * 4 = ?",
+        "Anna Berta Carla Dora Emma Frieda Gerda Hanna Ida",
+        "Tom buys 7 pears and 3 plums at the market",
+    ],
+)
+def test_decontamination_short_items(spark, item):
+    texts = [
+        f"{prose(1, 30)}. {item} {prose(2, 30)}",
+        f"{prose(1, 30)}\nQuestion\n{item}\nAnswer\n{prose(2, 30)}",
+        f"{prose(1, 30)} Question {item}",
+        item,
+        " ".join(item.split()[:-1]) + " x " + prose(3, 40),
+        prose(4, 40),
+    ]
+    assert found_in(spark, item, texts) == [1, 2, 3, 4]
+
+
+def test_decontamination_tiny_items_match_whole_documents(spark):
+    assert found_in(spark, "Yes it is", ["Yes it is", "He says yes it is.", "yes IT is!", prose(4, 40)]) == [1, 3]
+
+
 def test_pieces_round_trip(spark):
     texts = [*ODD, prose(2, 400) + "\n  two  blanks\tand tab "]
     out = pieces.encode_documents(docs(spark, texts, [None, *range(1, len(texts))]).withColumn("ids", F.lit("own")))
