@@ -84,7 +84,7 @@ class Canon(dict):
         raw = word.decode("utf-8", "replace")
         bare = raw.strip(_STRIP)
         low = bare.lower()
-        spelled = bool(low) and _WORD_NUMBERS.issuperset(low.split("-"))
+        spelled = low in _WORD_NUMBERS or "-" in low and _WORD_NUMBERS.issuperset(low.split("-"))
         if spelled or _NUMBER.match(low):
             bits = 1
         elif low in _UNITS:
@@ -93,7 +93,7 @@ class Canon(dict):
             bits = 3 if bare[:1].isupper() else 0
         bits |= _SPELLED * spelled | _AFTER * (raw[-1:] in _STRIP) | _BEFORE * (raw[:1] in _STRIP)
         bits |= _END * (raw.rstrip("\"'”’)»")[-1:] in _ENDS)
-        self.hashes.append(xxhash.xxh3_64_intdigest(self.literal(number).encode()))
+        self.hashes.append(xxhash.xxh3_64_intdigest((low or raw.lower()).encode()))
         self.bits.append(bits)
         return number
 
