@@ -27,8 +27,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones stays, the one with the smallest id."""
-    return jaccard.one_of_each(docs)
+    """One document of each group of similar ones stays, the one with the smallest id.
+
+    Similar are word shingles of five with a Jaccard index of 0.8; the query op10 has bounds of its own.
+    """
+    return jaccard.one_of_each(docs, width=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
