@@ -1,10 +1,13 @@
 """License scan: sparse TF-IDF cosine of statements to templates, and inheritance from directories.
 
-Each sentence and line of a file is a segment. Segments and templates are vectors of words weighted by
+Each sentence and line of a file is a segment, and so is each sentence of a paragraph or comment whose lines are joined,
+without the signs of comments at their starts; so statements wrapped over lines are found. Segments and templates are vectors of words weighted by
 count times inverse document frequency; the frequencies of the templates' words are counted over all segments of
 the corpus, other words weigh as much as a word that no segment has. A segment whose cosine to a
 template reaches MIN_COSINE states that licence; a file has the licence of its best statement (ties: the first
-licence by name). Where the file is a licence file, that is also the licence of its directory. Files without
+licence by name; a licence whose text holds another's goes before that one). Templates are statements, titles of
+licence texts, and sentences of standard notices and permissions; full licence texts are known by these, not
+by a vector of the whole file. Where the file is a licence file, that is also the licence of its directory. Files without
 a statement inherit the licence of the nearest directory above them that has one.
 
 Everything is a DataFrame expression. Scores need no shuffle: only the frequencies of the templates' words (a
@@ -49,9 +52,67 @@ TEMPLATES = {
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
     "Unlicense": ["This is free and unencumbered software released into the public domain"],
 }
+# Titles of licence texts.
+TITLES = {
+    "AGPL-3.0": ["GNU Affero General Public License Version 3, 19 November 2007"],
+    "Apache-2.0": ["Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"],
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0 International Public License"],
+    "CC-BY-NC-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International Public License"],
+    "CC-BY-SA-4.0": ["Creative Commons Attribution-ShareAlike 4.0 International Public License"],
+    "GPL-2.0": ["GNU General Public License Version 2, June 1991"],
+    "GPL-3.0": ["GNU General Public License Version 3, 29 June 2007"],
+    "LGPL-2.1": ["GNU Lesser General Public License Version 2.1, February 1999"],
+    "LGPL-3.0": ["GNU Lesser General Public License Version 3, 29 June 2007"],
+    "MPL-2.0": ["Mozilla Public License Version 2.0"],
+}
+_FSF = (
+    "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by the "
+    "Free Software Foundation, either version {} of the License, or (at your option) any later version"
+)
+# Sentences of standard notices and permissions.
+NOTICES = {
+    "AGPL-3.0": [_FSF.format("program", "Affero General Public License", "3")],
+    "Apache-2.0": ['Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License'],
+    "BSD-2-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met"
+    ],
+    "BSD-3-Clause": [
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission"
+    ],
+    "GPL-2.0": [_FSF.format("program", "General Public License", "2")],
+    "GPL-3.0": [_FSF.format("program", "General Public License", "3")],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies"
+    ],
+    "LGPL-2.1": [_FSF.format("library", "Lesser General Public License", "2.1")],
+    "LGPL-3.0": [_FSF.format("library", "Lesser General Public License", "3")],
+    "MIT": [
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions"
+    ],
+    "MPL-2.0": [
+        "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/"
+    ],
+    "Unlicense": [
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or "
+        "as a compiled binary, for any purpose, commercial or non-commercial, and by any means"
+    ],
+}
+#: Templates that are compared on bounds of their own: short ones and long ones.
+GROUPS = ({k: TEMPLATES.get(k, []) + TITLES.get(k, []) for k in {**TEMPLATES, **TITLES}}, NOTICES)
+#: A licence whose text holds the statements of another.
+HOLDS = (("BSD-3-Clause", "BSD-2-Clause"),)
 # Spellings that are one word here.
 SAME = (("licence", "license"), ("v2", "2"), ("v3", "3"), ("2.0", "2"), ("3.0", "3"), ("4.0", "4"), ("1.0", "1"))
 _BREAK = r"[\n]+|(?<=[.!?;])\x20+"
+#: Signs of a comment at the start of a line, and the end of a paragraph.
+_COMMENT = r"(?m)^[ \t]*(?://+|/\*+|\*+/?|#+|;+|--+|<!--|%+)?[ \t]*"
+_PARAGRAPH = r"\n[ \t\r]*\n"
 _WORD = r"[a-z0-9](?:[a-z0-9.-]*[a-z0-9])?"
 
 
@@ -72,14 +133,23 @@ def _words(segment: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.lower(segment), F.lit(_WORD), F.lit(0)), one)
 
 
-def _vocabulary() -> list[str]:
-    return sorted({w for ts in TEMPLATES.values() for t in ts for w in _python_words(t)})
+def _vocabulary(*groups: dict[str, list[str]]) -> list[str]:
+    return sorted({w for g in groups or GROUPS for ts in g.values() for t in ts for w in _python_words(t)})
 
 
 def _segments(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), _BREAK, -1), lambda s: F.trim(s) != "")
 
 
+def _joined(text: Column) -> Column:
+    """Sentences of paragraphs and comments whose lines are joined."""
+    blocks = F.split(F.regexp_replace(text, _COMMENT, ""), _PARAGRAPH, -1)
+    several = F.filter(blocks, lambda b: F.instr(F.trim(b), "\n") > 0)
+    parts = F.flatten(F.transform(several, lambda b: F.split(F.replace(b, F.lit("\n"), F.lit(" ")), _BREAK, -1)))
+    none = F.array().cast("array<string>")
+    return F.when(F.instr(text, "\n") > 0, F.filter(parts, lambda s: F.trim(s) != "")).otherwise(none)
+
+
 def frequencies(files: DataFrame) -> DataFrame:
     """One row: `n` segments, and `df`, for each word of the templates the number of segments that have it."""
     vocabulary = F.array(*[F.lit(w) for w in _vocabulary()])
@@ -94,16 +164,15 @@ def frequencies(files: DataFrame) -> DataFrame:
     )
 
 
-def model(files: DataFrame) -> DataFrame:
-    """One stored row: idf of the templates' words, `other` (idf of a word that no segment has), the weighted
+def model(found: DataFrame, group: dict[str, list[str]]) -> DataFrame:
+    """One stored row for a group of templates, of stored frequencies: idf of the templates' words, `other` (idf of a word that no segment has), the weighted
     templates, and the least squared length that a segment's share of the vocabulary needs for MIN_COSINE."""
-    found = stored(frequencies(files), "frequencies")
-    spark = files.sparkSession
+    spark = found.sparkSession
     n, df = found.select("n").scalar(), found.select("df").scalar()
     idf = F.log((1.0 + n) / (1.0 + F.coalesce(F.element_at(df, F.col("word")), F.lit(0)))) + 1.0
     counts = [
         F.struct(F.lit(k).alias("k"), F.lit(name).alias("name"), F.lit(word).alias("word"), F.lit(words.count(word)).alias("times"))
-        for k, (name, words) in enumerate((name, _python_words(t)) for name, ts in TEMPLATES.items() for t in ts)
+        for k, (name, words) in enumerate((name, _python_words(t)) for name, ts in group.items() for t in ts)
         for word in sorted(set(words))
     ]
     terms = spark.range(1).select(F.inline(F.array(*counts))).withColumn("idf", idf)
@@ -174,24 +243,37 @@ def stated(files: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
     A cosine can't exceed the share of the template's squared length that the common words make up; segments
     whose common words are too light for any template are not scored.
     """
-    vocabulary = F.array(*[F.lit(w) for w in _vocabulary()])
-    ready = files.select("file_id", "path", "text").withColumn("m", model(files).select("model").scalar())
-
-    def light(words: Column) -> Column:
-        common = F.array_intersect(words, vocabulary)
-        return F.aggregate(common, F.lit(0.0), lambda a, w: a + F.element_at(F.col("m.most"), w))
-
-    need = min_cosine * min_cosine * F.col("m.least") * F.col("m.least") * 0.999
-    near = F.filter(F.transform(_segments(F.col("text")), _words), lambda w: light(w) >= need)
-    best = F.array_min(F.transform("near", lambda w: _best(w, F.col("m"))))
-    scored = ready.withColumn("near", near).select("file_id", "path", best.alias("best"))
-    states = F.col("best.distance") <= -min_cosine
-    return scored.select(
-        "file_id",
-        "path",
-        F.when(states, F.col("best.name")).alias("license"),
-        F.when(states, -F.col("best.distance")).alias("cosine"),
-    )
+    found = stored(frequencies(files), "frequencies")
+    ready = files.select("file_id", "path", "text")
+    for k, group in enumerate(GROUPS):
+        ready = ready.withColumn(f"m{k}", model(found, group).select("model").scalar())
+
+    def near(k: int) -> Column:
+        own = F.col(f"m{k}")
+        vocabulary = F.array(*[F.lit(w) for w in _vocabulary(GROUPS[k])])
+        need = min_cosine * min_cosine * own["least"] * own["least"] * 0.999
+
+        def light(words: Column) -> Column:
+            return F.aggregate(F.array_intersect(words, vocabulary), F.lit(0.0), lambda a, w: a + F.element_at(own["most"], w))
+
+        return F.filter("words", lambda words: light(words) >= need)
+
+    def scores(k: int) -> Column:
+        return F.transform(f"near{k}", lambda words: _best(words, F.col(f"m{k}")))
+
+    def without(name: str) -> Column:
+        return F.filter("all", lambda b: b["name"] != name)
+
+    text = F.coalesce(F.col("text"), F.lit(""))
+    ready = ready.withColumn("words", F.transform(F.array_union(_segments(text), _joined(text)), _words))
+    ready = ready.select("file_id", "path", "m0", "m1", *[near(k).alias(f"near{k}") for k in range(len(GROUPS))])
+    bests = F.concat(*[scores(k) for k in range(len(GROUPS))])
+    scored = ready.select("file_id", "path", F.filter(bests, lambda b: b["distance"] <= -min_cosine).alias("all"))
+    names = F.transform("all", lambda b: b["name"])
+    for holder, held in HOLDS:
+        scored = scored.withColumn("all", F.when(F.array_contains(names, holder), without(held)).otherwise(F.col("all")))
+    scored = scored.select("file_id", "path", F.array_min("all").alias("best"))
+    return scored.select("file_id", "path", F.col("best.name").alias("license"), (-F.col("best.distance")).alias("cosine"))
 
 
 def _directory(path: Column) -> Column:

@@ -373,6 +373,48 @@ def test_licenses_inherit_from_the_nearest_directory(spark):
     assert licenses.scan_licenses(empty).count() == 0
 
 
+def test_licenses_wrapped_notices_and_titles(spark):
+    gnu = """{c} This file is part of a tool.
+{c}
+{c} {what} is free software: you can redistribute it and/or modify
+{c} it under the terms of the GNU {name} as published by
+{c} the Free Software Foundation, either version {v} of the License, or
+{c} (at your option) any later version.
+
+int x = 1;
+"""
+    bsd = """Copyright (c) 2001, A. Uthor
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice.
+"""
+    third = """
+3. Neither the name of the University nor the names of its contributors may
+be used to endorse or promote products derived from this software without
+specific prior written permission.
+"""
+    texts = [
+        ("GPL-3.0", gnu.format(c="//", what="The tool", name="General Public License", v=3)),
+        ("LGPL-2.1", gnu.format(c="#", what="This library", name="Lesser General Public License", v="2.1")),
+        ("AGPL-3.0", gnu.format(c=" *", what="This program", name="Affero General Public License", v=3)),
+        ("GPL-2.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989"),
+        ("Apache-2.0", "# Licensed under the Apache License,\n# Version 2.0\n"),
+        ("MIT", "Copyright (c) 2020 A. Uthor\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n"
+         'of this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, '
+         "including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\n"
+         "copies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:"),
+        ("BSD-2-Clause", bsd),
+        ("BSD-3-Clause", bsd + third),
+        (None, "The library is free and the program runs.\nIt is published by the foundation of the version."),
+    ]
+    rows = [(i, f"{i}/x.c", t) for i, (_, t) in enumerate(texts)]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "file_id long, path string, text string")).collect()
+    assert [r.license for r in sorted(got, key=lambda r: r.file_id)] == [name for name, _ in texts]
+
+
 def shingles(text):
     words = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
     return {tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2))} if words else set()
