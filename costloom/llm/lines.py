@@ -1,7 +1,8 @@
 """Line dedup by a deletion-neighbourhood join over words.
 
 Two lines are near when one word changed, inserted or removed turns one into the other and the longer
-has at least five words (similarity 0.8 or more). Lines are compared without blanks at their ends;
+has at least five words (similarity 0.8 or more). The bound doesn't grow with the line: at forty words it is a
+similarity of 0.975, and a line with two edits (0.95) is kept as new. Lines are compared without blanks at their ends;
 words are what stands between single blanks. The order of lines is (doc_id, place in the text). A line
 goes when the same line, or a near one, stands earlier anywhere in the corpus, whether that earlier one
 stays or not; so the result depends neither on partitions nor on the order of work.
