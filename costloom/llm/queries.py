@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costloom.llm import decontam, html, jaccard, licenses, lines, pieces, quality, rules, secrets, toxicity, whitening
+from costloom.llm import decontam, html, jaccard, licenses, lines, pieces, quality, rules, secrets, toxicity, variants, whitening
 from costloom.llm.sql import ORACLE
 from costloom.llm.storage import table
 
@@ -62,6 +62,10 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variant_report(table(spark, sf_dir, "documents"))
+
+
 def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitening_report(table(spark, sf_dir, "embeddings"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": license_scan,
     "op9_quality_classifier": quality_score,
     "op10_jaccard_join": jaccard_join,
+    "op11_spelling_variants": spelling_variants,
     "op13_embedding_whitening": embedding_whitening,
 }
 
