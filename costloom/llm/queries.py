@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costloom.llm import decontam, html, jaccard, licenses, lines, pieces, quality, rules, secrets, toxicity, variants, whitening
+from costloom.llm import decontam, html, jaccard, language, licenses, lines, pieces, quality, rules, secrets, toxicity, variants, whitening
 from costloom.llm.sql import ORACLE
 from costloom.llm.storage import table
 
@@ -66,6 +66,10 @@ def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variant_report(table(spark, sf_dir, "documents"))
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(table(spark, sf_dir, "documents"))
+
+
 def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitening_report(table(spark, sf_dir, "embeddings"))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": quality_score,
     "op10_jaccard_join": jaccard_join,
     "op11_spelling_variants": spelling_variants,
+    "op12_language_id": language_id,
     "op13_embedding_whitening": embedding_whitening,
 }
 
