@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costloom.functions.missing import col
+from costloom.operators.watch import counted
 
 
 def left_lookup(
@@ -21,15 +22,19 @@ def left_lookup(
     left_key: str,
     right_key: str,
     take: dict[str, str] | list[str],
+    lookup: str = "",
 ) -> DataFrame:
     """Left join one key, adding only the named columns (a dict renames them).
 
-    Several dimension rows for one key give several result rows, as a merge does; see
-    `duplicate_keys` for the check.
+    Several dimension rows for one key give several result rows, as a merge does. A `LookupWatch` reports that,
+    under the name `lookup`; `duplicate_keys` finds the keys of one table.
     """
     names = take if isinstance(take, dict) else {n: n for n in take}
     slim = dim.select(col(right_key).alias("_key"), *[col(a).alias(b) for a, b in names.items()])
-    return df.join(slim, col(left_key) == F.col("_key"), "left").drop("_key")
+    return counted(
+        f"{lookup or 'lookup'}: {left_key}", df, slim, ["_key"],
+        lambda rows: rows.join(slim, col(left_key) == F.col("_key"), "left").drop("_key"),
+    )
 
 
 def left_on(df: DataFrame, other: DataFrame, keys: list[str], take: list[str]) -> DataFrame:

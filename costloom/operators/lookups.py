@@ -39,7 +39,7 @@ def last_wins(dim: DataFrame, key: str, value: str, order: str | None = None) ->
 def app_item_of(ledger: DataFrame, merge_map: DataFrame, out: str = "app_item") -> DataFrame:
     """Ledger with the reporting item of each line item (missing if the map has none)."""
     dim = last_wins(merge_map, "accounting_item_desc", "app_item")
-    return left_lookup(ledger, dim, "line_item", "accounting_item_desc", {"app_item": out})
+    return left_lookup(ledger, dim, "line_item", "accounting_item_desc", {"app_item": out}, "app_item_of")
 
 
 def variance_category(line_item: Column) -> Column:
@@ -56,6 +56,7 @@ def site_of_product(df: DataFrame, project_info: DataFrame, key: str) -> DataFra
         key,
         "Project name",
         {"AllieCode Name": "AllieCode Name", "Site": "Site", "Project name": "Project name"},
+        "site_of_product",
     )
 
 
@@ -66,28 +67,29 @@ def model_code_of_product(df: DataFrame, project_info: DataFrame, key: str) -> D
         key,
         "Project name",
         {"AllieCode Name": "AllieCode Name", "Project name": "Project name"},
+        "model_code_of_product",
     )
 
 
 def item_description(df: DataFrame, items_map: DataFrame, key: str = "variable") -> DataFrame:
     """Standard line-item name and group of a raw column name."""
     return left_lookup(
-        df, items_map, key, "variable", ["accounting_item_desc", "accounting_item_group"]
+        df, items_map, key, "variable", ["accounting_item_desc", "accounting_item_group"], "item_description"
     )
 
 
 def item_code(df: DataFrame, codes: DataFrame) -> DataFrame:
     return left_lookup(
-        df, codes, "accounting_item_desc", "accounting_item_desc", ["accounting_item_code"]
+        df, codes, "accounting_item_desc", "accounting_item_desc", ["accounting_item_code"], "item_code"
     )
 
 
 def project_status(df: DataFrame, dim_project: DataFrame, key: str = "product") -> DataFrame:
-    return left_lookup(df, dim_project, key, "product", ["project_status"])
+    return left_lookup(df, dim_project, key, "product", ["project_status"], "project_status")
 
 
 def product_type(df: DataFrame, dim_project: DataFrame, key: str = "product") -> DataFrame:
-    return left_lookup(df, dim_project, key, "product", ["product_type"])
+    return left_lookup(df, dim_project, key, "product", ["product_type"], "product_type")
 
 
 def cost_category_code(
@@ -95,13 +97,13 @@ def cost_category_code(
 ) -> DataFrame:
     """Category code of a cost item, with its non-adjustable flag if asked for."""
     take = ["cost_cat_code", "non_adj_flag"] if flag else ["cost_cat_code"]
-    return left_lookup(df, categories, key, "cost_cat_name", take)
+    return left_lookup(df, categories, key, "cost_cat_name", take, "cost_category_code")
 
 
 def line_item_short(df: DataFrame, control: DataFrame, key: str = "cost_item_level1") -> DataFrame:
     """Short name of a cost item. A list with several rows per item repeats the input row."""
     return left_lookup(
-        df, control, key, "line_item", {"Frontnend_name level 1": "line_item_short"}
+        df, control, key, "line_item", {"Frontnend_name level 1": "line_item_short"}, "line_item_short"
     )
 
 
@@ -115,7 +117,7 @@ def forecast_versions(r3m_pl: DataFrame) -> DataFrame:
 
 def with_forecast_version(df: DataFrame, versions: DataFrame, month: str = "reporting_month") -> DataFrame:
     """Left lookup of the forecast version of a month."""
-    return left_lookup(df, versions, month, "period", ["version"])
+    return left_lookup(df, versions, month, "period", ["version"], "with_forecast_version")
 
 
 def latest_param(params: DataFrame) -> DataFrame:

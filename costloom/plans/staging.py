@@ -18,6 +18,7 @@ from costloom.operators.lookups import (
     site_of_product,
 )
 from costloom.operators.reshape import melt, pivot_mean, split_rows
+from costloom.operators.watch import counted
 
 
 def dim_project(project_info: DataFrame) -> DataFrame:
@@ -205,11 +206,13 @@ def unit_moh(moh_raw: DataFrame, quotes: DataFrame) -> DataFrame:
     units = pivot_mean(
         quantity, keys, "type", "amount", {t: f"{t}_quantity" for t in K.TYPES}
     ).drop("Site", "accounting_item_desc")
-    joined = cost_by_type.join(units, ["period_start", "model_name"], "left")
+    place = ["period_start", "model_name"]
+    joined = counted("produced_units: " + ", ".join(place), cost_by_type, units, place, lambda df: df.join(units, place, "left"))
     per_unit = joined.withColumns(
         {t: div_ieee(F.col(t), F.col(f"{t}_quantity")) for t in K.TYPES}
     )
-    quoted = per_unit.join(quotes, ["period_start", "model_name", "accounting_item_desc"], "left")
+    item = [*place, "accounting_item_desc"]
+    quoted = counted("quotes: " + ", ".join(item), per_unit, quotes, item, lambda df: df.join(quotes, item, "left"))
     return quoted.select(
         F.col("period_start").alias("reporting_month"),
         F.lit(K.BG).alias("bg"),
@@ -265,7 +268,7 @@ def kpi_model(
             "bu": F.lit(K.BU),
         }
     )
-    placed = left_lookup(rated, project_info, "Model", "Project name", {"Site": "site"})
+    placed = left_lookup(rated, project_info, "Model", "Project name", {"Site": "site"}, "site_of_product")
     return placed.withColumnsRenamed(
         {
             "Model": "product",

@@ -1,13 +1,40 @@
-"""Tables as parquet folders {root}/{schema}/{table}."""
+"""Tables as parquet folders {root}/{schema}/{table}.
+
+Rows never lie in the table's folder itself: each write makes a folder of its own (`_rows-...`) below it, and a
+pointer file (`_current.json`) names, for each partition, the folders that hold its rows. The pointer is moved
+into place last, as one small file, so a reader sees a table before a write or after it, and a write that fails
+changes nothing. Frames read before a write go on reading the old folders; `clean` removes those.
+
+A table has one writer at a time. A folder without a pointer, written by something else, is read as it is.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable, Iterable
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from costloom.contracts import TABLES, Contract, conform
 from costloom.functions.missing import inf_to_null_all, nan_to_null_all
-from costloom.session import settle
+from costloom.sources.files import Files
+
+POINTER = "_current.json"
+#: Partition path, such as `type=Actual/reporting_month=2018-01-01`, to the folders with its rows.
+Parts = dict[str, list[str]]
+#: Name of a written folder that the table had before it was a store's table.
+_OUTSIDE = "."
+
+
+def _cells(part: str) -> dict[str, str]:
+    """Column and value of each level of a partition path."""
+    pairs = [level.split("=", 1) for level in part.split("/") if level]
+    return {name: unquote(value) for name, value in pairs}
 
 
 class Store:
@@ -20,19 +47,85 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.files = Files(spark)
 
     def path(self, schema: str, table: str) -> str:
         return f"{self.root}/{schema}/{table.replace(' ', '_').replace('&', 'and')}"
 
+    def _pointer(self, schema: str, table: str) -> dict | None:
+        text = self.files.text(f"{self.path(schema, table)}/{POINTER}")
+        return json.loads(text) if text is not None else None
+
+    def parts(self, schema: str, table: str) -> Parts:
+        """Partitions of a table and the folders that hold their rows; empty without a pointer."""
+        return (self._pointer(schema, table) or {"parts": {}})["parts"]
+
+    def exists(self, schema: str, table: str) -> bool:
+        return self.files.exists(self.path(schema, table))
+
     def read(self, schema: str, table: str) -> DataFrame:
         """A whole table, without its surrogate id. NaN becomes null here.
 
         A table with a contract is read with its declared schema, so no file is opened to learn it.
         """
-        contract = TABLES.get(f"{schema}.{table}")
-        reader = self.spark.read.schema(contract.schema) if contract else self.spark.read
-        df = reader.parquet(self.path(schema, table))
-        return nan_to_null_all(df.drop("id"))
+        path, contract, pointer = self.path(schema, table), TABLES.get(f"{schema}.{table}"), self._pointer(schema, table)
+        declared = contract.schema if contract else None
+        if pointer is None:
+            reader = self.spark.read.schema(declared) if declared else self.spark.read
+            return nan_to_null_all(reader.parquet(path).drop("id"))
+        kind = declared or T.StructType.fromJson(pointer["schema"])
+        of_folder: dict[str, list[str]] = {}
+        for part, folders in pointer["parts"].items():
+            for folder in folders:
+                of_folder.setdefault(folder, []).append(part)
+        frames = []
+        for folder, live in sorted(of_folder.items()):
+            base = path if folder == _OUTSIDE else f"{path}/{folder}"
+            reader = self.spark.read.schema(kind)
+            if len(live) == pointer["sizes"][folder]:
+                frames.append(reader.parquet(base))
+            else:
+                frames.append(reader.option("basePath", base).parquet(*[f"{base}/{p}" for p in sorted(live)]))
+        if not frames:
+            return self.spark.createDataFrame([], kind).drop("id")
+        return nan_to_null_all(reduce(DataFrame.unionByName, frames).drop("id"))
+
+    def _publish(
+        self,
+        df: DataFrame,
+        schema: str,
+        table: str,
+        split: list[str],
+        merge: Callable[[Parts, Parts], Parts],
+    ) -> None:
+        """Write rows to a folder of their own, then move the pointer to `merge(old parts, new parts)`."""
+        path, folder = self.path(schema, table), f"_rows-{uuid.uuid4().hex}"
+        if split:
+            # Spark sizes the output by folder at run time: small ones are merged, large ones cut.
+            df = df.hint("rebalance", *[F.col(c) for c in split])
+        df.write.partitionBy(*split).parquet(f"{path}/{folder}")
+        new = dict.fromkeys(self.files.below(f"{path}/{folder}", len(split)), [folder])
+        old = self._pointer(schema, table) or self._outside(path, split)
+        parts = merge(old["parts"], new)
+        used = {f for folders in parts.values() for f in folders}
+        sizes = {f: n for f, n in {**old["sizes"], folder: len(new)}.items() if f in used}
+        pointer = {"schema": df.schema.jsonValue(), "parts": parts, "sizes": sizes}
+        self.files.replace_text(f"{path}/{POINTER}", json.dumps(pointer))
+
+    def _outside(self, path: str, split: list[str]) -> dict:
+        """Pointer of a folder that something else has written; without parts if there is none."""
+        if not any(not n.startswith(("_", ".")) for n in self.files.names(path)):
+            return {"parts": {}, "sizes": {}}
+        parts = self.files.below(path, len(split))
+        return {"parts": {p: [_OUTSIDE] for p in parts}, "sizes": {_OUTSIDE: len(parts)}}
+
+    def _shaped(
+        self, df: DataFrame, schema: str, table: str, contract: Contract | None, optional: tuple[str, ...]
+    ) -> tuple[DataFrame, list[str]]:
+        contract = contract or TABLES.get(f"{schema}.{table}")
+        if not contract:
+            return inf_to_null_all(df), []
+        return inf_to_null_all(conform(df, contract.schema, optional)), contract.partition_by
 
     def write(
         self,
@@ -46,22 +139,16 @@ class Store:
         """Store rows in the table's declared shape; infinities become null.
 
         `replace` replaces the whole table, also months and types that have no rows any more.
-        `folders` overwrites only the folders (months, types) that the rows belong to, for tables
+        `folders` replaces only the partitions (months, types) that the rows belong to, for tables
         that several steps fill. `append` adds rows.
         """
-        contract = contract or TABLES.get(f"{schema}.{table}")
-        split: list[str] = []
-        if contract:
-            df, split = conform(df, contract.schema, optional), contract.partition_by
-        df = inf_to_null_all(df)
-        if split:
-            # Spark sizes the output by folder at run time: small ones are merged, large ones cut.
-            df = df.hint("rebalance", *[F.col(c) for c in split])
-        writer = df.write.mode("append" if mode == "append" else "overwrite")
-        if split:
-            overwrite = "dynamic" if mode == "folders" else "static"
-            writer = writer.partitionBy(*split).option("partitionOverwriteMode", overwrite)
-        writer.parquet(self.path(schema, table))
+        merges: dict[str, Callable[[Parts, Parts], Parts]] = {
+            "replace": lambda old, new: new,
+            "folders": lambda old, new: {**old, **new},
+            "append": lambda old, new: {p: old.get(p, []) + new.get(p, []) for p in {**old, **new}},
+        }
+        rows, split = self._shaped(df, schema, table, contract, optional)
+        self._publish(rows, schema, table, split, merges[mode])
 
     def write_branches(
         self,
@@ -75,20 +162,48 @@ class Store:
         """Replace the branches `values` of a table's first partition column; other branches stay.
 
         For tables that several steps fill: each step replaces its own types as a whole, also months
-        that have no rows any more. Rows outside `values` are an error. Branches are replaced one
-        after another, so a step that fails between them has to be run again.
+        that have no rows any more, and all of them at once. Rows outside `values` are an error.
         """
-        branch, *split = contract.partition_by
-        rows = settle(inf_to_null_all(conform(df, contract.schema, optional)))
-        if not rows.filter(~F.coalesce(F.col(branch).isin(values), F.lit(False))).isEmpty():
-            raise ValueError(f"{schema}.{table}: rows outside the branches {values}")
-        for value in values:
-            part = rows.filter(F.col(branch) == value).drop(branch)
-            if split:
-                part = part.hint("rebalance", *[F.col(c) for c in split])
-            part.write.mode("overwrite").partitionBy(*split).option(
-                "partitionOverwriteMode", "static"
-            ).parquet(f"{self.path(schema, table)}/{branch}={value}")
+        branch = contract.partition_by[0]
+
+        def merge(old: Parts, new: Parts) -> Parts:
+            if {_cells(p)[branch] for p in new} - set(values):
+                raise ValueError(f"{schema}.{table}: rows outside the branches {values}")
+            return {p: f for p, f in old.items() if _cells(p)[branch] not in values} | new
+
+        rows, split = self._shaped(df, schema, table, contract, optional)
+        self._publish(rows, schema, table, split, merge)
+
+    def write_months(
+        self,
+        df: DataFrame,
+        schema: str,
+        table: str,
+        months: Iterable[str],
+        month: str = "reporting_month",
+        contract: Contract | None = None,
+        optional: tuple[str, ...] = (),
+        types: Iterable[str] | None = None,
+    ) -> None:
+        """Replace the months given (as yyyy-MM-dd), also those that have no rows any more; the others stay.
+
+        Rows of other months are left out; the filter reaches the scans behind `df` where the plan allows it.
+        `types` limits the replacement to some types of a table that is split by type, too.
+        """
+        wanted, kinds = sorted(set(months)), None if types is None else set(types)
+        rows, split = self._shaped(df, schema, table, contract, optional)
+
+        def mine(part: str) -> bool:
+            cells = _cells(part)
+            return cells[month] in wanted and (kinds is None or cells["type"] in kinds)
+
+        def merge(old: Parts, new: Parts) -> Parts:
+            return {p: f for p, f in old.items() if not mine(p)} | new
+
+        picked = rows.filter(F.col(month).isin([F.lit(m).cast("date") for m in wanted]))
+        if kinds is not None:
+            picked = picked.filter(F.col("type").isin(sorted(kinds)))
+        self._publish(picked, schema, table, split, merge)
 
     def copy(self, table: str, target: str) -> None:
         """raw to staging, projected onto the target's columns."""
@@ -96,8 +211,24 @@ class Store:
 
     def truncate(self, schema: str, table: str) -> None:
         """Remove all rows and keep the columns."""
-        path = self.path(schema, table)
-        columns = self.spark.read.parquet(path).schema
-        self.spark.createDataFrame([], columns).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).parquet(path)
+        contract = TABLES.get(f"{schema}.{table}")
+        pointer = self._pointer(schema, table)
+        kind = contract.schema if contract else None
+        if kind is None:
+            kind = T.StructType.fromJson(pointer["schema"]) if pointer else self.read(schema, table).schema
+        empty = {"schema": kind.jsonValue(), "parts": {}, "sizes": {}}
+        self.files.replace_text(f"{self.path(schema, table)}/{POINTER}", json.dumps(empty))
+
+    def clean(self, schema: str, table: str) -> list[str]:
+        """Remove the written folders that the pointer doesn't name; returns their names.
+
+        Frames read before a later write lose their files, so nothing may be reading then.
+        """
+        path, pointer = self.path(schema, table), self._pointer(schema, table)
+        if pointer is None:
+            return []
+        live = {f for folders in pointer["parts"].values() for f in folders}
+        old = [n for n in self.files.names(path) if n.startswith("_rows-") and n not in live]
+        for name in old:
+            self.files.remove(f"{path}/{name}")
+        return old

@@ -15,35 +15,96 @@ from costloom.sources.store import Store
 
 @dataclass(frozen=True)
 class Template:
-    """One input file, the table it goes to, and its date columns."""
+    """One input file, the table it goes to, its date columns, and the declared types of its columns.
+
+    `columns` names columns as they are after header cleaning; all others have type `rest`.
+    `patterns` are text columns that have to parse as a date of that pattern, though they stay text.
+    """
 
     file: str
     table: str
     dates: tuple[str, ...] = ()
     schema: str = "raw"
+    columns: str = ""
+    rest: str = "string"
+    patterns: tuple[tuple[str, str], ...] = ()
+
+    @property
+    def types(self) -> dict[str, T.DataType]:
+        """Declared columns; the ones named in `dates` are dates."""
+        declared = {f.name: f.dataType for f in T.StructType.fromDDL(self.columns).fields} if self.columns else {}
+        return {**dict.fromkeys(self.dates, T.DateType()), **declared}
+
 
+_PL = "Year int, Month int, Period string, Site string, Project string"
+_PERIOD, _VERSION = ("Period", "yyyy/MM"), ("Version", "yyyyMMdd")
+_RATE = "`From` string, `To` string, FX double"
 
-# File names, table names and date columns of the input templates.
+# File names, table names, column names and date columns of the input templates.
 MANIFEST = [
-    Template("yield rate", "yield rate", ("Month",)),
-    Template("R3M p&l", "r3m p&l"),
-    Template("project info", "project info", ("MP Start", "Shipment Start")),
-    Template("budget p&l", "budget p&l"),
-    Template("Actual p&l for loading history only", "actual p&l"),
-    Template("FX rate", "FX rate", ("Month",)),
-    Template("budget_rate", "Budget_fx"),
-    Template("booking_rate", "R3M_fx", ("Month",)),
-    Template("Scrap amount", "Scrap amount", ("Month",)),
+    Template(
+        "yield rate", "yield rate", ("Month",),
+        columns="Model string, Month date, `Yield rate` double, yield_rate_current_target double, "
+        "yield_rate_final_target double",
+    ),
+    Template(
+        "R3M p&l", "r3m p&l", columns=f"{_PL}, Version string", rest="double", patterns=(_PERIOD, _VERSION)
+    ),
+    Template(
+        "project info", "project info", ("MP Start", "Shipment Start"),
+        columns="`Project name` string, Site string, `AllieCode Name` string, `Product Type` string, "
+        "`Current stage` string, `MP Start` date, `NPI Start` date, `Shipment Start` date",
+    ),
+    Template(
+        "budget p&l", "budget p&l", columns=f"{_PL}, Version string", rest="double", patterns=(_PERIOD, _VERSION)
+    ),
+    Template(
+        "Actual p&l for loading history only", "actual p&l",
+        columns=f"{_PL}, Version string", rest="double", patterns=(_PERIOD, _VERSION),
+    ),
+    Template("FX rate", "FX rate", ("Month",), columns=f"Month date, {_RATE}"),
+    Template("budget_rate", "Budget_fx", columns=f"Year int, {_RATE}"),
+    Template("booking_rate", "R3M_fx", ("Month",), columns=f"Month date, {_RATE}"),
+    Template(
+        "Scrap amount", "Scrap amount", ("Month",),
+        columns="W_Model string, Month date, `Actual Scrap AMT_USD` double, scrap_rate double",
+    ),
     Template("input owner and deadline", "input owner and deadline"),
-    Template("ADS", "ADS", ("Month",)),
-    Template("APR", "APR", ("Month", "Version date")),
-    Template("accounting item mapping", "accounting item mapping"),
-    Template("actual p&l to standard line item names mapping", "raw_line_items_map"),
-    Template("health_score_weights", "health_score_weights"),
-    Template("line_item_to_app_item", "line_item_merge_map"),
-    Template("param_control", "param_control", ("date",)),
-    Template("SDBG cost item list", "tbl_cost_control_list", schema="dim"),
-    Template("app_cost_category", "cost_category", schema="app"),
+    Template(
+        "ADS", "ADS", ("Month",),
+        columns="Model string, Month date, ADS double, `COGS NTD` double, `Inventory NTD` double, ads_target double",
+    ),
+    Template(
+        "APR", "APR", ("Month", "Version date"),
+        columns="project string, Month date, `Version date` date, `APR _volume` double",
+    ),
+    Template(
+        "accounting item mapping", "accounting item mapping",
+        columns="accounting_item_code string, accounting_item_desc string",
+    ),
+    Template(
+        "actual p&l to standard line item names mapping", "raw_line_items_map",
+        columns="variable string, accounting_item_desc string, accounting_item_group string",
+    ),
+    Template("health_score_weights", "health_score_weights", columns="idx string, weight double"),
+    Template(
+        "line_item_to_app_item", "line_item_merge_map", columns="accounting_item_desc string, app_item string"
+    ),
+    Template("param_control", "param_control", ("date",), columns="param string, value double, date date"),
+    Template(
+        "SDBG cost item list", "tbl_cost_control_list", schema="dim",
+        columns="bg string, line_item string, line_itm_group string, detailed_item string, "
+        "`Frontnend_name level 1` string",
+    ),
+    Template(
+        "app_cost_category", "cost_category", schema="app",
+        columns="cost_cat_code string, cost_cat_name string, non_adj_flag int",
+    ),
+    Template(
+        "MPS", "MPS", ("Month",), columns="project string, Month date, `MPS _volume` double"
+    ),
+    Template("Max capacity", "Max capacity", ("Month",), columns="Model string, Month date, Units double"),
+    Template("quote p&l", "quote p&l", columns=_PL, rest="double", patterns=(_PERIOD,)),
 ]
 
 

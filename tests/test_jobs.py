@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,14 +59,11 @@ def pl_rows(kind: str, with_version: bool = True):
     return out
 
 
-@pytest.fixture(scope="module")
-def store(spark):
-    import tempfile
-
-    s = Store(spark, tempfile.mkdtemp(prefix="costloom-jobs-"))
+def fill(s: Store) -> None:
+    """Raw tables of three products and sixteen months."""
 
     def put(schema, table, data, ddl):
-        s.write(spark.createDataFrame(data, ddl), schema, table, mode="append")
+        s.write(s.spark.createDataFrame(data, ddl), schema, table, mode="append")
 
     pl = (
         "Year int, Month int, Period string, Site string, Project string, Version string, "
@@ -117,6 +115,12 @@ def store(spark):
     ], "bg string, line_item string, line_itm_group string, detailed_item string, `Frontnend_name level 1` string")
     put("app", "cost_category", [("oc_f", "Freight", 0), ("opex_s", "SGA", 1), ("moh_wmi", "MOH_WMI", 0), ("moh_weks", "MOH_WEKS", 0)],
         "cost_cat_code string, cost_cat_name string, non_adj_flag int")
+
+
+@pytest.fixture(scope="module")
+def store(spark):
+    s = Store(spark, tempfile.mkdtemp(prefix="costloom-jobs-"))
+    fill(s)
     jobs.run_all(s)
     return s
 

@@ -73,7 +73,7 @@ def test_templates(spark, folder):
 
 def test_manifest_names_each_table():
     tables = [(t.schema, t.table) for t in MANIFEST]
-    assert len(tables) == len(set(tables)) == 19
+    assert len(tables) == len(set(tables)) == 22
 
 
 def test_lit_rows(spark):
