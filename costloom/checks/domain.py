@@ -19,7 +19,8 @@ from costloom.operators.lookups import forecast_versions
 from costloom.session import settle
 from costloom.sources.templates import lit_rows
 
-FIRST_YEAR = 1996
+# First year of the tables, and the year that the queries on the first-year filter start with.
+EARLIEST, FIRST_YEAR = 1992, 1996
 # Budget and rolling forecast run this many months ahead of Actual, so plans exist after its latest month.
 AHEAD = 6
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from costloom import constants as K
 from costloom.checks.ctes import define
-from costloom.checks.domain import CODES, FIRST_YEAR, GROUPS, Domain
+from costloom.checks.domain import CODES, EARLIEST, FIRST_YEAR, GROUPS, Domain
 from costloom.checks.q_performance import four_levels
 from costloom.checks.registry import query
 from costloom.contracts import TABLES, conform
@@ -81,7 +81,7 @@ def _detail(currency: str) -> str:
 SELECT i.reporting_month, i.bg, i.bu, i.site, i.product, cost_box_group, cost_item_level1, cost_item_level2,
   {costs}, {quantities}, '{currency}' AS currency, fx AS fx_rate
 FROM every_item i {_joins()}
-WHERE i.reporting_month >= DATE '{FIRST_YEAR}-01-01'
+WHERE i.reporting_month >= DATE '{EARLIEST}-01-01'
 """
 
 
@@ -89,9 +89,9 @@ define("detail", _detail("NTD"))
 define("detail_usd", _detail("USD"))
 
 
-def detail(d: Domain, currency: str = K.LOCAL) -> DataFrame:
+def detail(d: Domain, currency: str = K.LOCAL, first_year: int = EARLIEST) -> DataFrame:
     full = cost.cost_overview_detail(
-        d.ledger, d.control, d.unit_moh, d.rates, currency, FIRST_YEAR
+        d.ledger, d.control, d.unit_moh, d.rates, currency, first_year
     )
     return conform(full, TABLES["app.cost_overview_dtl"].schema)
 
@@ -99,10 +99,10 @@ def detail(d: Domain, currency: str = K.LOCAL) -> DataFrame:
 @query(
     "cost_detail",
     "G12 A22 J15 J16 J17 J18 R6 S1 F14 P10 P14 IO5",
-    "SELECT * FROM detail",
+    f"SELECT * FROM detail WHERE reporting_month >= DATE '{FIRST_YEAR}-01-01'",
 )
 def cost_detail(d: Domain) -> DataFrame:
-    return detail(d)
+    return detail(d, first_year=FIRST_YEAR)
 
 
 @query("cost_detail_foreign", "G12 F18 G17", "SELECT * FROM detail_usd")

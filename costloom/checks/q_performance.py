@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costloom.checks.ctes import define
-from costloom.checks.domain import FIRST_YEAR, Domain
+from costloom.checks.domain import EARLIEST, FIRST_YEAR, Domain
 from costloom.checks.registry import query
 from costloom.contracts import TABLES, conform
 from costloom.functions.dates import month_start
@@ -196,7 +196,7 @@ SELECT reporting_month, bg, bu, site, product, ads, ads_target AS fg_ads_target,
   revenue_amt_for_scrap, production_volume AS production, shipment_volume AS shipment,
   unit_moh_actual, unit_moh_quote,
   CASE WHEN project_status = 'MP' AND ({_BOTTOM}) <> 0 THEN ({_TOP}) / ({_BOTTOM}) END AS health_score
-FROM scores WHERE reporting_month >= DATE '{FIRST_YEAR}-01-01'
+FROM scores WHERE reporting_month >= DATE '{EARLIEST}-01-01'
 """,
 )
 
@@ -205,9 +205,9 @@ _KPI_COLUMNS = [
 ]
 
 
-def perf_kpi(d: Domain) -> DataFrame:
+def perf_kpi(d: Domain, first_year: int = EARLIEST) -> DataFrame:
     full = performance.perf_kpi_model(
-        d.kpi, d.ledger, d.unit_moh, d.merge_map, d.dim_project, d.weights, FIRST_YEAR
+        d.kpi, d.ledger, d.unit_moh, d.merge_map, d.dim_project, d.weights, first_year
     )
     return full.select(*_KPI_COLUMNS)
 
@@ -215,10 +215,10 @@ def perf_kpi(d: Domain) -> DataFrame:
 @query(
     "perf_kpi_model",
     "G7 A1 A2 A3 C1 E1 E2 E3 E4 E5 E6 E7 E8 F16 F20 J6 J11 J20 J21 P2 P6 P10 S2 W1",
-    "SELECT * FROM perf_kpi",
+    f"SELECT * FROM perf_kpi WHERE reporting_month >= DATE '{FIRST_YEAR}-01-01'",
 )
 def perf_kpi_model(d: Domain) -> DataFrame:
-    return perf_kpi(d)
+    return perf_kpi(d, FIRST_YEAR)
 
 
 @query(
@@ -307,13 +307,13 @@ _OVERVIEW = (
 
 define(
     "overview",
-    rate_by_type("overview_base", _OVERVIEW) + f" WHERE reporting_month >= DATE '{FIRST_YEAR}-01-01'",
+    rate_by_type("overview_base", _OVERVIEW) + f" WHERE reporting_month >= DATE '{EARLIEST}-01-01'",
 )
 
 
 def overview(d: Domain) -> DataFrame:
     full = performance.perf_overview_model(
-        d.ledger, d.kpi, d.unit_moh, d.merge_map, d.rates, d.versions, FIRST_YEAR
+        d.ledger, d.kpi, d.unit_moh, d.merge_map, d.rates, d.versions, EARLIEST
     )
     return conform(full, TABLES["app.perf_overview_model"].schema)
 

@@ -91,13 +91,13 @@ _LEDGER = (
 SELECT "Period" AS reporting_month, bg, bu, "Site" AS site, "Project" AS product, type,
   accounting_item_group AS line_itm_group, accounting_item_desc AS line_item, value, currency,
   "FX" AS fx_rate, "Version" AS version
-FROM normal_pl WHERE type = 'Budget' AND (accounting_item_group IS NOT NULL OR currency IS NULL)
+FROM normal_pl WHERE type IN ('Budget', 'R3M') AND (accounting_item_group IS NOT NULL OR currency IS NULL)
 """,
     shared=False,
 )
 def pl_to_ledger(d: Domain) -> DataFrame:
-    rows = staging.pl_to_ledger(normal(d, "Budget"))
-    return conform(rows, TABLES["staging.tbl_is_modeltype"].schema)
+    shape = TABLES["staging.tbl_is_modeltype"].schema
+    return stack(*[conform(staging.pl_to_ledger(normal(d, kind)), shape) for kind in ("Budget", "R3M")])
 
 
 define(

@@ -56,6 +56,7 @@ def load() -> dict[str, Query]:
         q_forecast,
         q_joins,
         q_performance,
+        q_sources,
         q_staging,
     )
 

@@ -134,9 +134,9 @@ TABLES: dict[str, Contract] = {
 
 def level1_contract(codes: list[str]) -> Contract:
     """Unit costs per category; predictions add rows with planned quantities."""
-    cats = ", ".join(f"`{c}` double" for c in codes)
+    cats = "".join(f"`{c}` double, " for c in codes)
     return Contract(
-        f"reporting_month date, bg string, cat_ind string, type string, {cats}, shipment double, "
+        f"reporting_month date, bg string, cat_ind string, type string, {cats}shipment double, "
         f"production double, r3m_shipment double, r3m_production double, standard string, {_MONEY}",
         ["type", "reporting_month"],
     )

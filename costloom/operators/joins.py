@@ -47,8 +47,35 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).count().filter(F.col("count") > 1)
 
 
+def keyed(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with all keys, and rows that miss one."""
+    whole = reduce(lambda a, b: a & b, [col(k).isNotNull() for k in keys])
+    return df.filter(whole), df.filter(~whole)
+
+
+def missing_keys(feeds: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+    """(feed, n): rows of each feed that miss a key; one row per feed, also without any."""
+    counts = [
+        keyed(df, keys)[1].agg(F.lit(name).alias("feed"), F.count(F.lit(1)).alias("n")) for name, df in feeds.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def align_apart(feeds: list[DataFrame], keys: list[str], unique: bool = False) -> DataFrame:
+    """`align` where rows that miss a key match nothing: each stays, once, with the other feeds' columns missing.
+
+    Missing keys that match each other multiply: n such rows in each of six feeds would give n^6. Nothing says that
+    they belong together, so here they give 6 n. `unique` says that no feed repeats a whole key.
+    """
+    parts = [keyed(f, keys) for f in feeds]
+    whole = (align_unique if unique else align)([p[0] for p in parts], keys)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [whole, *[p[1] for p in parts]])
+
+
 def align(feeds: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Full outer join of several feeds on shared keys, missing keys matching each other.
+    """Full outer join of several feeds on shared keys, missing keys matching each other, as in a merge.
+
+    Where many rows may miss a key use `align_apart`.
 
     The distinct keys of all feeds come first; each feed is then left-joined to them. A left
     join keeps the partitioning of its left side, so every feed is shuffled once and the
@@ -88,24 +115,47 @@ def align_unique(feeds: list[DataFrame], keys: list[str]) -> DataFrame:
     return grouped.withColumn(keys[0], checked).drop(*counts)
 
 
-def densify(entities: DataFrame, items: DataFrame, salts: int | None = None) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], partitions: int) -> DataFrame:
+    """(_hot, _copies): hashes of the keys with more rows than an average partition, and how far to spread them.
+
+    Found by a frequent-items sketch, which tasks merge and whose size the partition count bounds: fewer keys than
+    partitions can be hot, and a key it names has at least the rows that it says. Four copies per average partition.
+    """
+    tracked = max(1024, 8 * partitions)
+    top = F.expr(f"approx_top_k(h, {min(partitions, tracked)}, {tracked})")
+    sketch = df.select(_key_hash(keys).alias("h")).agg(top.alias("top"), F.count(F.lit(1)).alias("n"))
+    share = F.col("count") * F.lit(float(partitions)) / F.col("n")
+    found = sketch.select("n", F.inline("top")).filter(share > 1)
+    return found.select(F.col("item").alias("_hot"), F.ceil(4 * share).cast("int").alias("_copies"))
+
+
+def _key_hash(keys: list[str]) -> Column:
+    return F.xxhash64(*[col(k) for k in keys])
+
+
+def densify(entities: DataFrame, items: DataFrame, partitions: int | None = None) -> DataFrame:
     """Natural full outer join: every entity gets every item that shares its common columns.
 
-    The common column is usually one value for nearly all rows (a business group), so a plain
-    shuffle join would send everything to one task. The item list is copied once per salt and
-    the entities are spread over the salts, four per shuffle partition unless `salts` says otherwise;
-    items without an entity are added at the end.
+    The common column is often one value for nearly all rows (a business group), and a plain shuffle join would
+    send these to one task. So the entities of such hot keys are spread over salts, and only the items of these
+    keys are copied, once per salt; all other keys join as they are. Hot is a key with more rows than an average one
+    of `partitions` (by default the shuffle's number). Items without an entity are added at the end.
     Without common columns there is no key to join on, which is an error.
     """
     common = [c for c in entities.columns if c in items.columns]
     if not common:
         raise ValueError("entities and items share no column")
-    salts = salts or 4 * int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = [F.xxhash64(*[col(c) for c in entities.columns])]
-    salted = entities.withColumn("_salt", F.pmod(spread[0], F.lit(salts)).cast("int"))
-    copies = items.withColumnsRenamed({c: f"_r_{c}" for c in common}).withColumn(
-        "_r_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+    partitions = partitions or int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(entities, common, partitions))  # fewer rows than partitions
+
+    def with_copies(df: DataFrame) -> DataFrame:
+        joined = df.withColumn("_h", _key_hash(common)).join(hot, F.col("_h") == F.col("_hot"), "left")
+        return joined.withColumn("_copies", F.coalesce("_copies", F.lit(1))).drop("_h", "_hot")
+
+    spread = F.xxhash64(*[col(c) for c in entities.columns])
+    salted = with_copies(entities).withColumn("_salt", F.pmod(spread, F.col("_copies"))).drop("_copies")
+    copies = with_copies(items).withColumn("_r_salt", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
+    copies = copies.drop("_copies").withColumnsRenamed({c: f"_r_{c}" for c in common})
     cond = reduce(
         lambda a, b: a & b,
         [F.col("_salt") == F.col("_r_salt")]

@@ -143,14 +143,9 @@ def latest_actual_month(ledger: DataFrame) -> DataFrame:
     )
 
 
-def category_codes(categories: DataFrame, most: int = 1000) -> list[str]:
-    """The category codes as a sorted list, needed to name the columns of a pivot.
-
-    A table has a bounded number of columns: more than `most` codes are an error, found before
-    more than that reach the driver.
-    """
-    rows = categories.select("cost_cat_code").filter("cost_cat_code is not null").distinct()
-    codes = sorted(r[0] for r in rows.limit(most + 1).collect())
-    if len(codes) > most:
-        raise ValueError(f"more than {most} cost categories; a pivot cannot have a column for each")
-    return codes
+def known_codes(categories: DataFrame, codes: list[str]) -> DataFrame:
+    """Categories whose codes are among the declared columns; another code stops the job that uses them."""
+    code = F.col("cost_cat_code")
+    wrong = F.concat(F.lit("cost category without a column: "), code)
+    checked = F.when(code.isNull() | code.isin(codes), code).otherwise(F.raise_error(wrong).cast("string"))
+    return categories.withColumn("cost_cat_code", checked)

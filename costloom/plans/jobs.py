@@ -16,7 +16,7 @@ from costloom import constants as K
 from costloom.contracts import TABLES, Contract, conform, gap_contract, level1_contract, prediction_contract
 from costloom.functions.dates import month_start, parse_month
 from costloom.operators import alerts, fx
-from costloom.operators.lookups import category_codes, forecast_versions, latest_actual_month
+from costloom.operators.lookups import forecast_versions, known_codes, latest_actual_month
 from costloom.operators.reshape import stack
 from costloom.operators.watch import LookupRows, LookupWatch
 from costloom.plans import alerting, cost, performance, prediction, staging
@@ -28,6 +28,7 @@ from costloom.sources.templates import Template
 #: Months as yyyy-MM-dd; None stands for all.
 Months = Iterable[str] | None
 PL_TABLES = {"Budget": "budget p&l", "R3M": "r3m p&l", "Actual": "actual p&l"}
+LEVEL1 = "cost_overview_level1"
 FEEDS = ("ADS", "APR", "MPS", "Scrap amount", "yield rate", "Max capacity")
 
 
@@ -123,6 +124,9 @@ def run_staging(
     if kpi_months is None or kpi_months:
         day = lambda: month_start(F.col("Month"))
         feeds = [_in(store.read("raw", t), kpi_months, day) for t in FEEDS]
+        if kpi_months is None:
+            astray = staging.missing_feed_keys(staging.kpi_feeds(*feeds))
+            store.write(astray, "staging", "missing_keys")
         kpi = staging.kpi_model(*feeds, info, fx_rates, unique=unique_feeds)
         _put(store, kpi, "staging", "tbl_kpi_model", kpi_months)
 
@@ -179,17 +183,19 @@ def run_performance(store: Store, first_year: int = K.FIRST_YEAR, months: Months
 
 
 @_job
-def run_cost(store: Store, first_year: int = K.FIRST_YEAR, months: Months = None) -> None:
-    """Staging tables to cost tables."""
+def run_cost(
+    store: Store, first_year: int = K.FIRST_YEAR, months: Months = None, codes: list[str] | None = None
+) -> None:
+    """Staging tables to cost tables. `codes` declares the category columns anew, for a table that gets more of them."""
     fx_rates = rates(store)
     ledger, unit = _booked(store, months)
     dim, control = store.read("staging", "dim_project"), store.read("dim", "tbl_cost_control_list")
-    categories = store.read("app", "cost_category")
+    codes = declared_codes(store, codes)
+    categories = known_codes(store.read("app", "cost_category"), codes)
     rated = settle(cost.rated_detail(ledger, control, unit, fx_rates, first_year))
     for table, currency in (("cost_overview_dtl_ntd", K.LOCAL), ("cost_overview_dtl", K.FOREIGN)):
         _put(store, cost.detail_in(rated, currency), "app", table, months)
     detail = _in(store.read("app", "cost_overview_dtl"), months, _reporting)
-    codes = category_codes(categories)
     level1 = cost.cost_overview_level1(detail, dim, categories, fx_rates, codes)
     contract, planned = level1_contract(codes), ("r3m_shipment", "r3m_production")
     if months is None:
@@ -205,6 +211,32 @@ def run_cost(store: Store, first_year: int = K.FIRST_YEAR, months: Months = None
     _put(store, level2, "app", "cost_overview_level2", months)
 
 
+def category_codes(categories: DataFrame, most: int = 1000) -> list[str]:
+    """The category codes as a sorted list, to name the columns of a new table.
+
+    A table has a bounded number of columns: more than `most` codes are an error, found before more than that
+    reach the driver.
+    """
+    rows = categories.select("cost_cat_code").filter("cost_cat_code is not null").distinct()
+    codes = sorted(r[0] for r in rows.limit(most + 1).collect())
+    if len(codes) > most:
+        raise ValueError(f"more than {most} cost categories; a pivot cannot have a column for each")
+    return codes
+
+
+def declared_codes(store: Store, codes: list[str] | None = None) -> list[str]:
+    """Category columns of the level-1 table: the ones given, else those that the stored table has.
+
+    Before its first run there is no table, and its columns come from the category list.
+    """
+    if codes is not None:
+        return sorted(codes)
+    if not store.exists("app", LEVEL1):
+        return category_codes(store.read("app", "cost_category"))
+    fixed = set(level1_contract([]).names)
+    return sorted(c for c in store.read("app", LEVEL1).columns if c not in fixed)
+
+
 def level0_groups(codes: list[str]) -> list[str]:
     """Gap columns of a list of category codes."""
     heads = {c.split("_")[0] for c in codes}
@@ -221,8 +253,8 @@ def run_forecast(store: Store) -> None:
         prediction.cost_prediction_detail(series, current), fx_rates
     )
     store.write(predicted, "app", "cost_prediction_dtl", contract=prediction_contract())
-    categories = store.read("app", "cost_category")
-    codes = category_codes(categories)
+    codes = declared_codes(store)
+    categories = known_codes(store.read("app", "cost_category"), codes)
     rows = prediction.prediction_level1(
         store.read("app", "cost_prediction_dtl").drop("currency", "fx_rate"),
         store.read("staging", "dim_project"), categories, fx_rates, codes, current,

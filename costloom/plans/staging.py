@@ -9,7 +9,7 @@ from costloom import constants as K
 from costloom.functions.dates import december_before, month_start, parse_month, parse_version
 from costloom.functions.missing import any_of, col, div_ieee, positive_or_null
 from costloom.operators import fx
-from costloom.operators.joins import align, align_unique, left_lookup
+from costloom.operators.joins import align_apart, left_lookup, missing_keys
 from costloom.operators.lookups import (
     item_code,
     item_description,
@@ -228,6 +228,30 @@ def unit_moh(moh_raw: DataFrame, quotes: DataFrame) -> DataFrame:
     )
 
 
+KPI_KEYS = ["Model", "Month"]
+
+
+def kpi_feeds(
+    ads: DataFrame, apr: DataFrame, mps: DataFrame, scrap: DataFrame, yields: DataFrame, capacity: DataFrame
+) -> dict[str, DataFrame]:
+    """The columns of six monthly feeds that the KPI table takes, by model and month."""
+    scrap = scrap.withColumnRenamed("W_Model", "Model").withColumn("Month", month_start(F.col("Month")))
+    keys = KPI_KEYS
+    return {
+        "ADS": ads.select(*keys, "ADS", "COGS NTD", "Inventory NTD", "ads_target"),
+        "APR": apr.withColumnRenamed("project", "Model").select(*keys, "APR _volume"),
+        "MPS": mps.withColumnRenamed("project", "Model").select(*keys, "MPS _volume"),
+        "Scrap amount": scrap.select(*keys, "Actual Scrap AMT_USD", "scrap_rate"),
+        "yield rate": yields.select(*keys, "Yield rate", "yield_rate_current_target", "yield_rate_final_target"),
+        "Max capacity": capacity.select(*keys, "Units"),
+    }
+
+
+def missing_feed_keys(feeds: dict[str, DataFrame]) -> DataFrame:
+    """(feed, n): rows of each feed without model or month."""
+    return missing_keys(feeds, KPI_KEYS)
+
+
 def kpi_model(
     ads: DataFrame,
     apr: DataFrame,
@@ -241,23 +265,11 @@ def kpi_model(
 ) -> DataFrame:
     """Six monthly feeds to staging.tbl_kpi_model, one row per model and month.
 
-    `unique=True` says that no feed repeats a model and month; one shuffle then does it all.
+    Rows that miss their model or month match nothing and stay, each in a row of its own. `unique=True` says that
+    no feed repeats a model and month; one shuffle then does it all.
     """
-    keys = ["Model", "Month"]
-    scrap = scrap.withColumnRenamed("W_Model", "Model").withColumn(
-        "Month", month_start(F.col("Month"))
-    )
-    feeds = [
-        ads.select(*keys, "ADS", "COGS NTD", "Inventory NTD", "ads_target"),
-        apr.withColumnRenamed("project", "Model").select(*keys, "APR _volume"),
-        mps.withColumnRenamed("project", "Model").select(*keys, "MPS _volume"),
-        scrap.select(*keys, "Actual Scrap AMT_USD", "scrap_rate"),
-        yields.select(
-            *keys, "Yield rate", "yield_rate_current_target", "yield_rate_final_target"
-        ),
-        capacity.select(*keys, "Units"),
-    ]
-    joined = (align_unique if unique else align)(feeds, keys)
+    feeds = kpi_feeds(ads, apr, mps, scrap, yields, capacity)
+    joined = align_apart(list(feeds.values()), KPI_KEYS, unique)
     rated = fx.add_rate(joined, rates, "Month").withColumns(
         {
             "Actual Scrap AMT_USD": fx.foreign_to_local(

@@ -8,11 +8,20 @@ from pyspark.sql import functions as F
 
 from costloom.operators import fx
 from costloom.operators.ids import dense_ids
-from costloom.operators.joins import align, align_unique, densify, duplicate_keys, rows_matching, without_pairs
+from costloom.operators.joins import (
+    align,
+    align_apart,
+    align_unique,
+    densify,
+    duplicate_keys,
+    missing_keys,
+    rows_matching,
+    without_pairs,
+)
 from costloom.operators.lookups import (
     app_item_of,
-    category_codes,
     forecast_versions,
+    known_codes,
     last_wins,
     latest_by,
     latest_param,
@@ -36,6 +45,7 @@ from costloom.operators.series import (
 )
 from costloom.plans.alerting import max_future_mps
 from costloom.plans.cost import ledger_measures, moh_times_production, quantities, without_foreign_moh
+from costloom.plans.jobs import category_codes
 from tests.helpers import day, one, rows
 
 
@@ -239,3 +249,28 @@ def test_category_codes_are_bounded(spark):
     assert category_codes(codes) == ["c0", "c1", "c2", "c3", "c4"]
     with pytest.raises(ValueError):
         category_codes(codes, most=4)
+
+
+def test_codes_outside_the_table_stop_the_job(spark):
+    categories = spark.createDataFrame([("a", "x"), (None, "y"), ("b", "z")], "cost_cat_code string, cost_cat_name string")
+    assert rows(known_codes(categories, ["a", "b", "c"]), "cost_cat_code") == [("a",), ("b",), (None,)]
+    with pytest.raises(Exception, match="without a column: b"):
+        known_codes(categories, ["a"]).collect()
+
+
+def test_missing_keys_stay_and_match_nothing(spark):
+    """A thousand rows without a key in each of six feeds give six thousand rows, not 10^18."""
+    feeds = []
+    for i in range(6):
+        lost = spark.range(1000).select(F.lit(None).cast("string").alias("k"), F.when(F.col("id") % 2 == 0, 1).alias("m"),
+                                        F.col("id").alias(f"v{i}"))
+        known = spark.createDataFrame([("a", 1, 10 * i), (f"b{i}", 2, i)], f"k string, m int, v{i} long")
+        feeds.append(lost.unionByName(known))
+    for unique in (False, True):
+        out = align_apart(feeds, ["k", "m"], unique)
+        assert out.count() == 6 * 1000 + 1 + 6
+        assert out.filter("k = 'a'").first()[2:] == tuple(10 * i for i in range(6))
+        values = [F.col(f"v{i}") for i in range(6)]
+        filled = sum((v.isNotNull().cast("int") for v in values[1:]), values[0].isNotNull().cast("int"))
+        assert out.filter("k is null").filter(filled != 1).isEmpty()
+    assert rows(missing_keys({"x": feeds[0], "y": feeds[1].filter("k = 'a'")}, ["k", "m"])) == [("x", 1000), ("y", 0)]

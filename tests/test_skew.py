@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from costloom.operators.ids import dense_ids
-from costloom.operators.joins import align, densify
+from costloom.operators.joins import align, densify, hot_keys
 from costloom.operators.lookups import latest_by
 from costloom.operators.reshape import melt, pivot_sum
 from costloom.operators.rollup import four_level
@@ -46,6 +46,20 @@ def test_densify_spreads_the_hot_group(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_only_hot_keys_are_salted(spark):
+    """Half of the rows in one group: its items are copied for its salts, those of the other groups once."""
+    key = F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 499).cast("string")))
+    entities = spark.range(0, N, 1, 12).select(key.alias("bg"), F.col("id").alias("product"))
+    items = entities.select("bg").distinct().crossJoin(spark.range(2).withColumnRenamed("id", "item"))
+    hot = hot_keys(entities, ["bg"], 8).collect()
+    assert [r["_copies"] for r in hot] == [16]  # half of the rows are four average partitions of eight
+    uniform = spark.range(0, N, 1, 12).select((F.col("id") % 500).alias("bg"))
+    assert hot_keys(uniform, ["bg"], 8).isEmpty()
+    assert hot_keys(entities.limit(0), ["bg"], 8).isEmpty()
+    out = densify(entities, items)
+    assert out.count() == 2 * N and out.distinct().count() == 2 * N
+
+
 def test_latest_of_a_hot_key(spark):
     out = {r.k: r.id for r in latest_by(hot(spark).withColumn("v", F.col("id")), ["k"], "v").collect()}
     assert out["hot"] == N - 3 and len(out) == 998
