@@ -77,11 +77,24 @@ class Canon(dict):
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self.words)
         self.words.append(word)
-        if word.isalpha() and word.islower() and word not in _SPECIAL:
-            self.hashes.append(xxhash.xxh3_64_intdigest(word))
-            self.bits.append(0)
-            return number
+        core = word.strip(_STRIP_BYTES)
+        if core.isalpha():  # ASCII letters, perhaps between punctuation
+            low = core.lower()
+            if low not in _SPECIAL:
+                bits = 3 if core[0] < 97 else 0
+                if len(core) < len(word):
+                    bits |= _AFTER * (word[-1] in _STRIP_BYTES) | _BEFORE * (word[0] in _STRIP_BYTES)
+                    bits |= _END * (word.rstrip(b"\"')")[-1:] in _ENDS_BYTES)
+                self.hashes.append(xxhash.xxh3_64_intdigest(low))
+                self.bits.append(bits)
+                return number
         raw = word.decode("utf-8", "replace")
+        if raw.isalpha():
+            lower = raw.lower()
+            if lower not in _SPECIAL_TEXT:
+                self.hashes.append(xxhash.xxh3_64_intdigest(lower.encode()))
+                self.bits.append(3 if raw[0].isupper() else 0)
+                return number
         bare = raw.strip(_STRIP)
         low = bare.lower()
         spelled = low in _WORD_NUMBERS or "-" in low and _WORD_NUMBERS.issuperset(low.split("-"))
@@ -114,7 +127,10 @@ class Canon(dict):
 
 _ENDS = frozenset(".!?:")
 _UNITS = frozenset(UNITS)
-_SPECIAL = frozenset(w.encode() for w in _UNITS | _WORD_NUMBERS)
+_SPECIAL_TEXT = _UNITS | _WORD_NUMBERS
+_SPECIAL = frozenset(w.encode() for w in _SPECIAL_TEXT)
+_ENDS_BYTES = (b".", b"!", b"?", b":")
+_STRIP_BYTES = bytes(ord(c) for c in _STRIP if ord(c) < 128)
 _HASHES = np.array([xxhash.xxh3_64_intdigest(k.encode()) for k in _KINDS], dtype=np.uint64)
 _SALTS = np.array([xxhash.xxh3_64_intdigest(k.encode()) for k in READINGS], dtype=np.uint64)
 #: Bytes of text that are cut into words at once.
