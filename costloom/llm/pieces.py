@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED = 20
 SMOOTH = 1.0
 #: Edges of remembered lattices per task; beyond it the memory is filled anew. A matter of speed only.
-REMEMBERED = 2_000_000
+REMEMBERED = 300_000
 #: Probabilities are multiples of 1 / GRID.
 GRID = 1 << 30
 _SPACE = "▁"
@@ -129,8 +130,8 @@ class Lattices:
     def clear(self) -> None:
         self.known.clear()
         self.size = 0
-        self.cum = np.zeros(1 << 20, np.int32)
-        self.edge = np.zeros(1 << 20, np.int64)  # place of the next edge, then piece in the low 32 bits
+        self.cum = np.zeros(1 << 18, np.int32)
+        self.edge = np.zeros(1 << 18, np.int64)  # place of the next edge, then piece in the low 32 bits
 
     def _append(self, cum: np.ndarray, edge: np.ndarray) -> None:
         end = self.size + len(cum)
@@ -260,33 +261,37 @@ def _with_bytes(pieces: np.ndarray, counts: np.ndarray, v: Vocabulary) -> tuple[
 
 
 #: Characters that are encoded at once.
-_BLOCK = 1_000_000
+_BLOCK = 200_000
 #: Characters of new units whose lattices are filtered at once.
-_NEW = 200_000
+_NEW = 50_000
 
 
-def encode_batch(texts: list[str | None], keys: list[int | None], lattices: Lattices, seed: int) -> list[np.ndarray]:
-    """Sampled ids of each text."""
-    out: list[np.ndarray] = []
+def _blocks(texts: pa.Array) -> Iterator[slice]:
+    """Runs of texts of about _BLOCK characters."""
+    sizes = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
     at = 0
     while at < len(texts):
-        upto, chars = at, 0
-        while upto < len(texts) and (upto == at or chars + len(texts[upto] or "") <= _BLOCK):
-            chars += len(texts[upto] or "")
+        upto, size = at, 0
+        while upto < len(texts) and (upto == at or size + sizes[upto] <= _BLOCK):
+            size += sizes[upto]
             upto += 1
-        split = [_UNIT.findall(t or "") for t in texts[at:upto]]
-        lengths = np.array([len(s) for s in split], dtype=np.int64)
-        units = [u for s in split for u in s]
-        key = np.array([k or 0 for k in keys[at:upto]], dtype=np.int64).view(np.uint64)
-        place = np.arange(len(units)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        randoms = mixed(np.repeat(mixed(key, seed), lengths) + place.astype(np.uint64), 1)
-        pieces, counts = lattices.sample(units, randoms)
-        pieces, counts = _with_bytes(pieces, counts, lattices.v)
-        bounds = np.cumsum(counts)
-        last = np.concatenate([[0], bounds])[np.cumsum(lengths)]
-        out.extend(np.split(pieces.astype(np.int32), last[:-1]))
+        yield slice(at, upto)
         at = upto
-    return out
+
+
+def encode_batch(texts: list[str | None], keys: list[int | None], lattices: Lattices, seed: int) -> list[np.ndarray]:
+    """Sampled ids of each text."""
+    split = [_UNIT.findall(t or "") for t in texts]
+    lengths = np.array([len(s) for s in split], dtype=np.int64)
+    units = [u for s in split for u in s]
+    key = np.array([k or 0 for k in keys], dtype=np.int64).view(np.uint64)
+    place = np.arange(len(units)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    randoms = mixed(np.repeat(mixed(key, seed), lengths) + place.astype(np.uint64), 1)
+    pieces, counts = lattices.sample(units, randoms)
+    pieces, counts = _with_bytes(pieces, counts, lattices.v)
+    bounds = np.cumsum(counts)
+    last = np.concatenate([[0], bounds])[np.cumsum(lengths)]
+    return np.split(pieces.astype(np.int32), last[:-1])
 
 
 def decode_ids(ids: np.ndarray, v: Vocabulary) -> str:
@@ -301,14 +306,18 @@ def encoded(text: Column, key: Column, path: str = MODEL, seed: int = SEED, smoo
     def encode(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         lattices = Lattices(vocabulary(path, smooth))  # freed with the task: idle workers stay small
         for texts, keys in batches:
-            values = texts.to_pylist()
-            found = encode_batch(values, keys.to_pylist(), lattices, seed)
-            same = [decode_ids(ids, lattices.v) == (t or "") for ids, t in zip(found, values, strict=True)]
-            ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
-            flat = np.concatenate(found) if found else np.zeros(0, np.int32)
-            lists = pa.ListArray.from_arrays(ends, pa.array(flat))
-            del values, found
+            flat, sizes, same = [np.zeros(0, np.int32)], [0], []
+            for part in _blocks(texts):
+                values = texts[part].to_pylist()
+                found = encode_batch(values, keys[part].to_pylist(), lattices, seed)
+                same += [decode_ids(ids, lattices.v) == (t or "") for ids, t in zip(found, values, strict=True)]
+                sizes += map(len, found)
+                flat += found
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(np.concatenate(flat)))
+            del flat, texts
             yield pa.StructArray.from_arrays([lists, pa.array(same, pa.bool_())], names=["ids", "lossless"])
+            del lists
+        pa.default_memory_pool().release_unused()
 
     return encode(text, key)
 
