@@ -2,7 +2,8 @@
 
 Markup is stripped: scripts, styles, comments, forms and elements that by their tag, role, class or id are
 menus, headers, footers, sidebars, notices, adverts or reader comments leave a gap; block elements end a
-line; character references are decoded. Tags and classes have no other use: <article> and <main> are boxes as <div>.
+line; character references are decoded. Words that also name parts of an article (header, discussion, related,
+...) mark nothing inside <article> and <main>.
 What remains is a list of lines, one per paragraph, heading, list item or cell, and an empty line for each gap:
 where a box (div, section, article, table, ...) begins or ends or markup was removed. A line's length is its text
 length; lines made of links have none.
@@ -11,8 +12,10 @@ The lengths of WINDOW neighbouring lines are summed. A surge is a place where li
 a gap, sum to SURGE characters, which short adverts, notices and menus do not reach; on a page without such a place
 it is the largest sum of the page, so that short pages keep their text. The block begins behind the gap before the
 surge. It dives at a gap behind which the next WINDOW lines sum to less than a surge. All lines between are
-kept, however short; lines of links only where a line of the block follows. What the method cannot tell apart:
-a short title or ending in a box of its own is lost, and a notice without a gap to the text is kept.
+kept, however short; lines of links only where a line of the block follows. A surge inside an <article>, or a <main>
+without one, takes in that element from end to end, so a short title or ending in a box of its own stays there. What
+the method cannot tell apart: such a title or ending on a page without these elements is lost, and a notice without a
+gap to the text, or without a mark inside the article, is kept.
 
 Null html counts as empty. Broken markup (tags that are never closed, a page cut in the middle of a tag or a
 character reference) is read as browsers read it: what is open ends with its parent or with the page. No text
@@ -50,6 +53,9 @@ BAD_WORDS = frozenset(
     "comments reply replies discussion disqus form search login signup copyright pager pagination toolbar tags "
     "complementary contentinfo alert dialog rail".split()
 )
+#: Words that name parts of an article, too.
+LOOSE_WORDS = frozenset("header discussion related tags side share sharing alert dialog reply".split())
+HOMES = ("article", "main")
 #: What may stand in <head>; the first other start tag, or text, ends it.
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 _CLOSES_P = BLOCK - {"br", "body", "html", "title", "option", "optgroup"}
@@ -59,30 +65,34 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?")
 _SPACE = re.compile(r"\s+")
 _PARTS = re.compile(r"[^a-z0-9]+")
 
 
-def _unwanted(tag: str, attributes: str) -> bool:
+def _unwanted(tag: str, attributes: str, at_home: bool) -> bool:
+    """Whether an element is no main text; `at_home` says that it lies inside an article or main element."""
     if tag in SKIPPED:
         return True
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not attributes or tag in ("html", "body", *HOMES):
         return False
+    bad = BAD_WORDS - LOOSE_WORDS if at_home else BAD_WORDS
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("class", "id", "role") and not BAD_WORDS.isdisjoint(_PARTS.split(value)):
+        if name in ("class", "id", "role") and not bad.isdisjoint(_PARTS.split(value)):
             return True
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+        if name == "hidden" and value != "until-found" or (name == "aria-hidden" and value == "true"):
             return True
         if name == "style" and "display:none" in value.replace(" ", ""):
             return True
     return False
 
 
-def strip_markup(page: str) -> list[tuple[str, bool]]:
-    """Lines of a page, (text, whether it is mostly links); one empty line for a gap."""
-    lines: list[tuple[str, bool]] = []
+def strip_markup(page: str) -> list[tuple[str, bool, int]]:
+    """Lines of a page, (text, whether it is mostly links, its article or main element or 0); an empty line for a gap."""
+    lines: list[tuple[str, bool, int]] = []
+    homes: list[tuple[str, int]] = []  # open article and main elements, each with a number
+    n_homes = 0
     text: list[str] = []
     linked = total = 0
     open_: list[str] = []
@@ -93,9 +103,10 @@ def strip_markup(page: str) -> list[tuple[str, bool]]:
         nonlocal linked, total
         joined = _SPACE.sub(" ", entities.unescape("".join(text))).strip()
         if joined:
-            lines.append((joined, bool(total) and linked > 0.8 * total))
+            articles = [number for tag, number in homes if tag == "article"] or [number for _, number in homes]
+            lines.append((joined, bool(total) and linked > 0.8 * total, articles[-1] if articles else 0))
         if gap and lines and lines[-1][0]:
-            lines.append(("", False))
+            lines.append(("", False, 0))
         text.clear()
         linked = total = 0
 
@@ -105,8 +116,10 @@ def strip_markup(page: str) -> list[tuple[str, bool]]:
             tag = open_.pop()
             if len(open_) == skip_at:
                 skip_at = -1
-            if tag in BLOCK and skip_at < 0:
+            if (tag in BLOCK or tag in HOMES) and skip_at < 0:
                 end(tag not in FLOW)
+            if tag in HOMES:
+                homes.pop()
             links -= tag == "a"
 
     at, size = 0, len(page)
@@ -153,11 +166,14 @@ def strip_markup(page: str) -> list[tuple[str, bool]]:
                 end(tag not in FLOW)
         if tag in VOID or found[3].rstrip().endswith("/") and tag in ("svg", "math"):
             continue
-        if skip_at < 0 and _unwanted(tag, found[3]):
+        if skip_at < 0 and _unwanted(tag, found[3], bool(homes)):
             skip_at = len(open_)
             if tag in BLOCK:
                 end(True)
         open_.append(tag)
+        if tag in HOMES:
+            n_homes += 1
+            homes.append((tag, n_homes))
         links += tag == "a"
     if skip_at < 0:
         end()
@@ -168,22 +184,26 @@ def main_text(page: str | None) -> str:
     """The lines between surge and dive, joined by line feeds."""
     lines = strip_markup(page or "")
     boxes: list[list[tuple[str, int]]] = [[]]
-    for text, links in lines:
+    homes = [0]
+    for text, links, home in lines:
         if text:
             boxes[-1].append((text, 0 if links else len(text)))
+            homes[-1] = home
         else:
             boxes.append([])
+            homes.append(0)
     together = [max(_sums([n for _, n in box]), default=0) for box in boxes]
     surge = min(SURGE, max(together))
     if not surge:
         return ""
+    whole = {home for home, most in zip(homes, together, strict=True) if most >= surge and home}
     lengths = [n for box in boxes for _, n in box]
     ahead = [*_sums(lengths), 0]
     kept: list[str] = []
     waiting: list[str] = []
     at, inside = 0, False
-    for box, most in zip(boxes, together, strict=True):
-        inside = most >= surge or inside and ahead[at] >= surge
+    for box, most, home in zip(boxes, together, homes, strict=True):
+        inside = most >= surge or home in whole or inside and ahead[at] >= surge
         at += len(box)
         if not inside:
             waiting.clear()
