@@ -1,6 +1,7 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches per language and source.
 
-Every document gets five counts and five measures made of them. For each (lang, source) and measure a sketch
+Every document gets five counts and four measures made of them; none of them is its length, so a clean document is
+not rejected for being long. For each (lang, source) and measure a sketch
 counts the documents per logarithmic bucket (relative error ERROR); sketches merge by adding counts, so groups
 with fewer than MIN_GROUP documents use the sketch of their language, merged over its sources, and
 languages that small the sketch of everything. A measure's fences are its quartiles widened by SPREAD
@@ -31,7 +32,6 @@ WINDOW = 3
 MIN_WORDS = 50
 #: Measure: (smallest interquartile distance, fence below, fence above).
 MEASURES = {
-    "log_words": (1.0, False, True),
     "word_chars": (0.25, True, True),
     "symbols": (0.01, False, True),
     "dup_lines": (0.5, False, True),
@@ -96,7 +96,6 @@ def counts_of(text: Column) -> Column:
 def _measures(c: Column) -> dict[str, Column]:
     words = F.when(c["n_words"] > 0, c["n_words"]).cast("double")
     return {
-        "log_words": F.log(words),
         "word_chars": c["word_chars"] / words,
         "symbols": c["n_symbols"] / words,
         "dup_lines": c["n_dup_lines"] / words * 50,
@@ -156,12 +155,8 @@ def thresholds(sketch: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
         F.col("lang").alias("lang_"), F.col("total").alias("lang_total"), F.col("fences").alias("lang_fences")
     )
     everything = F.lit(None).cast("string")
-    whole = (
-        _fences(sketch.withColumn("all", everything), ["all"])
-        .select(F.col("all").alias("all_"), F.col("fences").alias("all_fences"))
-    )
-    joined = group.join(lang, group["lang"].eqNullSafe(lang["lang_"])).withColumn("all", everything)
-    joined = joined.join(whole, F.col("all").eqNullSafe(F.col("all_")))
+    whole = _fences(sketch.withColumn("all", everything), ["all"]).select("fences").scalar()  # one row
+    joined = group.join(lang, group["lang"].eqNullSafe(lang["lang_"])).withColumn("all_fences", whole)
     return joined.select(
         "lang",
         "source",
@@ -200,14 +195,15 @@ def judge(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
 
 def keep_good(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """The rows of `docs` that pass, with their columns."""
-    counted = docs.select("lang", "source", counts_of(F.col("text")).alias("c"))
-    limits = stored(thresholds(stored(sketches(counted), "sketches"), min_group), "thresholds")
     c, lang, source, fences = (fresh(docs, x) for x in ("_c", "_lang", "_source", "_fences"))
-    ready = docs.withColumn(c, counts_of(docs["text"]))
+    # The rows are stored with their counts, which are made once.
+    ready = stored(docs.withColumn(c, counts_of(docs["text"])), "counted")
+    counted = ready.select(ready["lang"].alias("lang"), ready["source"].alias("source"), ready[c].alias("c"))
+    limits = stored(thresholds(sketches(counted), min_group), "thresholds")
     joined = ready.join(
         limits.select(F.col("lang").alias(lang), F.col("source").alias(source), F.col("fences").alias(fences)),
-        docs["lang"].eqNullSafe(F.col(lang)) & docs["source"].eqNullSafe(F.col(source)),
+        ready["lang"].eqNullSafe(F.col(lang)) & ready["source"].eqNullSafe(F.col(source)),
         "left",
     )
     _, kept = _verdict(F.col(c), F.col(fences))
-    return joined.filter(kept).select(*columns(docs))
+    return joined.filter(kept).select(*columns(ready)[: len(docs.columns)])
