@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from costloom.llm.storage import let, stored
 
 MIN_COSINE = 0.75
-LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice)(\.[a-z]+)?$"
+LICENSE_FILE = r"(?i)(^|/)((un)?licen[cs]e|copying|notice)([-.][a-z0-9.+-]+)?$"
 
 # Statements of public licences, by SPDX identifier.
 TEMPLATES = {
@@ -124,13 +124,26 @@ def _python_words(text: str) -> list[str]:
 
 
 def _words(segment: Column) -> Column:
+    """Words as they are spelled."""
+    return F.regexp_extract_all(F.lower(segment), F.lit(_WORD), F.lit(0))
+
+
+def _same(words: Column) -> Column:
+    """Words in one spelling each."""
+
     def one(word: Column) -> Column:
         out = word
         for old, new in SAME:
             out = F.when(word == old, F.lit(new)).otherwise(out)
         return out
 
-    return F.transform(F.regexp_extract_all(F.lower(segment), F.lit(_WORD), F.lit(0)), one)
+    return F.transform(words, one)
+
+
+def _known(words: Column, vocabulary: list[str]) -> Column:
+    """The different words of the vocabulary, in one spelling each, among words as they are spelled."""
+    spelled = sorted({*vocabulary, *(old for old, new in SAME if new in vocabulary)})
+    return F.array_distinct(_same(F.array_intersect(words, F.array(*[F.lit(w) for w in spelled]))))
 
 
 def _vocabulary(*groups: dict[str, list[str]]) -> list[str]:
@@ -152,9 +165,8 @@ def _joined(text: Column) -> Column:
 
 def frequencies(files: DataFrame) -> DataFrame:
     """One row: `n` segments, and `df`, for each word of the templates the number of segments that have it."""
-    vocabulary = F.array(*[F.lit(w) for w in _vocabulary()])
     parts = files.select(F.explode(_segments(F.col("text"))).alias("segment"))
-    common = F.array_intersect(_words(F.col("segment")), vocabulary)
+    common = _known(_words(F.col("segment")), _vocabulary())
     # The empty word counts the segments.
     words = parts.select(F.explode(F.concat(F.array(F.lit("")), common)).alias("word"))
     sums = words.groupBy("word").agg(F.count("*").alias("df"))
@@ -204,37 +216,70 @@ def model(found: DataFrame, group: dict[str, list[str]]) -> DataFrame:
     )
 
 
-def _best(words: Column, model_: Column) -> Column:
-    """(distance, name) of the template nearest to a segment; distance is minus the cosine."""
-    weights = F.transform(
-        F.array_distinct(words),
-        lambda w: F.struct(
-            w.alias("word"),
-            (F.size(F.filter(words, lambda x: x == w)) * F.coalesce(F.element_at(model_["idf"], w), model_["other"])).alias(
-                "weight"
+def _counts(words: Column) -> Column:
+    """(word, times) of the different words, by sorting."""
+
+    def runs(ordered: Column) -> Column:
+        size = F.size(ordered)
+        places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+        return let(
+            starts,
+            lambda first: F.transform(
+                first,
+                lambda start, k: F.struct(
+                    F.get(ordered, start).alias("word"), (F.coalesce(F.get(first, k + 1), size) - start).alias("times")
+                ),
             ),
-        ),
-    )
+        )
 
-    def against(own: Column) -> Column:
-        norm = F.sqrt(F.aggregate(own, F.lit(0.0), lambda a, x: a + x["weight"] * x["weight"]))
+    return let(F.array_sort(words), runs)
 
-        def distance(template: Column) -> Column:
-            dot = F.aggregate(
-                own,
-                F.lit(0.0),
-                lambda a, x: a + x["weight"] * F.coalesce(F.element_at(template["weights"], x["word"]), F.lit(0.0)),
-            )
-            return -F.round(dot / (norm * template["norm"]), 9)
 
-        return F.array_min(
-            F.transform(
-                model_["templates"],
-                lambda t: F.struct(distance(t).alias("distance"), t["name"].alias("name")),
-            )
+def _best(words: Column, model_: Column, vocabulary: list[str]) -> Column:
+    """(distance, name) of the template nearest to a segment; distance is minus the cosine.
+
+    Only the few words that a template has are looked up and multiplied; all others have one weight.
+    """
+    spelled = _same(words)
+
+    def squares(counts: Column) -> Column:
+        return F.aggregate(counts, F.lit(0.0), lambda a, c: a + c["times"] * c["times"])
+
+    def against(counts: Column) -> Column:
+        known = let(
+            _known(words, vocabulary), lambda some: F.filter(counts, lambda c: F.array_contains(some, c["word"]))
+        )
+        own = F.transform(
+            known,
+            lambda c: F.struct(c["word"].alias("word"), (c["times"] * F.element_at(model_["idf"], c["word"])).alias("weight")),
         )
+        other = (squares(counts) - squares(known)) * model_["other"] * model_["other"]
+
+        def nearest(mine: Column) -> Column:
+            length = F.sqrt(other + F.aggregate(mine, F.lit(0.0), lambda a, x: a + x["weight"] * x["weight"]))
+
+            def distance(template: Column, norm: Column) -> Column:
+                dot = F.aggregate(
+                    mine,
+                    F.lit(0.0),
+                    lambda a, x: a + x["weight"] * F.coalesce(F.element_at(template["weights"], x["word"]), F.lit(0.0)),
+                )
+                return -F.round(dot / (norm * template["norm"]), 9)
+
+            return let(
+                length,
+                lambda norm: F.array_min(
+                    F.transform(
+                        model_["templates"],
+                        lambda t: F.struct(distance(t, norm).alias("distance"), t["name"].alias("name")),
+                    )
+                ),
+            )
+
+        return let(own, nearest)
 
-    return let(weights, against)
+    return let(_counts(spelled), against)
 
 
 def stated(files: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
@@ -250,16 +295,16 @@ def stated(files: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
 
     def near(k: int) -> Column:
         own = F.col(f"m{k}")
-        vocabulary = F.array(*[F.lit(w) for w in _vocabulary(GROUPS[k])])
         need = min_cosine * min_cosine * own["least"] * own["least"] * 0.999
 
         def light(words: Column) -> Column:
-            return F.aggregate(F.array_intersect(words, vocabulary), F.lit(0.0), lambda a, w: a + F.element_at(own["most"], w))
+            known = _known(words, _vocabulary(GROUPS[k]))
+            return F.aggregate(known, F.lit(0.0), lambda a, w: a + F.element_at(own["most"], w))
 
         return F.filter("words", lambda words: light(words) >= need)
 
     def scores(k: int) -> Column:
-        return F.transform(f"near{k}", lambda words: _best(words, F.col(f"m{k}")))
+        return F.transform(f"near{k}", lambda words: _best(words, F.col(f"m{k}"), _vocabulary(GROUPS[k])))
 
     def without(name: str) -> Column:
         return F.filter("all", lambda b: b["name"] != name)
