@@ -28,10 +28,11 @@ _OVERVIEW = (
 
 @dataclass(frozen=True)
 class Contract:
-    """Columns of a table and the columns its folders are split by."""
+    """Columns of a table, the columns its folders are split by, and the one that a store may bucket it by."""
 
     ddl: str
     partition_by: list[str] = field(default_factory=list)
+    bucket_by: str | None = None
 
     @property
     def schema(self) -> T.StructType:
@@ -56,6 +57,7 @@ TABLES: dict[str, Contract] = {
         "accounting_item_desc string, amount double, currency string, period_start date, "
         "update_frequency string, last_update_time date, stat_dt date",
         ["type", "period_start"],
+        "model_name",
     ),
     "staging.dim_project": Contract(
         "product string, site string, product_code string, product_type string, "
@@ -69,16 +71,19 @@ TABLES: dict[str, Contract] = {
         "yield_rate_current_target double, yield_rate_final_target double, "
         f"max_capacity_volume double, {_MONEY}",
         ["reporting_month"],
+        "product",
     ),
     "staging.tbl_is_modeltype": Contract(
         f"{_ENTITY}, type string, line_itm_group string, line_item string, value double, "
         f"{_MONEY}, version date",
         ["type", "reporting_month"],
+        "product",
     ),
     "staging.tbl_unitmoh_monthly": Contract(
         f"{_ENTITY}, moh_item string, unit_moh_actual double, unit_moh_budget double, "
         "unit_moh_r3m double, unit_moh_quote double, currency string",
         ["reporting_month"],
+        "product",
     ),
     "app.perf_kpi_model": Contract(
         f"{_ENTITY}, ads double, fg_ads_target double, cogs_for_ads double, "

@@ -5,11 +5,15 @@ pointer file (`_current.json`) names, for each partition, the folders that hold
 into place last, as one small file, so a reader sees a table before a write or after it, and a write that fails
 changes nothing. Frames read before a write go on reading the old folders; `clean` removes those.
 
+With `buckets` the tables that are joined on month and product are stored in buckets by product inside each month, and
+read as such: Spark then joins and groups them by product, or by month and product, without moving them.
+
 A table has one writer at a time. A folder without a pointer, written by something else, is read as it is.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Callable, Iterable
@@ -29,6 +33,8 @@ POINTER = "_current.json"
 Parts = dict[str, list[str]]
 #: Name of a written folder that the table had before it was a store's table.
 _OUTSIDE = "."
+#: Folder value of a missing partition value.
+_NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _cells(part: str) -> dict[str, str]:
@@ -37,6 +43,13 @@ def _cells(part: str) -> dict[str, str]:
     return {name: unquote(value) for name, value in pairs}
 
 
+def _spec(part: str) -> str:
+    """A partition path as a partition in SQL."""
+    cells = _cells(part).items()
+    quoted = {n: "null" if v == _NULL else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for n, v in cells}
+    return "PARTITION (" + ", ".join(f"`{n}` = {v}" for n, v in quoted.items()) + ")"
+
+
 class Store:
     """Reads and writes the tables of one root folder.
 
@@ -44,10 +57,14 @@ class Store:
     Spark's own `spark.read.jdbc`; the operators only take DataFrames.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 0):
         self.spark = spark
         self.root = root.rstrip("/")
         self.files = Files(spark)
+        self.buckets = buckets
+        if buckets:
+            # Buckets by product serve joins on month and product.
+            spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
 
     def path(self, schema: str, table: str) -> str:
         return f"{self.root}/{schema}/{table.replace(' ', '_').replace('&', 'and')}"
@@ -74,6 +91,10 @@ class Store:
             reader = self.spark.read.schema(declared) if declared else self.spark.read
             return nan_to_null_all(reader.parquet(path).drop("id"))
         kind = declared or T.StructType.fromJson(pointer["schema"])
+        if self.buckets and contract:
+            rows = self._bucketed(path, pointer, kind, contract.partition_by)
+            if rows is not None:
+                return nan_to_null_all(rows.drop("id"))
         of_folder: dict[str, list[str]] = {}
         for part, folders in pointer["parts"].items():
             for folder in folders:
@@ -100,18 +121,52 @@ class Store:
     ) -> None:
         """Write rows to a folder of their own, then move the pointer to `merge(old parts, new parts)`."""
         path, folder = self.path(schema, table), f"_rows-{uuid.uuid4().hex}"
-        if split:
-            # Spark sizes the output by folder at run time: small ones are merged, large ones cut.
-            df = df.hint("rebalance", *[F.col(c) for c in split])
-        df.write.partitionBy(*split).parquet(f"{path}/{folder}")
+        known = TABLES.get(f"{schema}.{table}")
+        bucket = known.bucket_by if known and self.buckets else None
+        if bucket:
+            # One task per bucket, so a month has one file per bucket.
+            rows = df.repartition(self.buckets, F.col(bucket)).write.partitionBy(*split)
+            rows = rows.bucketBy(self.buckets, bucket).sortBy(bucket).option("path", f"{path}/{folder}")
+            rows.saveAsTable(f"costloom{folder.replace('-', '_')}")
+            self.spark.sql(f"DROP TABLE costloom{folder.replace('-', '_')}")  # the files stay
+        else:
+            if split:
+                # Spark sizes the output by folder at run time: small ones are merged, large ones cut.
+                df = df.hint("rebalance", *[F.col(c) for c in split])
+            df.write.partitionBy(*split).parquet(f"{path}/{folder}")
         new = dict.fromkeys(self.files.below(f"{path}/{folder}", len(split)), [folder])
         old = self._pointer(schema, table) or self._outside(path, split)
         parts = merge(old["parts"], new)
         used = {f for folders in parts.values() for f in folders}
         sizes = {f: n for f, n in {**old["sizes"], folder: len(new)}.items() if f in used}
-        pointer = {"schema": df.schema.jsonValue(), "parts": parts, "sizes": sizes}
+        buckets = {f: b for f, b in old.get("buckets", {}).items() if f in used}
+        if bucket:
+            buckets[folder] = [self.buckets, bucket]
+        pointer = {"schema": df.schema.jsonValue(), "parts": parts, "sizes": sizes, "buckets": buckets}
         self.files.replace_text(f"{path}/{POINTER}", json.dumps(pointer))
 
+    def _bucketed(self, path: str, pointer: dict, kind: T.StructType, split: list[str]) -> DataFrame | None:
+        """A table whose rows all lie in equal buckets, as a table of the session's catalog.
+
+        Its partitions are where the pointer says, so months written at different times are still one table. None if
+        the table isn't of that kind, or if rows were appended to a partition.
+        """
+        specs = {tuple(pointer.get("buckets", {}).get(f, ())) for folders in pointer["parts"].values() for f in folders}
+        if len(specs) != 1 or specs == {()} or any(len(folders) > 1 for folders in pointer["parts"].values()):
+            return None
+        ((buckets, bucket),) = specs
+        name = "costloom_" + hashlib.sha256(f"{path} {json.dumps(pointer['parts'], sort_keys=True)}".encode()).hexdigest()[:32]
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind.fields)
+            parts = [f"{_spec(p)} LOCATION '{path}/{folders[0]}/{p}'" for p, folders in sorted(pointer["parts"].items())]
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(split)}) "
+                f"CLUSTERED BY (`{bucket}`) SORTED BY (`{bucket}`) INTO {buckets} BUCKETS LOCATION '{path}/_none'"
+            )
+            for at in range(0, len(parts), 500):
+                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(parts[at : at + 500])}")
+        return self.spark.table(name)
+
     def _outside(self, path: str, split: list[str]) -> dict:
         """Pointer of a folder that something else has written; without parts if there is none."""
         if not any(not n.startswith(("_", ".")) for n in self.files.names(path)):
