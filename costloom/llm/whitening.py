@@ -14,7 +14,7 @@ a matrix of the dimension whatever the number of rows, reaches the driver. There
 
 A third pass measures how far the covariance of the whitened values is from the identity, a fourth returns them.
 
-Results of edge cases: rows with a null vector, or with a null, NaN or infinite entry, go. So do rows with an entry
+Results of edge cases: rows with a null or empty vector, or with a null, NaN or infinite entry, go. So do rows with an entry
 for which floor(64 * c) lies beyond 2^52, where doubles aren't integers one apart any more, and rows whose dimension
 isn't the commonest one (the smaller at a tie). Null and repeated ids stay; repeated rows count as often as they
 occur. An empty table gives no rows. A component without variance (eigenvalue not above the rounding of the largest)
@@ -121,7 +121,7 @@ def totals(vectors: DataFrame) -> tuple[int, list[int]]:
         sums: dict[int, list[int]] = {}
         for batch in batches:
             sizes, good, x = integers(batch.column(0))
-            for dim in np.unique(sizes[good]).tolist():
+            for dim in np.unique(sizes[good & (sizes > 0)]).tolist():
                 mine = good & (sizes == dim)
                 part = _sums(x[np.repeat(mine, sizes)].reshape(-1, dim))
                 counts[dim] = counts.get(dim, 0) + int(mine.sum())
@@ -136,7 +136,7 @@ def totals(vectors: DataFrame) -> tuple[int, list[int]]:
     parts = vectors.mapInArrow(add, "dim long, pos long, part decimal(28,0)")
     added = parts.groupBy("dim", "pos").agg(F.sum("part").alias("total"))
     common = added.filter("pos = -1").orderBy(F.col("total").desc(), "dim").select("dim").limit(1).collect()
-    if not common or not common[0]["dim"]:
+    if not common:
         return 0, []
     dim = common[0]["dim"]
     rows = {r["pos"]: int(r["total"]) for r in added.filter(F.col("dim") == dim).collect()}
@@ -226,7 +226,7 @@ def leading(v: np.ndarray, most: int = COMPONENTS) -> tuple[np.ndarray, np.ndarr
 
     for _ in range(70):
         low, high = halve(low, high, place)
-        alone = below(diagonal, off, high) - below(diagonal, off, low) == 1
+        alone = below(diagonal, off, high + margin) - below(diagonal, off, low - margin) == 1
         if (alone | (high - low <= margin)).all():
             break
     rng = np.random.default_rng(13)
