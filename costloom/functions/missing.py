@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from costloom.functions.sums import exact_sum
+
 INF = float("inf")
 
 
@@ -29,13 +31,13 @@ def drop_null_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
 
 def sum0(c: Column) -> Column:
     """Sum that is 0 for a group without any value."""
-    return F.coalesce(F.sum(c), F.lit(0.0))
+    return F.coalesce(exact_sum(c), F.lit(0.0))
 
 
 def sum_where(cond: Column, value: Column) -> Column:
     """Sum over matching rows: 0 if rows match without a value, null if no row matches."""
     hit = F.count(F.when(cond, F.lit(1)))
-    return F.when(hit > 0, F.coalesce(F.sum(F.when(cond, value)), F.lit(0.0)))
+    return F.when(hit > 0, F.coalesce(exact_sum(F.when(cond, value)), F.lit(0.0)))
 
 
 def total0(*cols: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
-from costloom.functions.missing import div_ieee, greatest_first, holds, nan_to_null
+from costloom.functions.missing import div_ieee, greatest_first, holds, nan_to_null, sum0
 from costloom.functions.text import fixed2, whole
 from costloom.operators.ids import dense_ids
 
@@ -31,8 +31,8 @@ def kpi_flags(
     """
     totals = base.agg(
         F.struct(
-            F.coalesce(F.sum("revenue"), F.lit(0.0)).alias("revenue"),
-            F.coalesce(F.sum("shipment"), F.lit(0.0)).alias("shipment"),
+            sum0(F.col("revenue")).alias("revenue"),
+            sum0(F.col("shipment")).alias("shipment"),
         ).alias("t")
     ).scalar()
     df = base.withColumns({"_totals": totals, "_params": params})

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from costloom import constants as K
 from costloom.functions.missing import any_of, col, drop_null_keys, sum_where
+from costloom.functions.sums import exact_mean
 
 
 def melt(df: DataFrame, ids: list[str], name: str = "variable", value: str = "value") -> DataFrame:
@@ -55,7 +56,7 @@ def pivot_mean(
     """Mean by key and category over present values; keys without any value are dropped."""
     names = names if isinstance(names, dict) else {n: n for n in names}
     kept = drop_null_keys(df, keys).filter(any_of(col(over), list(names)) & col(value).isNotNull())
-    means = [F.avg(F.when(col(over) == n, col(value))).alias(out) for n, out in names.items()]
+    means = [exact_mean(F.when(col(over) == n, col(value))).alias(out) for n, out in names.items()]
     return kept.groupBy(*[col(k) for k in keys]).agg(*means, *(carry or []))
 
 

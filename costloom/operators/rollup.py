@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from costloom import constants as K
 from costloom.functions.missing import col, div_guarded, div_ieee, drop_null_keys, sum0
+from costloom.functions.sums import exact_sum
 
 
 def four_level(
@@ -33,7 +34,7 @@ def four_level(
     kept = drop_null_keys(df, keys)
     base = kept.groupBy(*[col(k) for k in finest]).agg(
         *[sum0(col(s)).alias(s) for s in sums],
-        *[F.sum(col(m)).alias(f"_s_{m}") for m in means],
+        *[exact_sum(col(m)).alias(f"_s_{m}") for m in means],
         *[F.count(col(m)).alias(f"_n_{m}") for m in means],
     )
     k = [col(x) for x in keys]
@@ -41,8 +42,8 @@ def four_level(
     cubes = base.groupingSets([[*k, s, t], [*k, s], k, [*k, t]], *k, s, t).agg(
         F.grouping(site).alias("_no_site"),
         F.grouping(kind).alias("_no_kind"),
-        *[F.sum(col(x)).alias(x) for x in sums],
-        *[F.try_divide(F.sum(f"_s_{m}"), F.sum(f"_n_{m}")).alias(m) for m in means],
+        *[exact_sum(col(x)).alias(x) for x in sums],
+        *[F.try_divide(exact_sum(F.col(f"_s_{m}")), F.sum(f"_n_{m}").cast("double")).alias(m) for m in means],
     )
     no_site, no_kind = F.col("_no_site") == 1, F.col("_no_kind") == 1
     # A missing site or type has no label of its own, but counts in the levels above.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from costloom import constants as K
 from costloom.functions.dates import months_in_production, within_next_months
 from costloom.functions.missing import any_of, drop_null_keys, sum0
+from costloom.functions.sums import exact_mean
 from costloom.operators import alerts
 from costloom.operators.lookups import line_item_short, params_row
 from costloom.operators.reshape import stack
@@ -34,7 +35,7 @@ def price_and_usage_variance(ledger: DataFrame) -> DataFrame:
 
     def part(name: str) -> Column:
         hit = F.count(F.when(item == name, F.lit(1)))
-        return F.when(hit > 0, F.coalesce(F.sum(F.when(item == name, value)), F.lit(0.0)))
+        return F.when(hit > 0, sum0(F.when(item == name, value)))
 
     return drop_null_keys(rows, ["product"]).groupBy("product").agg(
         part(K.PPV).alias("ppv"), part(K.MUV).alias("muv")
@@ -88,7 +89,7 @@ def site_alert_base(
     keys = ["reporting_month", "product", "cost_item_level1"]
     monthly = drop_null_keys(rows, keys).groupBy(*keys).agg(
         *[sum0(F.col(m)).alias(m) for m in SITE_MEASURES if m.endswith("total_cost")],
-        *[F.avg(m).alias(m) for m in SITE_MEASURES if m.endswith("shipment")],
+        *[exact_mean(F.col(m)).alias(m) for m in SITE_MEASURES if m.endswith("shipment")],
     )
     named = line_item_short(monthly, control).select("product", "line_item_short", *SITE_MEASURES)
     joined = base.select("reporting_month", "site", "product", "revenue").join(

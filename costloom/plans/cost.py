@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from costloom import constants as K
 from costloom.functions.dates import from_year
 from costloom.functions.missing import any_of, col, div_guarded, drop_null_keys
+from costloom.functions.sums import exact_mean, exact_sum
 from costloom.operators import fx
 from costloom.operators.joins import densify
 from costloom.operators.lookups import cost_category_code, product_type
@@ -48,8 +49,8 @@ def ledger_measures(ledger: DataFrame) -> DataFrame:
     typed = drop_null_keys(ledger, keys).filter(F.col("type").isin(K.TYPES))
     value = {t: F.when(F.col("type") == t, F.col("value")) for t in K.TYPES}
     return typed.groupBy(*keys).agg(
-        *[F.sum(value[t]).alias(_slot(t, "ledger")) for t in K.TYPES],
-        *[F.avg(value[t]).alias(_slot(t, "mean")) for t in K.TYPES],
+        *[exact_sum(value[t]).alias(_slot(t, "ledger")) for t in K.TYPES],
+        *[exact_mean(value[t]).alias(_slot(t, "mean")) for t in K.TYPES],
     )
 
 
@@ -216,7 +217,7 @@ def cost_overview_level1(
         wide = pivot_mean(long, keys, "cost_cat_code", "value", codes, carry)
     else:
         kept = drop_null_keys(long, keys).filter(F.col("value").isNotNull())
-        sums = [F.sum(F.when(F.col("cost_cat_code") == c, F.col("value"))).alias(c) for c in codes]
+        sums = [exact_sum(F.when(F.col("cost_cat_code") == c, F.col("value"))).alias(c) for c in codes]
         wide = kept.filter(any_of(F.col("cost_cat_code"), codes)).groupBy(*keys).agg(*sums, *carry)
     rolled = four_level(wide, ["bg", "reporting_month", "type"], [*codes, "shipment", "production"])
     both = both_standards(rolled, codes, {"shipment": "shipment", "production": "production"})

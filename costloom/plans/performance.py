@@ -17,6 +17,7 @@ from costloom.functions.missing import (
     sum0,
     sum_where,
 )
+from costloom.functions.sums import exact_sum
 from costloom.operators import fx
 from costloom.operators.health import health_score
 from costloom.operators.joins import left_on
@@ -120,7 +121,7 @@ def overview_stats(ledger: DataFrame, merge_map: DataFrame) -> DataFrame:
     )
     w = W.partitionBy(*coarse)
     fine = fine.withColumn(
-        "revenue_amt_for_scrap", F.sum("_ship").over(w) + F.sum("_allow").over(w)
+        "revenue_amt_for_scrap", exact_sum(F.col("_ship"), w) + exact_sum(F.col("_allow"), w)
     )
     kept = drop_null_keys(fine, ["bg", "site"]).filter(F.col("_mapped") > 0)
     return _income(kept).drop("_ship", "_allow", "_mapped")

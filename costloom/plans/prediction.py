@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from costloom import constants as K
 from costloom.functions.dates import next_month
 from costloom.functions.missing import col, div_ieee, drop_null_keys, fill_zero
+from costloom.functions.sums import exact_mean, exact_sum
 from costloom.operators import forecast, fx
 from costloom.operators.joins import without_pairs
 from costloom.operators.lookups import cost_category_code, product_type
@@ -31,8 +32,8 @@ def unit_cost_series(detail: DataFrame, current: Column, min_rows: int = 6) -> D
     means = ["actual_shipment", "actual_production", "r3m_shipment", "r3m_production"]
     slim = fill_zero(own.select("reporting_month", *SERIES, "actual_total_cost", *means))
     monthly = drop_null_keys(slim, ["reporting_month"]).groupBy("reporting_month", *SERIES).agg(
-        F.sum("actual_total_cost").alias("actual_total_cost"),
-        *[F.avg(m).alias(m) for m in means],
+        exact_sum(F.col("actual_total_cost")).alias("actual_total_cost"),
+        *[exact_mean(F.col(m)).alias(m) for m in means],
     )
     priced = monthly.withColumns(
         {
