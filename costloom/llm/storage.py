@@ -13,10 +13,15 @@ BROADCAST_ROWS = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session; a folder in the warehouse where it is unset."""
+    """`spark.checkpoint.dir` of the session; a folder in the warehouse where it is unset.
+
+    On a cluster a warehouse on the driver's own disk is no place that executors share, so it is refused.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
         named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
+        if named.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; the warehouse gives {named}")
     return named.rstrip("/")
 
 
