@@ -256,6 +256,7 @@ _USED = _pct(_ieee("production", "max_capacity"))
 _PLANNED = _pct(_ieee("max_mps", "max_capacity"))
 _FINAL = _pct("coalesce(yield_rate_final_target, yield_rate_curr_target)")
 
+# Titles and texts of the alerts and leads, as in `constants`, written out once more in SQL.
 # rule: title, description, leads
 _TEXTS = {
     1: (

@@ -87,6 +87,7 @@ def perf_kpi_model(
     scored = health_score(project_status(joined, dim_project), weights)
     return (
         scored.drop("project_status")
+        # Column names of the KPI table, and of the output table.
         .withColumnsRenamed(
             {
                 "ads_target": "fg_ads_target",

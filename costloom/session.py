@@ -31,12 +31,15 @@ def get_spark(app: str = "costloom", **conf: str) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Name of the checkpoint folder: `spark.checkpoint.dir`, or one in the warehouse.
 
-    The same rule holds for every master; nothing is written to a machine-local folder of our choice.
+    On a cluster a warehouse on the driver's own disk is no place that executors share, so it is refused.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; the warehouse is {warehouse}")
+    folder = warehouse.rstrip("/") + "/_checkpoints"
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
