@@ -196,10 +196,11 @@ def judge(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
 def keep_good(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """The rows of `docs` that pass, with their columns."""
     c, lang, source, fences = (fresh(docs, x) for x in ("_c", "_lang", "_source", "_fences"))
-    # The rows are stored with their counts, which are made once.
-    ready = stored(docs.withColumn(c, counts_of(docs["text"])), "counted")
-    counted = ready.select(ready["lang"].alias("lang"), ready["source"].alias("source"), ready[c].alias("c"))
-    limits = stored(thresholds(sketches(counted), min_group), "thresholds")
+    # Counted once for the thresholds and once for the verdicts: storing the texts with their counts takes as much disk
+    # as the corpus, and rows have no key of their own to join stored counts to.
+    counted = docs.select(docs["lang"].alias("lang"), docs["source"].alias("source"), counts_of(docs["text"]).alias("c"))
+    limits = stored(thresholds(stored(sketches(counted), "sketches"), min_group), "thresholds")
+    ready = docs.withColumn(c, counts_of(docs["text"]))
     joined = ready.join(
         limits.select(F.col("lang").alias(lang), F.col("source").alias(source), F.col("fences").alias(fences)),
         ready["lang"].eqNullSafe(F.col(lang)) & ready["source"].eqNullSafe(F.col(source)),
