@@ -1,15 +1,18 @@
 """Secret scan: three base rules, and character Markov models compared by log-likelihood ratio.
 
 Base rules (assign, access, hex) give spans in code points, leftmost and non-overlapping per kind. Two
-first-order Markov models of characters are trained on what the corpus itself labels: the values that the
-base rules find are samples of random strings, words without any digit are samples of ordinary identifiers.
-Each different sample counts once, over all documents. A token of at least 16 characters of the alphabet
-of keys, with a letter in it (digits alone are a number), becomes a span of kind `markov` if the ratio of its
-likelihoods under the two models exceeds THRESHOLD and it touches no base span.
+first-order Markov models of characters are trained on labelled samples. Random strings are the values that the
+base rules find and MADE digests in base 64; ordinary identifiers are words with at most one short run of digits, outside the
+values of the assign rule, and the list ORDINARY. Each different sample counts once, over all documents; all digits are
+one character. Slashes, hyphens and underscores part a token into segments; those without a letter are numbers and say
+nothing. A token of at least 16 characters of the alphabet of keys, with a letter in it, becomes a span of kind
+`markov` if the ratio of its likelihoods under the two models, of all segments together or of one that has 16 characters
+itself, exceeds THRESHOLD and it touches no base span.
 
 Everything is a DataFrame expression. The models are one array of 128 x 128 log ratios, whatever the size
 of the corpus, read through a scalar subquery. Null texts count as empty. Repeated rows each get their
-result; a table without any sample gives flat models and no markov span.
+result; a table without any sample has those made by rule. Places are summed in blocks of BLOCK matches, so a text's work
+grows almost as its matches, but each token is still held against all base spans of its text.
 """
 
 from __future__ import annotations
@@ -28,8 +31,33 @@ KINDS = ("assign", "access", "hex", "markov")
 MIN_VALUE = 6
 MIN_ACCESS = 20
 MIN_HEX = 24
-#: Words with at least this many letters are samples of identifiers.
+#: Characters of a token, and of a segment that counts on its own.
+MIN_TOKEN = 16
+#: Words with at least this many characters are samples of identifiers, if they have at most one short run of digits.
 MIN_WORD = 8
+PLAIN = r"^[A-Za-z]+[0-9]{0,4}[A-Za-z]*$"
+#: Random samples made by rule, for corpora that label few.
+MADE = 256
+#: Labelled ordinary words, for corpora that have few identifiers.
+ORDINARY = """
+python27 utf8 sha256 base64 md5sum node18 java17 http2 ipv4 ipv6 x86 amd64 arm64 mp3 mp4 h264 s3 ec2 k8s
+log4j i18n l10n web2 vue3 es2015 html5 css3 sqlite3 libc6 lib64 eth0 tty1 sda1 win32 int64 float32 uint8
+page12 chapter7 version2 v1 v10 rc1 beta3 build1024 q1 fy2022 test01 img0001 room101 level3 table3 year2021Report
+application development environment configuration database directory document temporary threading network security
+authentication authorization permission administrator customer transaction payment inventory warehouse shipping
+calendar monthly weekly yearly archive download upload checkpoint snapshot cluster worker scheduler queue buffer
+cache memory storage volume thumbnail gallery picture video audio music language translation keyboard screen window
+button widget layout template function variable parameter argument return value object method abstract interface
+iterator generator exception warning message channel socket protocol address hostname domain username firstName
+lastName phoneNumber createdAt updatedAt isEnabled getElementById toString readFileSync parseInt setTimeout
+hasNextPage fetchUserProfile onButtonClick maxRetryDelay backgroundColor DataFrameReader HttpResponseFactory
+journal article publication analysis experiment measurement temperature weather distance geography hospital
+university government election football champion breakfast chocolate vegetable garden furniture
+""".split()
+#: Characters that part a token into segments.
+SEPARATORS = "[/_=-]+"
+#: Matches whose lengths are summed at once.
+BLOCK = 128
 #: Natural-log ratio beyond which a token counts as random: prior odds of one in e^8, about 3,000.
 THRESHOLD = 8.0
 SIZE = 128
@@ -41,26 +69,43 @@ _SPAN = "struct<start:int,kind:int,end:int,value:string>"
 def _spans(text: Column, pattern: str, kind: int, value_group: int = 0) -> Column:
     """(start, kind, end, value) of the matches: what lies between matches gives their places."""
 
+    def total(lengths: Column) -> Column:
+        return F.aggregate(lengths, F.lit(0), lambda a, x: a + x)
+
     def build(parts: Column) -> Column:
         found, gaps = parts["found"], parts["gaps"]
-
-        def before(i: Column) -> Column:
-            lengths = F.aggregate(F.slice(found, F.lit(1), i), F.lit(0), lambda a, x: a + F.length(x))
-            return lengths + F.aggregate(F.slice(gaps, F.lit(1), i + 1), F.lit(0), lambda a, x: a + F.length(x))
-
         value = parts["value"] if value_group else found
-        return F.transform(
-            found,
-            lambda m, i: let(
-                before(i),
-                lambda start: F.struct(
-                    start.alias("start"),
-                    F.lit(kind).alias("kind"),
-                    (start + F.length(m)).alias("end"),
-                    F.element_at(value, i + 1).alias("value"),
+        # A step is a gap and the match behind it. Sums by blocks keep long texts from quadratic work.
+        steps = F.transform(found, lambda m, i: F.length(F.element_at(gaps, i + 1)) + F.length(m))
+        blocks = F.sequence(F.lit(0), F.floor(F.size(found) / BLOCK).cast("int"))
+
+        def placed(own: Column, starts: Column) -> Column:
+            def start(m: Column, i: Column) -> Column:
+                block = F.floor(i / BLOCK).cast("int")
+                inside = total(F.slice(own, block * BLOCK + 1, i - block * BLOCK))
+                return F.get(starts, block) + inside + F.length(F.element_at(gaps, i + 1))
+
+            return F.transform(
+                found,
+                lambda m, i: let(
+                    start(m, i),
+                    lambda at: F.struct(
+                        at.alias("start"),
+                        F.lit(kind).alias("kind"),
+                        (at + F.length(m)).alias("end"),
+                        F.element_at(value, i + 1).alias("value"),
+                    ),
                 ),
-            ),
-        )
+            )
+
+        def summed(own: Column) -> Column:
+            sums = F.transform(blocks, lambda b: total(F.slice(own, b * BLOCK + 1, F.lit(BLOCK))))
+            return let(
+                let(sums, lambda s: F.transform(blocks, lambda b: total(F.slice(s, F.lit(1), b)))),
+                lambda starts: placed(own, starts),
+            )
+
+        return let(steps, summed)
 
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found")
     gaps = F.split(text, pattern, -1).alias("gaps")
@@ -81,9 +126,18 @@ def _code(value: Column) -> Column:
     return F.least(F.ascii(value), F.lit(SIZE - 1))
 
 
+def _segments(value: Column) -> Column:
+    """The parts of a string between slashes, hyphens and the like that have a letter in them."""
+    return F.filter(F.split(value, SEPARATORS, -1), lambda s: s.rlike("[A-Za-z]"))
+
+
 def _moves(value: Column) -> Column:
-    """Index of each (previous character, character) of a string; 0 stands before the first."""
-    chars = F.split(value, "")
+    """Index of each (previous character, character) of a string; 0 stands before the first, one digit for all.
+
+    Strings without a small letter are read as small ones: capitals alone are no sign of a key.
+    """
+    folded = F.when(value.rlike("[a-z]"), value).otherwise(F.lower(value))
+    chars = F.split(F.translate(folded, "123456789", "000000000"), "")
     return let(
         F.transform(chars, _code),
         lambda codes: F.transform(
@@ -97,9 +151,14 @@ def models(scanned: DataFrame) -> DataFrame:
 
     `scanned` holds `text` and `base` (spans).
     """
-    random = scanned.select(F.explode("base.value").alias("sample")).distinct().withColumn("random", F.lit(1))
-    words = scanned.select(F.explode(F.split("text", r"[^A-Za-z_]+", -1)).alias("sample"))
-    plain = words.filter(F.length("sample") >= MIN_WORD).distinct().withColumn("random", F.lit(0))
+    spark = scanned.sparkSession
+    made = spark.range(MADE).select(F.base64(F.unhex(F.sha2(F.col("id").cast("string"), 256))).alias("sample"))
+    random = made.union(scanned.select(F.explode("base.value").alias("sample")))
+    random = random.select(F.explode(_segments(F.col("sample"))).alias("sample")).distinct().withColumn("random", F.lit(1))
+    words = scanned.select(F.explode(F.split(F.regexp_replace("text", ASSIGN, " "), r"[^A-Za-z0-9]+", -1)).alias("sample"))
+    words = words.filter((F.length("sample") >= MIN_WORD) & F.col("sample").rlike(PLAIN))
+    listed = spark.range(1).select(F.explode(F.array(*[F.lit(w) for w in ORDINARY])).alias("sample"))
+    plain = listed.union(words).distinct().withColumn("random", F.lit(0))
     counts = (
         random.union(plain)
         .select("random", F.explode(_moves(F.col("sample"))).alias("move"))
@@ -151,7 +210,20 @@ def scan_secrets(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     tokens = _spans(F.col("text"), TOKEN, 3)
 
     def score(table: Column, value: Column) -> Column:
-        return F.aggregate(_moves(value), F.lit(0.0), lambda a, m: a + F.element_at(table, m + 1))
+        def one(segment: Column) -> Column:
+            return F.aggregate(_moves(segment), F.lit(0.0), lambda a, m: a + F.element_at(table, m + 1))
+
+        def both(parts: Column) -> Column:
+            ratios = F.transform(parts, lambda p: F.struct(F.length(p).alias("size"), one(p).alias("ratio")))
+            return let(
+                ratios,
+                lambda found: F.greatest(
+                    F.aggregate(found, F.lit(0.0), lambda a, x: a + x["ratio"]),
+                    F.array_max(F.transform(F.filter(found, lambda x: x["size"] >= MIN_TOKEN), lambda x: x["ratio"])),
+                ),
+            )
+
+        return let(_segments(value), both)
 
     free = F.filter(
         "tokens",

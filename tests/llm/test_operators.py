@@ -153,6 +153,39 @@ def test_secrets_model_adds_random_strings(spark):
     assert got[61].n_markov == got[63].n_markov == 0
 
 
+ORDINARY_TOKENS = """
+com/products/kitchen-tools/2024-01-15 bucket-name-2024-03-01-backup-daily /usr/local/share/python3/site-packages/numpy
+getUserAccountBalance2024Total CONFIG_MAX_CONNECTIONS_2 2024-01-15-release-notes /home/user42/projects/report_final_v2
+my-service-production-us-east-1 part-00001-of-00128-documents internationalization handleRequestTimeoutError
+src/main/java/org/example/service/AccountManager images/2023/11/summer-holiday-large MAXIMUM_RETRY_COUNT
+""".split()
+
+
+@pytest.mark.parametrize("size", ["sf0.001"])
+def test_secrets_random_strings_without_a_keyword(spark, size):
+    """At least nine of ten planted random strings are found; ordinary paths, dates and names are left alone."""
+    rng = np.random.default_rng(11)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    kinds = [letters + "0123456789", letters + "0123456789+/", letters + "0123456789-_", "abcdefghijklmnopqrstuvwxyz0123456789"]
+    planted = ["".join(rng.choice(list(kinds[i % 4]), int(rng.integers(20, 41)))) for i in range(200)]
+    corpus = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").select("doc_id", "text")
+    texts = [f"see {t} here" for t in planted + ORDINARY_TOKENS]
+    extra = docs(spark, texts, range(-len(texts), 0)).select("doc_id", "text")
+    rows = secrets.secret_report(corpus.union(extra)).filter("doc_id < 0").select("doc_id", "n_markov", "n_hex").collect()
+    got = {r.doc_id + len(texts): r.n_markov for r in rows}
+    found = sum(got[i] == 1 for i in range(len(planted)))
+    false = [t for i, t in enumerate(ORDINARY_TOKENS) if got[len(planted) + i]]
+    assert false == []
+    assert found >= 0.9 * len(planted), found
+
+
+def test_secrets_places_in_a_long_text(spark):
+    text = "x é " + " ".join(f"token: abcdef{i}" for i in range(3000))
+    got = secrets.secret_report(docs(spark, [text])).first()
+    assert got.n_assign == 3000
+    assert got.base_sha256 == hashlib.sha256(brute_secrets(text).encode()).hexdigest()
+
+
 ITEM = "If Mary buys 12 apples and 9 pears at the market for John , how many fruits does Mary carry home today?"
 
 
