@@ -20,7 +20,8 @@ Documents with equal sets are one class from the start. A candidate bucket (the
 token) isn't expanded into pairs: each round compares its members with one pivot, links are merged into
 components, and only buckets that still hold several components go on. What is left after the rounds, members
 of different components of one bucket that pass all bounds, is compared in full, so no link between different
-texts is lost.
+texts is lost. Sets are made, and stored once, only of documents that stand in such a pair; the others' sets are never
+written or moved.
 
 Null texts have no words. Rows that share a doc_id are one document; rows without an id are one document too,
 and their component is null unless they link with a document that has one. Extra columns don't matter.
@@ -223,7 +224,32 @@ def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def _link(buckets: DataFrame, facts: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+class _Facts:
+    """Sets and prefixes of the documents that are compared: made from `plain` (id, text) once per id, when a pair needs them."""
+
+    def __init__(self, plain: DataFrame, width: int, percent: int) -> None:
+        self._plain, self._udf = plain, _prefix_udf(width, percent)
+        self._made: DataFrame | None = None
+        self._ids: DataFrame | None = None
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        """The facts of the ids of `pairs` (a, b)."""
+        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "compared")
+        new = ids if self._ids is None else stored(ids.join(self._ids, "id", "left_anti"), "new")
+        if not new.isEmpty():
+            made = stored(
+                self._plain.join(small(new), "id", "left_semi")
+                .select("id", self._udf("text").alias("f"))
+                .select("id", "f.*")
+                .dropDuplicates(["id", "s1", "s2"]),
+                "facts",
+            )
+            self._made = made if self._made is None else self._made.union(made)
+            self._ids = new if self._ids is None else self._ids.union(new)
+        return self._made.join(small(ids), "id", "left_semi")
+
+
+def _link(buckets: DataFrame, facts: _Facts, labels: DataFrame, percent: int) -> DataFrame:
     """Final labels of the documents that have candidates."""
     bounds = ("n", "place", "map")
     for turn in range(ROUNDS + 1):
@@ -253,9 +279,11 @@ def _link(buckets: DataFrame, facts: DataFrame, labels: DataFrame, percent: int)
             apart = F.col("comp") != F.col("comp_b")
         found = rest.join(other, (rest["t"] == other["t"]) & apart & _possible(percent))
         pairs = found.select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b")).distinct()
-        edges = stored(_verified(pairs, facts, percent), "links")
-        if not edges.isEmpty():
-            labels = _merged(labels, edges)
+        pairs = stored(pairs, "pairs")
+        if not pairs.isEmpty():
+            edges = stored(_verified(pairs, facts.of(pairs), percent), "links")
+            if not edges.isEmpty():
+                labels = _merged(labels, edges)
         if last:
             return labels
     return labels
@@ -276,14 +304,6 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         "classes",
     )
     buckets = _buckets(classes, percent)
-    chosen = stored(buckets.select("id").distinct(), "survivors")
-    facts = stored(
-        plain.join(small(chosen), "id", "left_semi")
-        .select("id", _prefix_udf(width, percent)("text").alias("f"))
-        .select("id", "f.*")
-        .dropDuplicates(["id", "s1", "s2"]),
-        "facts",
-    )
     light = full.select("id", "s1", "s2").distinct()
     leads = light.join(classes.select("s1", "s2", F.col("id").alias("lead")), ["s1", "s2"])
     several = (
@@ -295,7 +315,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     labels = stored(classes.select("id").distinct().withColumn("comp", F.col("id")), "components")
     if not extra.isEmpty():
         labels = _merged(labels, extra)
-    labels = _link(buckets, facts, labels, percent)
+    labels = _link(buckets, _Facts(plain, width, percent), labels, percent)
     found = base.join(classes.select("s1", "s2", F.col("id").alias("lead")), ["s1", "s2"], "left").join(
         labels.select(F.col("id").alias("lead"), "comp"), "lead", "left"
     )

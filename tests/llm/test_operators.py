@@ -493,3 +493,29 @@ def test_jaccard_matches_brute_force(spark):
     assert kept.columns == df.columns
     assert {r.doc_id for r in kept.collect()} == {c for d, n, c in got if c is not None and n} | {d for d, n, c in got if d and not n}
     assert jaccard.jaccard_components(df.limit(0)).count() == 0
+
+
+def test_jaccard_makes_sets_of_compared_documents_only(spark, monkeypatch):
+    """A shared passage makes candidates; only documents whose bounds allow a link get their sets written."""
+    tables = collections.defaultdict(list)
+    plain = jaccard.stored
+
+    def recorded(df, name):
+        out = plain(df, name)
+        tables[name].append(out)
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", recorded)
+
+    def own(k, n):
+        return " ".join(f"w{k}x{i}" for i in range(n))
+
+    passage = " ".join(f"p{i}" for i in range(300))
+    apart = [(k, f"{own(k, 100 + 2 * k)} {passage}") for k in range(1, 25)]
+    near = own(99, 300)
+    df = spark.createDataFrame([*apart, (50, near), (51, near + " more")], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(df).collect()}
+    assert got == {**{k: k for k, _ in apart}, 50: 50, 51: 50}
+    assert {r.id for t in tables["buckets"] for r in t.collect()} > {50, 51}
+    made = [r.id for t in tables["facts"] for r in t.collect()]
+    assert len(made) == len(set(made)) and {50, 51} <= set(made) and len(made) < 10
