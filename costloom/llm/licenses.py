@@ -143,7 +143,8 @@ def _same(words: Column) -> Column:
 def _known(words: Column, vocabulary: list[str]) -> Column:
     """The different words of the vocabulary, in one spelling each, among words as they are spelled."""
     spelled = sorted({*vocabulary, *(old for old, new in SAME if new in vocabulary)})
-    return F.array_distinct(_same(F.array_intersect(words, F.array(*[F.lit(w) for w in spelled]))))
+    # One fixed set: array_intersect would fill a new one with the vocabulary for every segment.
+    return F.array_distinct(_same(F.filter(words, lambda w: w.isin(spelled))))
 
 
 def _vocabulary(*groups: dict[str, list[str]]) -> list[str]:

@@ -382,3 +382,13 @@ def test_cosines_match_brute_force(spark):
     got = {r.file_id: r.cosine for r in licenses.stated(files, 0.2).collect()}
     for k, value in enumerate(want):
         assert got[k] is None if value < 0.2 else got[k] == pytest.approx(value, abs=1e-8)
+
+
+def test_known_words_are_found_in_one_fixed_set(spark):
+    """The vocabulary is a set of the plan, not an array that every segment turns into a set."""
+    vocabulary = licenses._vocabulary()
+    rows = [([],), (["the", "v2", "2.0", "none", "the", "licence"],), (None,)]
+    known = spark.createDataFrame(rows, "words array<string>").select(licenses._known(F.col("words"), vocabulary).alias("known"))
+    assert [r.known for r in known.collect()] == [[], ["the", "2", "license"], None]
+    plan = known._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect" not in plan and "INSET" in plan
