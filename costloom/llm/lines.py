@@ -142,8 +142,10 @@ def near_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """`h1, h2` of the lines that have an earlier near line. `lines` holds (id, pos, line)."""
     n = _n_words(F.col("line"))
     long = lines.filter(n >= min_words - 1).withColumn("n", n)
-    keys = long.select(
-        F.xxhash64("line").alias("h1"), F.explode(_half_keys(F.col("line"), F.col("n"))).alias("half")
+    # Read twice each, so both kinds of keys are stored: they are numbers, and made anew they cost the most.
+    keys = stored(
+        long.select(F.xxhash64("line").alias("h1"), F.explode(_half_keys(F.col("line"), F.col("n"))).alias("half")),
+        "keys",
     )
     met = stored(
         keys.groupBy("half").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).filter("lo <> hi").select("half"),
@@ -157,14 +159,17 @@ def near_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         ).select("h1", "h2", F.struct("at.id", "at.pos", "h1", "h2").alias("at"), F.split("line", " ", -1).alias("words")),
         "candidates",
     )
-    own = first.select(
-        "h1", "h2", "at", F.inline(_variants(F.col("words"), F.size("words"))), F.size("words").alias("n")
-    ).filter((F.col("kind") != 0) | (F.col("n") >= min_words)).filter((F.col("kind") != 2) | (F.col("n") >= min_words))
+    own = stored(
+        first.select("h1", "h2", "at", F.inline(_variants(F.col("words"), F.size("words"))), F.size("words").alias("n"))
+        .filter((F.col("kind") == 1) | (F.col("n") >= min_words))
+        .drop("slot", "n"),
+        "neighbours",
+    )
     shared = stored(
         own.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).filter("lo <> hi").select("key"),
         "variants",
     )
-    members = stored(own.join(small(shared), "key", "left_semi").drop("slot", "n"), "members")
+    members = stored(own.join(small(shared), "key", "left_semi"), "members")
     leads = members.groupBy("key").agg(
         F.min(F.when(F.col("kind") != 2, F.col("at"))).alias("plain"),
         F.min(F.when(F.col("kind") == 2, F.col("at"))).alias("shortened"),

@@ -519,3 +519,20 @@ def test_jaccard_makes_sets_of_compared_documents_only(spark, monkeypatch):
     assert {r.id for t in tables["buckets"] for r in t.collect()} > {50, 51}
     made = [r.id for t in tables["facts"] for r in t.collect()]
     assert len(made) == len(set(made)) and {50, 51} <= set(made) and len(made) < 10
+
+
+def test_lines_make_their_keys_once(spark, monkeypatch):
+    """Half keys and neighbourhoods are read twice, but made once."""
+    plans = {}
+    plain = lines.stored
+
+    def recorded(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return plain(df, name)
+
+    monkeypatch.setattr(lines, "stored", recorded)
+    base = " ".join(WORDS[:12])
+    got = lines.dedup_lines(docs(spark, [base, base + " more", "one line of its own here"])).collect()
+    assert [(r.doc_id, r.n_near) for r in sorted(got)] == [(1, 0), (2, 1), (3, 0)]
+    assert [name for name, plan in plans.items() if "substring_index" in plan] == ["keys"]
+    assert [name for name, plan in plans.items() if "Generate inline" in plan] == ["neighbours"]
