@@ -214,11 +214,12 @@ class Templates:
             if n < 1:
                 continue
             keys = windows(hashes, take) ^ _SALTS[reading]
-            usable = (doc[:n] == doc[take - 1 :]) & self._maybe(keys)
-            usable &= literal[take:] - literal[:-take] >= min(MIN_LITERALS, take)
+            starts = np.flatnonzero(self._maybe(keys))
+            usable = doc[starts] == doc[starts + take - 1]
+            usable &= literal[starts + take] - literal[starts] >= min(MIN_LITERALS, take)
             if take < self.width and (self.bits is None or take < MIN_LITERALS):
-                usable &= sizes[doc[:n]] == take
-            for i in np.flatnonzero(usable).tolist():
+                usable &= sizes[doc[starts]] == take
+            for i in starts[usable].tolist():
                 d = int(doc[i])
                 tokens = [ids[at[j] : ends[j]].tolist() for j in range(i, i + take)]
                 out[d]["n"][reading] += 1

@@ -35,11 +35,16 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     if not n:
         return hashes
     take = min(width, n)
-    total = np.zeros(n - take + 1, dtype=np.uint64)
-    for i in range(take):
-        total *= _STEP
-        total += hashes[i : n - take + 1 + i]
-    return mixed(total + np.uint64(take))
+    # A polynomial in _STEP, built by doubling: `total` has the runs of `done` values.
+    total, done, step = hashes.copy(), 1, int(_STEP)
+    for bit in bin(take)[3:]:
+        total = total[: len(total) - done] * np.uint64(step) + total[done:]
+        done, step = 2 * done, step * step & 0xFFFFFFFFFFFFFFFF
+        if bit == "1":
+            total = total[:-1] * _STEP + hashes[done:]
+            done, step = done + 1, step * int(_STEP) & 0xFFFFFFFFFFFFFFFF
+    total += np.uint64(take)
+    return mixed(total)
 
 
 def texts(column: pa.Array) -> list[bytes]:

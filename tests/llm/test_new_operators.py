@@ -15,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from costloom.llm import html, language, licenses, rules, variants, whitening
+from costloom.llm import words as word_hashes
 from tests.llm.test_operators import prose
 
 FOLDER = "/root/testdata/sf0.01"
@@ -392,3 +393,16 @@ def test_known_words_are_found_in_one_fixed_set(spark):
     assert [r.known for r in known.collect()] == [[], ["the", "2", "license"], None]
     plan = known._jdf.queryExecution().optimizedPlan().toString()
     assert "array_intersect" not in plan and "INSET" in plan
+
+
+def test_windows_are_polynomials_of_their_values():
+    """Hashes by doubling are those of the sum written out."""
+    values = np.random.default_rng(3).integers(0, 2**63, 40).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    step = int(word_hashes._STEP)
+    for n in (1, 2, 7, 40):
+        for width in (1, 2, 3, 5, 6, 8, 13):
+            take = min(width, n)
+            runs = [sum(int(v) * step ** (take - 1 - j) for j, v in enumerate(values[i : i + take])) for i in range(n - take + 1)]
+            want = word_hashes.mixed(np.array([(r + take) % 2**64 for r in runs], np.uint64))
+            assert np.array_equal(word_hashes.windows(values[:n], width), want)
+    assert len(word_hashes.windows(values[:0], 3)) == 0
