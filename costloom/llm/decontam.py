@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costloom.llm.storage import small, stored
-from costloom.llm.words import REMEMBERED, texts, windows
+from costloom.llm.words import REMEMBERED, mixed, texts, windows
 
 WIDTH = 8
 MIN_LITERALS = 4
@@ -64,37 +63,87 @@ READINGS = ("names", "openers", "words")
 #: by punctuation, is a number word.
 _END, _AFTER, _BEFORE, _SPELLED = 4, 8, 16, 32
 
+_ENDS = frozenset(".!?:")
+_UNITS = frozenset(UNITS)
+_HASHES = np.array([xxhash.xxh3_64_intdigest(k.encode()) for k in _KINDS], dtype=np.uint64)
+_SALTS = np.array([xxhash.xxh3_64_intdigest(k.encode()) for k in READINGS], dtype=np.uint64)
+#: Bytes of text that are cut into words at once.
+_BLOCK = 1_000_000
+#: Classes of byte values; words with an odd byte may be numbers, or need Unicode's rules.
+_SPACE, _PUNCTUATION, _QUOTE, _END_MARK, _CAPITAL, _ODD = (1 << i for i in range(6))
+
+
+def _classes(value: int) -> int:
+    char = chr(value)
+    return (
+        _SPACE * (char in " \t\n\v\f\r")
+        | _PUNCTUATION * (value < 128 and char in _STRIP)
+        | _QUOTE * (char in "\"')")
+        | _END_MARK * (char in _ENDS)
+        | _CAPITAL * ("A" <= char <= "Z")
+        | _ODD * (value > 127 or char in "0123456789-")
+    )
+
+
+_CLASSES = bytes(map(_classes, range(256)))
+# Literals are hashed as a polynomial in _BASE of one random value per byte, the same for both cases of a letter.
+_REACH = 1 << 16
+_BASE = 0x5851F42D4C957F2D
+_VALUES = mixed(np.frombuffer(bytes(range(256)).lower(), np.uint8).astype(np.uint64), 1)
+
+
+def _powers(base: int) -> np.ndarray:
+    return np.cumprod(np.r_[np.uint64(1), np.full(_REACH - 1, base, np.uint64)])
+
+
+_UP, _DOWN = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
+
+
+def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the runs of a mask begin and end; the mask is false at both its ends."""
+    edges = np.flatnonzero(mask[1:] != mask[:-1]) + 1
+    return edges[::2], edges[1::2]
+
+
+def _literal_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each stretch of bytes, ASCII letters in lower case; the stretches follow one another."""
+    out, at = np.empty(len(starts), np.uint64), 0
+    while at < len(starts):
+        base = int(starts[at])
+        upto = int(np.searchsorted(ends, base + _REACH, "right"))
+        if upto == at:  # longer than the powers reach
+            out[at] = xxhash.xxh3_64_intdigest(text[base : ends[at]].tobytes().lower())
+            at += 1
+            continue
+        low, high = starts[at:upto] - base, ends[at:upto] - base
+        sums = np.zeros(int(high[-1]) + 1, np.uint64)
+        np.cumsum(_VALUES[text[base : base + len(sums) - 1]] * _UP[: len(sums) - 1], out=sums[1:])
+        out[at:upto] = (sums[high] - sums[low]) * _DOWN[low]
+        at = upto
+    return mixed(out)
+
+
+def _hashed(literals: list[bytes]) -> np.ndarray:
+    ends = np.cumsum([len(x) for x in literals], dtype=np.int64)
+    return _literal_hashes(np.frombuffer(b"".join(literals), np.uint8), np.r_[0, ends[:-1]], ends)
+
+
+#: Words whose hash ends in 16 bits that are marked here may be units or number words.
+_SPECIAL_BITS = np.zeros(1 << 16, dtype=bool)
+_SPECIAL_BITS[_hashed([w.encode() for w in sorted(_UNITS | _WORD_NUMBERS)]) & np.uint64(0xFFFF)] = True
+
 
 class Canon(dict):
-    """Word to its number; per number the hash of its literal, and its kind and other bits."""
+    """Word to its number, of words that need a closer look; per number the hash of its literal, and its kind and other bits."""
 
     def __init__(self) -> None:
-        self.words: list[bytes] = []
-        self.hashes: list[int] = []
+        self.literals: list[bytes] = []
         self.bits: list[int] = []
         self._arrays = (np.zeros(0, np.uint64), np.zeros(0, np.uint8))
 
     def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.words)
-        self.words.append(word)
-        core = word.strip(_STRIP_BYTES)
-        if core.isalpha():  # ASCII letters, perhaps between punctuation
-            low = core.lower()
-            if low not in _SPECIAL:
-                bits = 3 if core[0] < 97 else 0
-                if len(core) < len(word):
-                    bits |= _AFTER * (word[-1] in _STRIP_BYTES) | _BEFORE * (word[0] in _STRIP_BYTES)
-                    bits |= _END * (word.rstrip(b"\"')")[-1:] in _ENDS_BYTES)
-                self.hashes.append(xxhash.xxh3_64_intdigest(low))
-                self.bits.append(bits)
-                return number
+        number = self[word] = len(self.bits)
         raw = word.decode("utf-8", "replace")
-        if raw.isalpha():
-            lower = raw.lower()
-            if lower not in _SPECIAL_TEXT:
-                self.hashes.append(xxhash.xxh3_64_intdigest(lower.encode()))
-                self.bits.append(3 if raw[0].isupper() else 0)
-                return number
         bare = raw.strip(_STRIP)
         low = bare.lower()
         spelled = low in _WORD_NUMBERS or "-" in low and _WORD_NUMBERS.issuperset(low.split("-"))
@@ -106,35 +155,58 @@ class Canon(dict):
             bits = 3 if bare[:1].isupper() else 0
         bits |= _SPELLED * spelled | _AFTER * (raw[-1:] in _STRIP) | _BEFORE * (raw[:1] in _STRIP)
         bits |= _END * (raw.rstrip("\"'”’)»")[-1:] in _ENDS)
-        self.hashes.append(xxhash.xxh3_64_intdigest((low or raw.lower()).encode()))
+        self.literals.append((low or raw.lower()).encode())
         self.bits.append(bits)
         return number
 
-    def literal(self, number: int) -> str:
-        raw = self.words[number].decode("utf-8", "replace")
-        return (raw.strip(_STRIP) or raw).lower()
-
-    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes and bits of all numbers."""
+    def look(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and bits of the words."""
+        ids = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         hashes, bits = self._arrays
         done = len(hashes)
-        if done < len(self.words):
-            hashes = np.concatenate([hashes, np.array(self.hashes[done:], np.uint64)])
+        if done < len(self.bits):
+            hashes = np.concatenate([hashes, _hashed(self.literals)])
             bits = np.concatenate([bits, np.array(self.bits[done:], np.uint8)])
-            self._arrays = (hashes, bits)
-        return self._arrays
+            self._arrays, self.literals = (hashes, bits), []
+        return hashes[ids], bits[ids]
 
 
-_ENDS = frozenset(".!?:")
-_UNITS = frozenset(UNITS)
-_SPECIAL_TEXT = _UNITS | _WORD_NUMBERS
-_SPECIAL = frozenset(w.encode() for w in _SPECIAL_TEXT)
-_ENDS_BYTES = (b".", b"!", b"?", b":")
-_STRIP_BYTES = bytes(ord(c) for c in _STRIP if ord(c) < 128)
-_HASHES = np.array([xxhash.xxh3_64_intdigest(k.encode()) for k in _KINDS], dtype=np.uint64)
-_SALTS = np.array([xxhash.xxh3_64_intdigest(k.encode()) for k in READINGS], dtype=np.uint64)
-#: Bytes of text that are cut into words at once.
-_BLOCK = 1_000_000
+class Words:
+    """The words of a text that begins and ends with a line feed: their places, the hashes of their literals, their bits.
+
+    Words of ASCII characters without digits and hyphens are taken together; all others, and those that may be units or
+    number words, are looked up one by one.
+    """
+
+    def __init__(self, text: bytes, known: Canon) -> None:
+        self.text = text
+        classes = np.frombuffer(text.translate(_CLASSES), np.uint8)
+        self.starts, self.ends = starts, ends = _runs(classes & _SPACE == 0)
+        final = ends - 1
+        first, last = classes[starts], classes[final]
+        before, after, quoted = first & _PUNCTUATION > 0, last & _PUNCTUATION > 0, last & _QUOTE > 0
+        left, right = starts.copy(), ends.copy()
+        begins, stops = _runs(classes & _PUNCTUATION > 0)
+        left[before] = stops[np.searchsorted(stops, starts[before], "right")]
+        right[after] = begins[np.searchsorted(begins, ends[after]) - 1]
+        bare = left >= right
+        left[bare], right[bare] = starts[bare], ends[bare]
+        begins, _ = _runs(classes & _QUOTE > 0)
+        final[quoted] = begins[np.searchsorted(begins, ends[quoted]) - 1] - 1
+        self.hashes = _literal_hashes(np.frombuffer(text, np.uint8), left, right)
+        self.bits = 3 * (classes[left] & _CAPITAL > 0) + _AFTER * after + _BEFORE * before + _END * (classes[final] & _END_MARK > 0)
+        self.bits = self.bits.astype(np.uint8)
+        odd = _SPECIAL_BITS[self.hashes & np.uint64(0xFFFF)]
+        odd[np.searchsorted(starts, np.flatnonzero(classes & _ODD), "right") - 1] = True
+        at = np.flatnonzero(odd)
+        self.hashes[at], self.bits[at] = known.look([self.raw(i) for i in at.tolist()])
+
+    def raw(self, i: int) -> bytes:
+        return self.text[self.starts[i] : self.ends[i]]
+
+    def literal(self, i: int) -> str:
+        raw = self.raw(i).decode("utf-8", "replace")
+        return (raw.strip(_STRIP) or raw).lower()
 
 
 class Templates:
@@ -154,12 +226,11 @@ class Templates:
         slot = (keys & np.uint64(FILTER_BITS - 1)).astype(np.int64)
         return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
 
-    def _row(self, reading: int, key: np.uint64, place: int, tokens: list[list[int]], kinds: list[int]) -> dict:
-        words = [[self.known.literal(i) for i in t] for t in tokens]
+    def _row(self, reading: int, key: np.uint64, place: int, words: list[list[str]], kinds: list[int]) -> dict:
         return {
             "h": int(key.astype(np.int64)),
             "reading": reading,
-            "size": len(tokens),
+            "size": len(words),
             "place": place,
             "template": f"{reading} " + " ".join(_KINDS[k] or w[0] for w, k in zip(words, kinds, strict=True)),
             "slots": [w[-1] if k == 3 else " ".join(w) for w, k in zip(words, kinds, strict=True) if k],
@@ -169,22 +240,19 @@ class Templates:
         """`n` (per reading, the usable windows of an item) and `found` of each text."""
         if len(self.known) > REMEMBERED:
             self.known = Canon()
-        split = [[line.split() for line in r.split(b"\n")] for r in raws]
-        sizes = np.array([sum(map(len, x)) for x in split], dtype=np.int64)
-        per_line = np.array([len(line) for x in split for line in x], dtype=np.int64)
         out = [{"n": [0] * len(READINGS), "found": []} for _ in raws]
-        total = int(sizes.sum())
+        words = Words(b"\n" + b"\n".join(raws) + b"\n", self.known)
+        total = len(words.starts)
         if not total:
             return out
-        words = chain.from_iterable(chain.from_iterable(split))
-        ids = np.fromiter(map(self.known.__getitem__, words), np.int64, total)
-        del split, words
-        hashes, bits = (x[ids] for x in self.known.arrays())
+        bits = words.bits
+        lengths = np.array([len(r) + 1 for r in raws], dtype=np.int64)
+        sizes = np.diff(np.searchsorted(words.starts, np.r_[1, 1 + np.cumsum(lengths)]))
         doc = np.repeat(np.arange(len(raws)), sizes)
         opens = np.zeros(total + 1, dtype=bool)
-        opens[np.cumsum(per_line)] = opens[0] = True
-        parted = opens[:-1].copy()
+        opens[np.searchsorted(words.starts, np.flatnonzero(np.frombuffer(words.text, np.uint8) == 10))] = True
         opens = opens[:-1]
+        parted = opens.copy()
         opens[1:] |= (bits[:-1] & _END) > 0
         parted[1:] |= (bits[:-1] & _AFTER) > 0
         parted |= (bits & _BEFORE) > 0
@@ -195,16 +263,16 @@ class Templates:
             joins[1:] = ~parted[1:] & (
                 (own[1:] == 3) & (own[:-1] == 3) | (own[1:] == 1) & (own[:-1] == 1) & ((bits[1:] & _SPELLED) > 0)
             )
-            self._windows(reading, out, ids, np.flatnonzero(~joins), own, hashes, doc)
+            self._windows(reading, out, words, np.flatnonzero(~joins), own, doc)
         return out
 
     def _windows(
-        self, reading: int, out: list[dict], ids: np.ndarray, at: np.ndarray, kinds: np.ndarray, hashes: np.ndarray, doc: np.ndarray
+        self, reading: int, out: list[dict], words: Words, at: np.ndarray, kinds: np.ndarray, doc: np.ndarray
     ) -> None:
         """Add the windows of one reading; its tokens begin at the words `at`."""
-        ends = np.append(at[1:], len(ids))
+        ends = np.append(at[1:], len(words.starts))
         kinds, doc = kinds[at], doc[at]
-        hashes = np.where(kinds == 0, hashes[at], _HASHES[kinds])
+        hashes = np.where(kinds == 0, words.hashes[at], _HASHES[kinds])
         sizes = np.bincount(doc, minlength=len(out))
         first = np.cumsum(sizes) - sizes
         literal = np.concatenate([[0], np.cumsum(kinds == 0)])
@@ -221,7 +289,7 @@ class Templates:
                 usable &= sizes[doc[starts]] == take
             for i in starts[usable].tolist():
                 d = int(doc[i])
-                tokens = [ids[at[j] : ends[j]].tolist() for j in range(i, i + take)]
+                tokens = [[words.literal(x) for x in range(at[j], ends[j])] for j in range(i, i + take)]
                 out[d]["n"][reading] += 1
                 out[d]["found"].append(self._row(reading, keys[i], i - int(first[d]), tokens, kinds[i : i + take].tolist()))
 

@@ -14,7 +14,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from costloom.llm import html, language, licenses, rules, variants, whitening
+from costloom.llm import decontam, html, language, licenses, rules, variants, whitening
 from costloom.llm import words as word_hashes
 from tests.llm.test_operators import prose
 
@@ -406,3 +406,26 @@ def test_windows_are_polynomials_of_their_values():
             want = word_hashes.mixed(np.array([(r + take) % 2**64 for r in runs], np.uint64))
             assert np.array_equal(word_hashes.windows(values[:n], width), want)
     assert len(word_hashes.windows(values[:0], 3)) == 0
+
+
+def test_ordinary_words_are_taken_together():
+    """All words get the literals and bits that they get when they are looked up one by one."""
+    rng = np.random.default_rng(3)
+    ends = ["", "", "", ".", ",", '."', "')", "(", "“", "...", "!?", "*"]
+    words = ["Tom", "tom", "TOM", "km", "KM", "a", "In", "Seventeen", "twenty-one", "twenty-x", "it's", "5", "$5.00", "1/2", "A1", "-", "Über", "ÜBER", "K", "²", "İx"]
+    words += ["".join(rng.choice(list("abXY"), rng.integers(1, 9))) for _ in range(300)] + ["ab" * 50_000, "AB" * 50_000]
+    cases = [w for x in words for w in (rng.choice(ends) + x + rng.choice(ends) for _ in range(4))] + ends[3:]
+    known, alone = decontam.Canon(), decontam.Canon()
+    got = decontam.Words(b"\n" + " \x0b\n".join(cases).encode() + b"\n", known)
+    assert [got.raw(i).decode() for i in range(len(got.starts))] == cases
+    hashes, bits = alone.look([w.encode() for w in cases])
+    assert got.hashes.tolist() == hashes.tolist() and got.bits.tolist() == bits.tolist()
+    literals = [got.literal(i) for i in range(len(cases))]
+    assert len(set(literals)) == len(set(zip(literals, hashes.tolist(), strict=True))) == len(set(hashes.tolist()))
+    assert len(known) < len(alone) / 3
+
+
+def test_ordinary_words_are_not_learned_one_by_one():
+    plain = " ".join(map("".join, np.random.default_rng(3).choice(list("abcdefgh"), (5000, 9)))).encode()
+    finder = decontam.Templates(decontam.WIDTH, None)
+    assert finder.find([plain])[0]["n"] == [4993] * 3 and len(finder.known) < 100
